@@ -32,12 +32,13 @@ HASH_BITS = 60
 def seeded_hash(seed: Column | int | str, row_id: Column | str) -> Column:
     """The first 60 bits of md5 over ``seed|id`` as a bigint: the same order on any partitioning.
 
-    A fixed-width number keeps shuffles small and lets sorts compare prefixes.
+    A fixed-width number keeps shuffles small and lets sorts compare prefixes. The coalesce marks it
+    non-null; otherwise every join on it adds a null filter that computes the hash a second time.
     """
     seed_text = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     digest = F.md5(F.concat(seed_text, F.lit("|"), row_id.cast("string")).cast("binary"))
-    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint")
+    return F.coalesce(F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def hash_cell(h: Column | str, bits: int) -> Column:

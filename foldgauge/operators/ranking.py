@@ -14,6 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+# A side is broadcast only if its rows (keys and counts, about 50 bytes each) are provably at most this many.
+BROADCAST_ROWS = 300_000
+
 
 def cell_counts(df: DataFrame, by: Sequence[str], cell: str, sums: dict[str, Column] | None = None) -> DataFrame:
     """Rows and sums ahead of each cell of a group, and the group totals.
@@ -42,11 +45,13 @@ def running_positions(
     cell: str,
     order: Sequence[str],
     sums: dict[str, Column] | None = None,
+    start_groups: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds ``position`` (1-based), ``group_rows`` and a running total per entry of ``sums``.
 
     ``cell`` must be non-decreasing along ``order`` (for example a prefix of the first order column).
-    The join uses the window's own keys, so the row side is shuffled once.
+    The join uses the window's own keys, so the row side is shuffled once. With ``start_groups``, a prefix
+    of ``by``, also adds ``group_start``: the rows of the groups before this one inside its start group.
     """
     sums = sums or {}
     inside = Window.partitionBy(*by, cell).orderBy(*order)
@@ -57,10 +62,15 @@ def running_positions(
         *[F.sum(value).over(so_far).alias(f"local_{name}") for name, value in sums.items()],
     )
     ahead = cell_counts(df, by, cell, sums)
+    extra = []
+    if start_groups is not None:
+        ahead = ahead.join(group_starts(df, by, cell, start_groups), list(by))
+        extra = ["group_start"]
     return local.join(ahead, [*by, cell]).select(
         *df.columns,
         (F.col("rows_ahead") + F.col("cell_position")).alias("position"),
         "group_rows",
+        *extra,
         *[
             (F.coalesce(F.col(f"ahead_{name}"), F.lit(0)) + F.coalesce(F.col(f"local_{name}"), F.lit(0))).alias(name)
             for name in sums
@@ -68,8 +78,17 @@ def running_positions(
     )
 
 
-# A table of cells is broadcast only if a proven bound on its rows (about 50 bytes each) is below this.
-BROADCAST_CELLS = 300_000
+def group_starts(df: DataFrame, by: Sequence[str], cell: str, start_groups: Sequence[str]) -> DataFrame:
+    """Rows in the groups before each group, the groups of one start group ordered by the rest of ``by``.
+
+    Sums the same cell counts ``cell_counts`` starts from (the shuffle is shared), so the corpus is not
+    read again. The window runs over one row per group.
+    """
+    cells = df.groupBy(*by, cell).agg(F.count(F.lit(1)).alias("cell_rows"))
+    totals = cells.groupBy(*by).agg(F.sum("cell_rows").alias("rows"))
+    rest = [name for name in by if name not in start_groups]
+    before = Window.partitionBy(*start_groups).orderBy(*rest).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(*by, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("group_start"))
 
 
 def first_rows(
@@ -93,7 +112,7 @@ def first_rows(
         cells = cells.join(quotas, list(by))
     chosen = cells.withColumn("cell_quota", quota).where(F.col("rows_ahead") < F.col("cell_quota"))
     chosen = chosen.select(*by, cell, "rows_ahead", "cell_quota")
-    if max_cells <= BROADCAST_CELLS:
+    if max_cells <= BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
     inside = Window.partitionBy(*by, cell).orderBy(*order)
     return (

@@ -15,48 +15,52 @@ from pyspark.sql.window import Window
 
 from foldgauge.fixed_values import N_FOLDS, SAMPLE_SIZE, SEED, VAL_RATIO
 from foldgauge.functions.labels import hash_cell, label_set, seeded_hash
-from foldgauge.operators.ranking import first_n_salted, first_rows, running_positions
+from foldgauge.operators.ranking import BROADCAST_ROWS, first_n_salted, first_rows, running_positions
 from foldgauge.schema import CorpusSchema
 
-# A label combination is cut into 2**CELL_BITS cells. The result does not depend on the number: cells are
-# prefixes of the hash that rows are ordered by.
+# A label combination is cut into 2**cell_bits cells, each sorted by one task. The result does not depend on
+# the number, because cells are prefixes of the hash that rows are ordered by: raise it until the rows of
+# the largest label combination divided by 2**cell_bits fit a task.
 CELL_BITS = 12
 
 
-def keyed_rows(df: DataFrame, schema: CorpusSchema, seed: Column | int = SEED, keep: Sequence[str] = ()) -> DataFrame:
+def keyed_rows(df: DataFrame, schema: CorpusSchema, seed: int = SEED, cell_bits: int = CELL_BITS) -> DataFrame:
     """Id, label combination, hash and hash cell. Text never enters a split shuffle."""
     return df.select(
-        *keep, schema.id, label_set(schema.labels).alias("label_set"), seeded_hash(seed, schema.id).alias("h")
-    ).withColumn("cell", hash_cell("h", CELL_BITS))
+        schema.id, label_set(schema.labels).alias("label_set"), seeded_hash(seed, schema.id).alias("h")
+    ).withColumn("cell", hash_cell("h", cell_bits))
 
 
 def deal_round_robin(keyed: DataFrame, schema: CorpusSchema, parts: Column | int, by: Sequence[str] = ()) -> DataFrame:
     """Adds ``part``: rows of each ``by`` group, laid out by label combination, dealt over ``parts``.
 
-    The start of each label combination comes from a window over the label combinations themselves (at
-    most 2**L rows per group), the place inside it from cells.
+    The place of a row is the start of its label combination, plus the rows in earlier cells, plus its
+    place in its cell. The first two are known per cell, so rows meet them in one join on the window's own
+    keys: nothing is ever shuffled by label combination alone, one of which may hold most of the corpus.
     """
-    strata = keyed.groupBy(*by, "label_set").agg(F.count(F.lit(1)).alias("stratum_rows"))
-    ahead = Window.partitionBy(*by).orderBy("label_set").rowsBetween(Window.unboundedPreceding, -1)
-    starts = strata.select(
-        *by, "label_set", F.coalesce(F.sum("stratum_rows").over(ahead), F.lit(0)).alias("stratum_start")
-    )
-    placed = running_positions(keyed, [*by, "label_set"], "cell", ["h", schema.id])
+    placed = running_positions(keyed, [*by, "label_set"], "cell", ["h", schema.id], start_groups=by)
     parts = parts if isinstance(parts, Column) else F.lit(parts)
-    return placed.join(starts, [*by, "label_set"]).select(
-        *keyed.columns, F.pmod(F.col("stratum_start") + F.col("position") - 1, parts).cast("int").alias("part")
+    return placed.select(
+        *keyed.columns, F.pmod(F.col("group_start") + F.col("position") - 1, parts).cast("int").alias("part")
     )
 
 
-def stratified_folds(df: DataFrame, schema: CorpusSchema, k: int = N_FOLDS, seed: int = SEED) -> DataFrame:
+def stratified_folds(
+    df: DataFrame, schema: CorpusSchema, k: int = N_FOLDS, seed: int = SEED, cell_bits: int = CELL_BITS
+) -> DataFrame:
     """``(id, label_set, fold)``: each row is in the test part of exactly one fold."""
-    return deal_round_robin(keyed_rows(df, schema, seed), schema, k).select(
+    return deal_round_robin(keyed_rows(df, schema, seed, cell_bits), schema, k).select(
         schema.id, "label_set", F.col("part").alias("fold")
     )
 
 
 def fold_roles(
-    df: DataFrame, schema: CorpusSchema, k: int = N_FOLDS, val_ratio: float = VAL_RATIO, seed: int = SEED
+    df: DataFrame,
+    schema: CorpusSchema,
+    k: int = N_FOLDS,
+    val_ratio: float = VAL_RATIO,
+    seed: int = SEED,
+    cell_bits: int = CELL_BITS,
 ) -> DataFrame:
     """``(fold, id, role)`` for all folds at once; role is train, val or test.
 
@@ -65,7 +69,7 @@ def fold_roles(
     and roles come out of one shuffle of k rows per corpus row, which is the size of the result.
     """
     inner_parts = max(2, round(1.0 / val_ratio))
-    outer = deal_round_robin(keyed_rows(df, schema, seed), schema, k)
+    outer = deal_round_robin(keyed_rows(df, schema, seed, cell_bits), schema, k)
     every_fold = outer.select(
         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"), F.col("part"), schema.id, "label_set"
     ).select(
@@ -74,7 +78,7 @@ def fold_roles(
         "label_set",
         schema.id,
         seeded_hash(F.col("fold") + F.lit(seed), schema.id).alias("h"),
-    ).withColumn("cell", hash_cell("h", CELL_BITS))
+    ).withColumn("cell", hash_cell("h", cell_bits))
     dealt = deal_round_robin(every_fold, schema, inner_parts, ["fold", "is_test"])
     role = F.when(F.col("is_test"), "test").when(F.col("part") == 0, "val").otherwise("train")
     return dealt.select("fold", schema.id, role.alias("role"))
@@ -106,31 +110,38 @@ def label_set_quotas(df: DataFrame, schema: CorpusSchema, n: int) -> DataFrame:
     return ranked.select("label_set", quota.cast("long").alias("quota"))
 
 
-def sampled_ids(df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
+def sampled_ids(
+    df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED, cell_bits: int = CELL_BITS
+) -> DataFrame:
     """``(id)`` of exactly ``min(n, rows)`` rows that keep the joint label distribution.
 
     Only hash cells that start inside the quota can hold chosen rows. Those cells are found from counts
     first, so about ``n`` rows reach the ranking shuffle however large the corpus is.
     """
     return first_rows(
-        keyed_rows(df, schema, seed),
+        keyed_rows(df, schema, seed, cell_bits),
         by=["label_set"],
         cell="cell",
         order=["h", schema.id],
         quota=F.col("quota"),
-        max_cells=2 ** (len(schema.labels) + CELL_BITS),
+        max_cells=2 ** (len(schema.labels) + cell_bits),
         quotas=label_set_quotas(df, schema, n),
     ).select(schema.id)
 
 
+def _id_filter(ids: DataFrame, n: int) -> DataFrame:
+    """At most ``n`` ids: a small sample is broadcast so the corpus and its texts are not shuffled."""
+    return F.broadcast(ids) if n <= BROADCAST_ROWS else ids
+
+
 def stratified_subsample(df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
     """The sampled rows with all their columns."""
-    return df.join(sampled_ids(df, schema, n, seed), schema.id, "left_semi")
+    return df.join(_id_filter(sampled_ids(df, schema, n, seed), n), schema.id, "left_semi")
 
 
 def sample_remainder(df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
     """The rows the sample left out."""
-    return df.join(sampled_ids(df, schema, n, seed), schema.id, "left_anti")
+    return df.join(_id_filter(sampled_ids(df, schema, n, seed), n), schema.id, "left_anti")
 
 
 def fold_rows(df: DataFrame, roles: DataFrame, schema: CorpusSchema, role: str | None = None) -> DataFrame:

@@ -69,11 +69,12 @@ def score_by_prompt(
 
     The scored table is written before use, so no call is ever repeated by a later stage.
     """
-    test = S.fold_rows(prepared.sample, prepared.roles, schema, "test").drop("role")
+    test_ids = prepared.roles.where(F.col("role") == "test")
     if only_fold is not None:
-        test = test.where(F.col("fold") == only_fold)
+        test_ids = test_ids.where(F.col("fold") == only_fold)
     if limit is not None:
-        test = S.limit_per_fold(test, schema, limit)
+        test_ids = S.limit_per_fold(test_ids, schema, limit)
+    test = S.fold_rows(prepared.sample, test_ids, schema).drop("role")
     if mode == "few_shot":
         asked = few_shot_messages(test, few_shot_exemplars(prepared.sample, prepared.roles, schema, k), schema)
     else:

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldgauge.operators.splitting import fold_roles
 from foldgauge.schema import CorpusSchema
+from foldgauge.session import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +43,12 @@ def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.join(table(spark, sf_dir, "labels"), "doc_id")
 
 
+def written_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold roles as the prepare flow leaves them: a table in the shared folder, split by fold and role."""
+    corpus = labelled_corpus(spark, sf_dir).select("doc_id", *DOCS.labels)
+    return materialize(fold_roles(corpus, DOCS), partition_by=["fold", "role"])
+
+
 # --- the six-label scale table: orders with labels derived from their columns -------------------
 ORDERS = CorpusSchema(
     labels=("is_f", "is_p", "is_urgent", "is_high", "is_big", "is_early"), id="o_orderkey", text="o_orderpriority"

@@ -1,17 +1,15 @@
 """Training and scoring with Spark ML: iterative, so checked by rows and properties, not by SQL."""
 
-from foldgauge.operators import splitting as S
 from foldgauge.operators.classifier import TrainSettings, train_score_folds as train
 from foldgauge.operators.metrics import best_epoch
-from foldgauge.queries.base import DOCS, labelled_corpus, query
+from foldgauge.queries.base import DOCS, labelled_corpus, query, written_roles
 
 SETTINGS = TrainSettings(n_features=1 << 14, epochs=2, weighted=True)
 FOLDS = (0, 1, 2, 3, 4)
 
 
 def _train(spark, sf_dir):
-    corpus = labelled_corpus(spark, sf_dir)
-    return train(corpus, S.fold_roles(corpus, DOCS), DOCS, SETTINGS, FOLDS)
+    return train(labelled_corpus(spark, sf_dir), written_roles(spark, sf_dir), DOCS, SETTINGS, FOLDS)
 
 
 @query("train_score_folds")

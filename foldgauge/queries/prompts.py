@@ -18,6 +18,7 @@ from foldgauge.queries.base import (
     query,
     roles_sql,
     table,
+    written_roles,
 )
 from foldgauge.queries.cleaning import steps_sql
 
@@ -100,7 +101,7 @@ SELECT fold, slot, doc_id, text, quality, toxic FROM exemplars""",
 )
 def exemplars(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
-    return P.few_shot_exemplars(corpus, S.fold_roles(corpus, DOCS), DOCS, K)
+    return P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K)
 
 
 @query(
@@ -112,7 +113,7 @@ def exemplars(spark, sf_dir):
 )
 def few_shot(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
-    roles = S.fold_roles(corpus, DOCS)
+    roles = written_roles(spark, sf_dir)
     test = S.fold_rows(corpus.select("doc_id", "text"), roles, DOCS, "test")
     chosen = P.few_shot_exemplars(corpus, roles, DOCS, K)
     return _messages(P.few_shot_messages(test, chosen, DOCS), "fold", "doc_id")
@@ -128,7 +129,7 @@ def few_shot(spark, sf_dir):
 )
 def templates(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
-    return P.prompt_templates(P.few_shot_exemplars(corpus, S.fold_roles(corpus, DOCS), DOCS, K), DOCS)
+    return P.prompt_templates(P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K), DOCS)
 
 
 @query(

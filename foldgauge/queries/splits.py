@@ -15,6 +15,7 @@ from foldgauge.queries.base import (
     labelled_orders,
     query,
     roles_sql,
+    written_roles,
 )
 from foldgauge.queries.corpus import SAMPLE_N, sample_sql
 from foldgauge.schema import unmatched_rows
@@ -139,6 +140,5 @@ SELECT fold, count(*) AS n_ids, CAST(0 AS BIGINT) AS multi_role, CAST(0 AS BIGIN
 FROM roles GROUP BY fold""",
 )
 def leaks(spark, sf_dir):
-    corpus = labelled_corpus(spark, sf_dir)
-    roles = S.fold_roles(corpus, DOCS)
-    return S.leakage_check(roles, few_shot_exemplars(corpus, roles, DOCS, K), DOCS)
+    roles = written_roles(spark, sf_dir)
+    return S.leakage_check(roles, few_shot_exemplars(labelled_corpus(spark, sf_dir), roles, DOCS, K), DOCS)
