@@ -87,9 +87,10 @@ WIKI_TEMPLATE = r"\{\{[^{}]*\}\}"
 WIKI_HEADING = rf"(?U)={{2,}}{BLANK}*([^=]+?){BLANK}*={{2,}}"
 WIKI_LINK = r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]"
 SIGNATURE = r"~{3,}"
-URL = rf"(?iU)(?:https?://|www\.){NON_BLANK}+"
-IP_ADDRESS = r"(?U)\b(?:\d{1,3}\.){3}\d{1,3}\b"
-BLANK_RUN = rf"(?U){BLANK}+"
+URL = rf"(?U)(?=[hHwW])(?i:https?://|www\.){NON_BLANK}+"
+IP_ADDRESS = r"(?U)(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
+BLANK_RUN = rf"(?U) {BLANK}+|[\s\x1c-\x1f&&[^ ]]{BLANK}*"  # any run but a lone space
+BLANKS = rf"(?U){BLANK}+"
 BLANK_ENDS = rf"(?U)^{BLANK}+|{BLANK}+\z"
 USER_MARK = " <USER> "
 URL_MARK = " <URL> "

@@ -16,15 +16,13 @@ def strip_blanks(text: Column) -> Column:
 def truncate_clean(cleaned: Column, max_chars: int = V.MAX_PROMPT_CHARS) -> Column:
     """One-line comment of at most ``max_chars`` code points plus a mark, from an already cleaned column."""
     line = F.replace(strip_blanks(cleaned), F.lit("\n"), F.lit(" "))
-    return F.when(
-        F.char_length(line) > max_chars, F.concat(F.substring(line, 1, max_chars), F.lit(V.TRUNCATION_MARK))
-    ).otherwise(line)
+    # Matches longer lines only; a dot is one code point. One reference to the text, whatever comes around it.
+    return F.regexp_replace(line, F.lit(rf"(?s)\A(.{{{max_chars}}}).+\z"), F.lit(f"$1{V.TRUNCATION_MARK}"))
 
 
 def tokens(cleaned: Column) -> Column:
     """Blank-separated tokens; no token for an empty text."""
-    stripped = strip_blanks(cleaned)
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, V.BLANK_RUN))
+    return F.filter(F.split(strip_blanks(cleaned), V.BLANKS), lambda word: word != "")
 
 
 def token_window(cleaned: Column, max_tokens: int = V.MAX_TOKENS) -> Column:

@@ -12,7 +12,7 @@ import unicodedata
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,9 +35,12 @@ NFKC_STABLE = (
 # Entities replaced by plain string replacement; the ampersand itself goes last so that nothing is
 # unescaped twice.
 PLAIN_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
-# An ampersand followed by one of these starts no entity.
+# Stops only at ampersands and beyond ASCII, then looks back: an ampersand that may start some other entity,
+# or a character that is not known to be stable.
 NEEDS_PYTHON = (
-    rf"[^{NFKC_STABLE}]|&(?!" + "|".join(name[1:] for name in PLAIN_ENTITIES) + r"|[\t\n\f <&;]|\z)"
+    r"[^\x00-%'-\x7F](?:(?<=&)(?!"
+    + "|".join(name[1:] for name in PLAIN_ENTITIES)
+    + rf"|[\t\n\f <&;]|\z)|(?<![&{NFKC_STABLE}]))"
 )
 
 
@@ -46,39 +49,38 @@ def unicode_and_entities(text: str) -> str:
     return html.unescape(re.sub(V.ZERO_WIDTH, "", unicodedata.normalize("NFKC", text)))
 
 
-@F.pandas_udf(T.StringType())
-def _hygiene(texts: pd.Series) -> pd.Series:
-    return texts.map(unicode_and_entities, na_action="ignore")
+@F.arrow_udf(T.StringType())
+def _hygiene(texts: pa.Array) -> pa.Array:
+    """Finished texts with their ampersands escaped, so the plain entity step after it only restores them."""
+    if texts.null_count == len(texts):
+        return pa.nulls(len(texts), pa.string())
+    done = [None if t is None else unicode_and_entities(t).replace("&", "&amp;") for t in texts.to_pylist()]
+    return pa.array(done, pa.string())
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A replacement, tried only on texts holding one of ``marks`` (cheap byte search before the regex)."""
+    """A replacement over the text as the rules before it left it."""
 
     name: str
     pattern: str
     replacement: str
-    marks: tuple[str, ...] = ()
 
     def apply(self, text: Column) -> Column:
-        replaced = F.regexp_replace(text, F.lit(self.pattern), F.lit(self.replacement))
-        if not self.marks:
-            return replaced
-        present = F.lit(False)
-        for mark in self.marks:
-            present = present | F.contains(text, F.lit(mark))
-        return F.when(present, replaced).otherwise(text)
+        return F.regexp_replace(text, F.lit(self.pattern), F.lit(self.replacement))
 
 
+# Each rule refers to the text once. Testing for a mark first would be a little faster, but refers to it three
+# times, and a plan that puts the cleaned text into a Python function writes the chain out in full.
 STRUCTURAL_RULES = (
-    Rule("html_tag", V.HTML_TAG, " ", ("<",)),
-    Rule("user_link", V.USER_LINK, V.USER_MARK, ("[[",)),
-    Rule("wiki_template", V.WIKI_TEMPLATE, " ", ("{{",)),
-    Rule("wiki_heading", V.WIKI_HEADING, " $1 ", ("==",)),
-    Rule("wiki_link", V.WIKI_LINK, "$1", ("[[",)),
-    Rule("signature", V.SIGNATURE, " ", ("~~~",)),
-    Rule("url", V.URL, V.URL_MARK, ("://", "w.", "W.")),
-    Rule("ip_address", V.IP_ADDRESS, V.IP_MARK, (".",)),
+    Rule("html_tag", V.HTML_TAG, " "),
+    Rule("user_link", V.USER_LINK, V.USER_MARK),
+    Rule("wiki_template", V.WIKI_TEMPLATE, " "),
+    Rule("wiki_heading", V.WIKI_HEADING, " $1 "),
+    Rule("wiki_link", V.WIKI_LINK, "$1"),
+    Rule("signature", V.SIGNATURE, " "),
+    Rule("url", V.URL, V.URL_MARK),
+    Rule("ip_address", V.IP_ADDRESS, V.IP_MARK),
     Rule("blank_run", V.BLANK_RUN, " "),
 )
 
@@ -93,16 +95,10 @@ def cleaning_steps(df: DataFrame, text: str, rules: Sequence[Rule] = STRUCTURAL_
     source = "before_cleaning"
     out = df.withColumn(source, F.coalesce(F.col(text).cast("string"), F.lit("")))
     in_python = _hygiene(F.when(F.col(source).rlike(NEEDS_PYTHON), F.col(source)))
-    out = out.withColumn("from_python", in_python)
-    plain = F.col(source)
+    plain = F.coalesce(in_python, F.col(source))
     for entity, character in PLAIN_ENTITIES.items():
         plain = F.replace(plain, F.lit(entity), F.lit(character))
-    out = out.withColumn(
-        _step(HYGIENE),
-        F.when(F.col("from_python").isNotNull(), F.col("from_python"))
-        .when(F.contains(source, F.lit("&")), plain)
-        .otherwise(F.col(source)),
-    ).drop("from_python")
+    out = out.withColumn(_step(HYGIENE), plain)
     previous = _step(HYGIENE)
     for rule in rules:
         out = out.withColumn(_step(rule.name), rule.apply(F.col(previous)))

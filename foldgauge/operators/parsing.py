@@ -4,59 +4,65 @@ Stages, each a built-in expression: the first innermost ``{...}`` that is valid
 (``json``), else the first 0 or 1 after each quoted label name (``pattern``), else zeros (``none``). Only
 ``json`` counts as success.
 
-Spark's JSON parser refuses a few texts Python accepts (repeated keys, NaN). Replies with a refused
-candidate, and only those, send their candidates to an Arrow function that reads them with ``json.loads``.
+Each candidate is parsed once and written back as canonical JSON: no blanks, no repeated keys, plain
+escapes. Labels are then read off that text by one short pattern each. Spark's parser refuses a few texts
+Python accepts (repeated keys, NaN); replies with a refused candidate, and only those, send their candidates
+to an Arrow function that reads them with ``json.loads``.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldgauge import fixed_values as V
 from foldgauge.functions.text import strip_blanks
 
-# JSON texts of values that are empty or zero: everything else counts as 1.
-FALSY_JSON = r'^(?:null|false|""|\[\]|-?0+(?:\.0*)?(?:[eE][-+]?\d+)?)\z'
+# Canonical JSON values that are empty or zero: everything else counts as 1.
+FALSY_JSON = r'(?:null|false|""|\[\]|-?0+(?:\.0*)?(?:[eE][-+]?\d+)?)[,}]'
 
 
 def unfenced(raw: Column) -> Column:
-    """The reply without surrounding blanks and code fences."""
+    """The reply without surrounding blanks and code fences.
+
+    ``parse_replies`` does not need it: fences and blanks lie outside every object and every quoted label, so
+    removing them changes no match.
+    """
     opened = strip_blanks(F.regexp_replace(strip_blanks(raw), V.FENCE_OPEN, ""))
     return strip_blanks(F.regexp_replace(opened, V.FENCE_CLOSE, ""))
 
 
-def _names_a_label(candidate: Column, labels: Sequence[str]) -> Column:
-    return F.arrays_overlap(F.json_object_keys(candidate), F.array(*[F.lit(label) for label in labels]))
-
-
-def _value_is_set(parsed: Column, label: str) -> Column:
-    """1 if the label's value is not empty or zero. The JSON text keeps "0" and 0 apart."""
-    value = F.to_json(F.try_variant_get(parsed, f"$['{label}']", "variant"))
-    return F.when(value.isNull() | value.rlike(FALSY_JSON), 0).otherwise(1)
+def _key_pattern(labels: Sequence[str]) -> str:
+    """A key of canonical JSON. An escaped quote in front would make it the end of a longer key."""
+    return r'(?<!\\)"(?:' + "|".join(rf"\Q{label}\E" for label in labels) + r')":'
 
 
 def _python_reader(labels: Sequence[str]):
+    """Replies to label bits such as ``010``, null without a usable object. Texts cross to Python, not arrays:
+    Spark writes a mostly null array column to Arrow far more slowly than a mostly null text column."""
     names = list(labels)
 
-    def bits(candidates) -> list[int] | None:
-        for candidate in candidates:
+    def bits(reply: str) -> str | None:
+        for candidate in re.findall(V.JSON_OBJECT, reply):
             try:
                 values = json.loads(candidate)
             except ValueError:
                 continue
             if any(name in values for name in names):
-                return [int(bool(values.get(name))) for name in names]
+                return "".join("1" if values.get(name) else "0" for name in names)
         return None
 
-    @F.pandas_udf("array<int>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield batch.map(bits, na_action="ignore")
+    @F.arrow_udf(T.StringType())
+    def read(replies: pa.Array) -> pa.Array:
+        if replies.null_count == len(replies):
+            return pa.nulls(len(replies), pa.string())
+        return pa.array([None if reply is None else bits(reply) for reply in replies.to_pylist()], pa.string())
 
     return read
 
@@ -64,20 +70,24 @@ def _python_reader(labels: Sequence[str]):
 def parse_replies(df: DataFrame, raw: str, labels: Sequence[str], prefix: str = "pred_") -> DataFrame:
     """Adds ``<prefix><label>`` ints, ``parse_stage`` and ``parse_failure``; all other columns stay."""
     kept = list(df.columns)
-    candidates = df.withColumn("reply", unfenced(F.coalesce(F.col(raw), F.lit("")))).withColumn(
+    found = df.withColumn("reply", F.coalesce(F.col(raw), F.lit(""))).withColumn(
         "candidates", F.regexp_extract_all("reply", F.lit(V.JSON_OBJECT), F.lit(0))
     )
-    valid = candidates.withColumn(
-        "valid", F.filter("candidates", lambda c: F.try_parse_json(c).isNotNull())
-    )
-    refused = F.size("valid") < F.size("candidates")
-    chosen = valid.withColumn(
-        "parsed",
-        F.try_parse_json(F.get(F.filter("valid", lambda c: _names_a_label(c, labels)), F.lit(0))),
-    ).withColumn("from_python", _python_reader(labels)(F.when(refused, F.col("candidates"))))
-    json_bits = F.when(refused, F.col("from_python")).when(
-        F.col("parsed").isNotNull(), F.array(*[_value_is_set(F.col("parsed"), label) for label in labels])
-    )
+    canonical = found.withColumn("canonical", F.transform("candidates", lambda c: F.to_json(F.try_parse_json(c))))
+    # The arrays end here: only texts travel past the Python step.
+    chosen = canonical.select(
+        *kept,
+        "reply",
+        F.get(F.filter("canonical", lambda text: text.rlike(_key_pattern(labels))), F.lit(0)).alias("object"),
+        F.when(F.exists("canonical", lambda text: text.isNull()), F.col("reply")).alias("refused_reply"),
+    ).withColumn("from_python", _python_reader(labels)("refused_reply"))
+    value_bits = [
+        F.when(
+            F.col("object").rlike(_key_pattern([label])) & ~F.col("object").rlike(_key_pattern([label]) + FALSY_JSON), "1"
+        ).otherwise("0")
+        for label in labels
+    ]
+    json_bits = F.when(F.col("refused_reply").isNotNull(), F.col("from_python")).when(F.col("object").isNotNull(), F.concat(*value_bits))
     digits = F.array(*[F.regexp_extract("reply", V.LABEL_DIGIT % label, 1) for label in labels])
     staged = chosen.withColumn("json_bits", json_bits).withColumn(
         "digits", F.when(F.col("json_bits").isNull(), digits)
@@ -88,9 +98,9 @@ def parse_replies(df: DataFrame, raw: str, labels: Sequence[str], prefix: str =
         .otherwise("none")
     )
     out = [
-        F.coalesce(F.get("json_bits", F.lit(i)), F.when(F.get("digits", F.lit(i)) == "1", 1).otherwise(0)).alias(
-            f"{prefix}{label}"
-        )
+        F.when(F.coalesce(F.substring("json_bits", i + 1, 1), F.get("digits", F.lit(i))) == "1", 1)
+        .otherwise(0)
+        .alias(f"{prefix}{label}")
         for i, label in enumerate(labels)
     ]
     return staged.select(*kept, *out, stage.alias("parse_stage")).withColumn(

@@ -6,7 +6,7 @@ from foldgauge import fixed_values as V
 from foldgauge.functions.scores import sigmoid, token_budget
 from foldgauge.operators import splitting as S
 from foldgauge.operators.metrics import RUN
-from foldgauge.operators.parsing import latency_stats, parse_failure_stats, parse_replies, parse_stage_counts
+from foldgauge.operators.parsing import latency_stats, parse_failure_stats, parse_replies, parse_stage_counts, unfenced
 from foldgauge.operators.prompts import zero_shot_messages
 from foldgauge.operators.scoring import chat_predictions, inference_progress, score_replies
 from foldgauge.queries.base import (
@@ -58,6 +58,17 @@ def responses_orders(spark, sf_dir):
     return parsed.select(*RUN, "fold", "o_orderkey", *ORDERS.pred_columns, "parse_stage", "parse_failure")
 
 
+@query(
+    "unfenced_replies",
+    f"""{PARSED} SELECT {RUN_SQL}, fold, doc_id, CASE WHEN starts_with(raw_response, '```')
+  THEN raw_response[9:length(raw_response) - 4] ELSE raw_response END AS reply FROM parsed""",
+)
+def unfenced_replies(spark, sf_dir):
+    return _replies(labelled_corpus(spark, sf_dir), DOCS).select(
+        *RUN, "fold", "doc_id", unfenced(F.col("raw_response")).alias("reply")
+    )
+
+
 @query(
     "chat_prediction_rows",
     f"""{PARSED} SELECT {RUN_SQL}, fold, doc_id, raw_response, quality AS true_quality, toxic AS true_toxic,
