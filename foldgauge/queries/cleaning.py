@@ -24,8 +24,9 @@ STEPS = (
 def steps_sql(source: str, keep: str, text: str) -> str:
     """CTEs ``s_<rule>``, each adding the text after one rule."""
     unescaped = f"coalesce({text}, '')"
-    for entity, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("copy", "©"), ("middot", "·"), ("nbsp", " "), ("#39", "''"), ("amp", "&")):
-        unescaped = f"replace({unescaped}, '&{entity};', '{character}')"
+    for entity, character in (("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'"), ("copy", "'©'"), ("middot", "'·'"), ("nbsp", "chr(160)"), ("#39", "chr(39)"), ("amp", "'&'")):
+        # these names also count without their semicolon
+        unescaped = f"regexp_replace({unescaped}, '&{entity};?', {character}, 'g')"
     ctes = [f"s_hygiene AS (SELECT {keep}, coalesce({text}, '') AS t_source, {unescaped} AS t_hygiene FROM {source})"]
     previous = "hygiene"
     for name, pattern, replacement in STEPS[1:]:

@@ -41,8 +41,6 @@ def difference(frame, relation) -> str | None:
     theirs = sorted((tuple(row[i] for i in where) for row in relation.fetchall()), key=sort_key)
     if len(mine) != len(theirs):
         return f"rows {len(mine)} != {len(theirs)}"
-    if not mine:
-        return "no rows"
     unequal = [(a, b) for a, b in zip(mine, theirs) if a != b]
     if unequal:
         return f"{len(unequal)} of {len(mine)} rows differ, first:\n  {str(unequal[0][0])[:1500]}\n  {str(unequal[0][1])[:1500]}"
