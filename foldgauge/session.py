@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="foldgauge-")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -35,8 +41,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="foldgauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/foldgauge/{uuid.uuid4().hex}"
 
 

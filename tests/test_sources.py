@@ -158,7 +158,23 @@ def test_streams_equal_batches(spark, tmp_path):
 
 
 def test_scratch_is_below_the_shared_folder(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert scratch_dir(spark).startswith(base)
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        assert scratch_dir(spark).startswith(base)
     assert scratch_dir(spark) != scratch_dir(spark)
     assert materialize(spark.range(5)).count() == 5
+
+
+class _Session:
+    """Only what ``scratch_dir`` asks a session for."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default=None: folder or default)})()
+
+
+def test_a_cluster_must_name_its_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session("yarn"))
+    assert scratch_dir(_Session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/foldgauge/")
+    assert scratch_dir(_Session("local[2]")).split("/foldgauge/")[0] == scratch_dir(_Session("local[2]")).split("/foldgauge/")[0]
