@@ -17,11 +17,9 @@ DECISION_THRESHOLD = 0.5
 POS_WEIGHT_CLIP = 50.0
 EPOCHS = 4
 MAX_TOKENS = 512
-MAX_TOKENS_SHORT = 256
 MAX_PROMPT_CHARS = 800
 TRUNCATION_MARK = " ..."
 CLEAN_NEGATIVES = 2
-FEW_SHOT_K = 8
 PROGRESS_EVERY = 50
 
 # --- reply token budgets (fixed values) ---------------------------------------------------------

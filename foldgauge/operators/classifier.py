@@ -71,36 +71,44 @@ def _fit(rows: DataFrame, label: str, weight: float, iterations: int, settings:
     return fit, float(fit.summary.objectiveHistory[-1])
 
 
+ROLE_CODES = {"train": 0, "val": 1, "test": 2}
+
+
+def roles_by_id(roles: DataFrame, schema: CorpusSchema, folds: Sequence[int]) -> DataFrame:
+    """One row per id with a small code per fold, so texts and features need not be copied per fold."""
+    code = F.coalesce(*[F.when(F.col("role") == role, F.lit(value)) for role, value in ROLE_CODES.items()])
+    return roles.groupBy(schema.id).agg(*[F.max(F.when(F.col("fold") == f, code)).alias(f"role_{f}") for f in folds])
+
+
 def train_score_folds(
     corpus: DataFrame, roles: DataFrame, schema: CorpusSchema, settings: TrainSettings, folds: Sequence[int]
 ) -> tuple[DataFrame, DataFrame]:
     """``(predictions, history)`` for the given folds.
 
-    Features are written once to the shared folder and read per fold with the fold as partition column.
+    Features are computed and written once for all folds; a fold's part is a filter on its role column.
     ``history`` has one row per fold and epoch: mean objective over labels, validation macro and micro F1.
     """
     features = token_features(corpus, schema, settings)
-    by_fold = materialize(roles.join(features, schema.id), partition_by=["fold", "role"])
-    spark = corpus.sparkSession
+    stored = materialize(features.join(roles_by_id(roles, schema, folds), schema.id))
     predictions, history = [], []
     for fold in folds:
-        rows = by_fold.where(F.col("fold") == fold)
-        train = rows.where(F.col("role") == "train")
-        idf = IDF(inputCol="counts", outputCol="features").fit(train)
-        train, val, test = [
-            idf.transform(rows.where(F.col("role") == role)).drop("counts") for role in ("train", "val", "test")
-        ]
+
+        def part(role: str) -> DataFrame:
+            rows = stored.where(F.col(f"role_{fold}") == ROLE_CODES[role])  # noqa: B023 - used inside this turn only
+            return rows.select(F.lit(fold).alias("fold"), schema.id, *schema.labels, "counts")  # noqa: B023
+
+        idf = IDF(inputCol="counts", outputCol="features").fit(part("train"))
+        train, val, test = [idf.transform(part(role)).drop("counts") for role in ROLE_CODES]
         train = train.persist()
         weights = dict.fromkeys(schema.labels, 1.0)
         if settings.weighted:
-            weights = {
-                r["label"]: float(r["pos_weight"]) for r in pos_weights(train, schema, settings.pos_weight_clip).collect()
-            }
-        best, best_macro = None, -1.0
+            # One row per label.
+            table = pos_weights(train, schema, settings.pos_weight_clip).collect()
+            weights = {row["label"]: float(row["pos_weight"]) for row in table}
+        best, best_macro = [], -1.0
         for epoch in range(1, settings.epochs + 1):
-            fitted = [
-                _fit(train, label, weights[label], epoch * settings.steps_per_epoch, settings) for label in schema.labels
-            ]
+            steps = epoch * settings.steps_per_epoch
+            fitted = [_fit(train, label, weights[label], steps, settings) for label in schema.labels]
             models = [model for model, _ in fitted]
             val_rows = _prediction_rows(val, models, schema, settings)
             # One row: the metrics of this fold and epoch.
@@ -114,7 +122,7 @@ def train_score_folds(
     scored = predictions[0]
     for more in predictions[1:]:
         scored = scored.unionByName(more)
-    table = spark.createDataFrame(
+    table = corpus.sparkSession.createDataFrame(
         history, "fold int, epoch int, train_loss double, val_macro_f1 double, val_micro_f1 double"
     )
     return scored, table

@@ -43,7 +43,7 @@ def few_shot_exemplars(
     hold no label, so with unique ids (see ``corpus_checks``) they never repeat an earlier exemplar.
     """
     n_labels = len(schema.labels)
-    k = k if k is not None else max(V.FEW_SHOT_K, n_labels + clean_negatives)
+    k = n_labels + clean_negatives if k is None else k
     keys = corpus.select(schema.id, *schema.labels)
     train = roles.where((F.col("role") == "train") & F.col("fold").between(0, n_folds - 1)).select("fold", schema.id)
     card = cardinality(schema.labels)
