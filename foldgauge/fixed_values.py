@@ -86,8 +86,9 @@ WIKI_HEADING = rf"(?U)={{2,}}{BLANK}*([^=]+?){BLANK}*={{2,}}"
 WIKI_LINK = r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]"
 SIGNATURE = r"~{3,}"
 URL = rf"(?U)(?=[hHwW])(?i:https?://|www\.){NON_BLANK}+"
-IP_ADDRESS = r"(?U)(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
-BLANK_RUN = rf"(?U) {BLANK}+|[\s\x1c-\x1f&&[^ ]]{BLANK}*"  # any run but a lone space
+IP_ADDRESS = r"(?U)(?=[^\x00-/:-\x7F])(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
+# Any run of blanks but a lone space.
+BLANK_RUN = rf"(?U)[^!-~](?:(?<= ){BLANK}+|(?<=[\s\x1c-\x1f&&[^ ]]){BLANK}*)"
 BLANKS = rf"(?U){BLANK}+"
 BLANK_ENDS = rf"(?U)^{BLANK}+|{BLANK}+\z"
 USER_MARK = " <USER> "

@@ -70,8 +70,8 @@ class Rule:
         return F.regexp_replace(text, F.lit(self.pattern), F.lit(self.replacement))
 
 
-# Each rule refers to the text once. Testing for a mark first would be a little faster, but refers to it three
-# times, and a plan that puts the cleaned text into a Python function writes the chain out in full.
+# Each rule refers to the text once: a plan that puts the cleaned text into a Python function writes the whole
+# chain out, and rules that test the text first would multiply it with every step.
 STRUCTURAL_RULES = (
     Rule("html_tag", V.HTML_TAG, " "),
     Rule("user_link", V.USER_LINK, V.USER_MARK),
@@ -85,6 +85,17 @@ STRUCTURAL_RULES = (
 )
 
 
+# Texts without any of these skip the wiki rules, which need one of them.
+WIKI_MARKS = ("[[", "{{", "==", "~~~")
+WIKI_RULES = ("user_link", "wiki_template", "wiki_heading", "wiki_link", "signature")
+
+
+def _apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
+    for rule in rules:
+        text = rule.apply(text)
+    return text
+
+
 def _step(name: str) -> str:
     return f"after_{name}"
 
@@ -113,11 +124,25 @@ def clean_corpus(
     enabled: bool = True,
     rules: Sequence[Rule] = STRUCTURAL_RULES,
 ) -> DataFrame:
-    """Adds ``out``: the cleaned text; null becomes empty. Disabled, the text passes unchanged."""
+    """Adds ``out``: the cleaned text; null becomes empty. Disabled, the text passes unchanged.
+
+    The wiki rules follow each other, so one test for their marks spares ordinary texts all of them.
+    """
     if not enabled:
         return df.withColumn(out, F.coalesce(F.col(text).cast("string"), F.lit("")))
     kept = [F.col(name) for name in df.columns if name != out]
-    return cleaning_steps(df, text, rules).select(*kept, F.col("cleaned").alias(out))
+    place = [i for i, rule in enumerate(rules) if rule.name in WIKI_RULES]
+    if not place or place != list(range(place[0], place[-1] + 1)):
+        return cleaning_steps(df, text, rules).select(*kept, F.col("cleaned").alias(out))
+    before, wiki, after = rules[: place[0]], rules[place[0] : place[-1] + 1], rules[place[-1] + 1 :]
+    tagless = cleaning_steps(df, text, before).withColumn("tagless", F.col(_step(before[-1].name if before else HYGIENE)))
+    marked = F.lit(False)
+    for mark in WIKI_MARKS:
+        marked = marked | F.contains("tagless", F.lit(mark))
+    unmarked = tagless.withColumn(
+        "unmarked", F.when(marked, _apply_rules(F.col("tagless"), wiki)).otherwise(F.col("tagless"))
+    )
+    return unmarked.select(*kept, F.trim(_apply_rules(F.col("unmarked"), after)).alias(out))
 
 
 def clean_audit(

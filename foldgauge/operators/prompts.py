@@ -33,13 +33,15 @@ def few_shot_exemplars(
     clean_negatives: int = V.CLEAN_NEGATIVES,
     k: int | None = None,
     clean: bool = True,
+    texts: DataFrame | None = None,
 ) -> DataFrame:
     """``(fold, slot, id, text, labels)``: exemplars from each fold's train part, in prompt order.
 
     Slot i shows label i: a row with only that label if there is one, else any row with it, else the slot
     stays empty. The last slots show rows without labels. Among candidates the seeded hash decides.
     A row is a candidate for each label it holds; winners are found from cell counts, so no fold or label
-    is sorted or collected as a whole, and texts are fetched for the winners only. Rows of the last slots
+    is sorted or collected as a whole, and texts are fetched for the winners only (from ``texts``, a table with
+    id and text, where the corpus itself is a join that would carry texts along). Rows of the last slots
     hold no label, so with unique ids (see ``corpus_checks``) they never repeat an earlier exemplar.
     """
     n_labels = len(schema.labels)
@@ -70,10 +72,11 @@ def few_shot_exemplars(
     in_prompt = Window.partitionBy("fold").orderBy("slot")
     chosen = chosen.withColumn("place", F.row_number().over(in_prompt)).where(F.col("place") <= k)
     # At most n_folds * (labels + negatives) rows: safe to broadcast to the corpus for their texts.
-    texts = corpus.select(schema.id, schema.text).join(
+    texts = corpus if texts is None else texts
+    shown = texts.select(schema.id, schema.text).join(
         F.broadcast(chosen.select("fold", "slot", schema.id, *schema.labels)), schema.id
     )
-    return truncated_comments(texts, schema, out="text", clean=clean).select(
+    return truncated_comments(shown, schema, out="text", clean=clean).select(
         "fold", "slot", schema.id, "text", *schema.labels
     )
 

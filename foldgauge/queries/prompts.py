@@ -101,7 +101,7 @@ SELECT fold, slot, doc_id, text, quality, toxic FROM exemplars""",
 )
 def exemplars(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
-    return P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K)
+    return P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K, texts=table(spark, sf_dir, "documents"))
 
 
 @query(
@@ -115,7 +115,7 @@ def few_shot(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
     roles = written_roles(spark, sf_dir)
     test = S.fold_rows(corpus.select("doc_id", "text"), roles, DOCS, "test")
-    chosen = P.few_shot_exemplars(corpus, roles, DOCS, K)
+    chosen = P.few_shot_exemplars(corpus, roles, DOCS, K, texts=table(spark, sf_dir, "documents"))
     return _messages(P.few_shot_messages(test, chosen, DOCS), "fold", "doc_id")
 
 
@@ -129,7 +129,7 @@ def few_shot(spark, sf_dir):
 )
 def templates(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
-    return P.prompt_templates(P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K), DOCS)
+    return P.prompt_templates(P.few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K, texts=table(spark, sf_dir, "documents")), DOCS)
 
 
 @query(

@@ -6,7 +6,7 @@ from foldgauge.operators import metrics as M
 from foldgauge.operators import splitting as S
 from foldgauge.operators.prompts import few_shot_exemplars, prompt_templates
 from foldgauge.operators.report import markdown_rows, markdown_table
-from foldgauge.queries.base import CORPUS_SQL, DOCS, folds_sql, labelled_corpus, query, roles_sql, scores_sql, written_roles
+from foldgauge.queries.base import CORPUS_SQL, DOCS, folds_sql, labelled_corpus, query, roles_sql, scores_sql, table, written_roles
 from foldgauge.queries.metrics import (
     DOC_COMPARISON,
     DOC_METRICS,
@@ -108,7 +108,7 @@ SELECT fold, slot, doc_id, text, quality, toxic FROM exemplars""",
 def exemplar_table(spark, sf_dir):
     corpus = labelled_corpus(spark, sf_dir)
     path = scratch_dir(spark)
-    runs_io.write_exemplars(few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K), path)
+    runs_io.write_exemplars(few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K, texts=table(spark, sf_dir, "documents")), path)
     return runs_io.read_exemplars(spark, path)
 
 
@@ -121,6 +121,6 @@ def first_template(spark, sf_dir):
     """Templates written per mode and fold; the first one of each mode is what a report shows."""
     corpus = labelled_corpus(spark, sf_dir)
     path = scratch_dir(spark)
-    runs_io.write_templates(prompt_templates(few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K), DOCS), path)
+    runs_io.write_templates(prompt_templates(few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K, texts=table(spark, sf_dir, "documents")), DOCS), path)
     first = M.first_path(runs_io.read_templates(spark, path), "fold", "template", ["mode"])
     return first.select("mode", "fold", F.contains("template", F.lit("<<COMMENT_TEXT>>")).alias("has_hole"))

@@ -15,6 +15,7 @@ from foldgauge.queries.base import (
     labelled_orders,
     query,
     roles_sql,
+    table,
     written_roles,
 )
 from foldgauge.queries.corpus import SAMPLE_N, sample_sql
@@ -141,4 +142,6 @@ FROM roles GROUP BY fold""",
 )
 def leaks(spark, sf_dir):
     roles = written_roles(spark, sf_dir)
-    return S.leakage_check(roles, few_shot_exemplars(labelled_corpus(spark, sf_dir), roles, DOCS, K), DOCS)
+    return S.leakage_check(roles, few_shot_exemplars(
+        labelled_corpus(spark, sf_dir), roles, DOCS, K, texts=table(spark, sf_dir, "documents")
+    ), DOCS)

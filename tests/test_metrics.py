@@ -61,6 +61,7 @@ def test_mean_and_population_deviation(spark, schema):
     table = M.comparison_table(aggregated, schema)
     assert M.comparison_display(table, schema).first()["a_F1"] == "0.3000 ± 0.1000"
     assert M.run_summary(aggregated, k=5).count() == 0 and M.run_summary(aggregated, k=2).count() == 1
+    assert M.run_summary(aggregated, k=2, limited=True).count() == 0
     long = {r["label"]: r["f1_std"] for r in M.fold_mean_std(aggregated, schema).collect()}
     assert long["c"] == pytest.approx(0.1)
     results = M.per_fold_results(metrics).where("fold = 2").collect()
