@@ -28,6 +28,7 @@ from foldgauge.queries.base import (
 )
 from foldgauge.queries.metrics import RUN_SQL, prompted_predictions
 from foldgauge.queries.prompts import COMMENTS_SQL
+from foldgauge.session import materialize
 
 PARSED = f"WITH {CORPUS_SQL}, {folds_sql(DOCS, 'corpus')}, {replies_sql(DOCS, 'corpus')}, {parsed_sql(DOCS)}"
 PARSED_ORDERS = f"WITH {ORDERS_SQL}, {folds_sql(ORDERS, 'orders_labelled')}, {replies_sql(ORDERS, 'orders_labelled')}, {parsed_sql(ORDERS)}"
@@ -124,14 +125,21 @@ def progress_sql(schema, parsed: str) -> str:
 FROM totals WHERE done % 50 = 0 OR done = n"""
 
 
+def _progress(corpus, schema):
+    """Progress of calls already answered: the scored table is written once, as the scoring flow does."""
+    columns = [*RUN, "fold", schema.id, "parse_failure", "latency_seconds"]
+    calls = materialize(prompted_predictions(corpus, schema).select(columns))
+    return inference_progress(calls, schema, [*RUN, "fold"])
+
+
 @query("inference_progress", progress_sql(DOCS, PARSED))
 def progress(spark, sf_dir):
-    return inference_progress(prompted_predictions(labelled_corpus(spark, sf_dir), DOCS), DOCS, [*RUN, "fold"])
+    return _progress(labelled_corpus(spark, sf_dir), DOCS)
 
 
 @query("inference_progress_orders", progress_sql(ORDERS, PARSED_ORDERS))
 def progress_orders(spark, sf_dir):
-    return inference_progress(prompted_predictions(labelled_orders(spark, sf_dir), ORDERS), ORDERS, [*RUN, "fold"])
+    return _progress(labelled_orders(spark, sf_dir), ORDERS)
 
 
 @query(
