@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from foldgauge.llm.common import ALNUM, span_hashes, text_bytes, with_row, word_spans
 from foldgauge.llm.registry import query, table
+from foldgauge.session import materialize
 
 WINDOW = 13
 SHARD_WORDS = 1 << 20
@@ -268,6 +269,9 @@ def find_matches(
     spark = docs.sparkSession
     passes = []
     for tests in benchmark_blocks(benchmark, item_column, item_text_column, window, block_words):
+        if len(passes) == 1:
+            narrow = materialize(narrow)  # several passes: the row numbers must agree
+            passes = [narrow.mapInArrow(first_match, f"_row long, id {kind}, {_FOUND}")]
         shared = spark.sparkContext.broadcast(tests)
 
         def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -276,6 +280,7 @@ def find_matches(
                 names = ["_row", "id", "n_words", "spans", "items", "longest"]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=names)
 
+        first_match = match if not passes else first_match
         passes.append(narrow.mapInArrow(match, f"_row long, id {kind}, {_FOUND}"))
     if len(passes) == 1:
         return passes[0]
@@ -330,13 +335,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
     """``docs`` without its contaminated rows, all columns as they are, in the same pass if one block suffices."""
     window = options.get("window", WINDOW)
-    blocks = list(benchmark_blocks(benchmark, "item_id", "text", window, options.get("block_words", BENCHMARK_WORDS)))
+    blocks = benchmark_blocks(benchmark, "item_id", "text", window, options.get("block_words", BENCHMARK_WORDS))
+    tests, further = next(blocks), next(blocks, None)
     position = docs.columns.index(text_column)
-    if len(blocks) > 1:
-        rows = docs.withColumn("_row", F.monotonically_increasing_id())
-        bad = contamination(docs, benchmark, docs.columns[0], text_column=text_column, **options).where("contaminated")
-        return rows.join(bad.select("_row"), "_row", "left_anti").drop("_row")
-    shared = docs.sparkSession.sparkContext.broadcast(blocks[0])
+    if further is not None:
+        whole = materialize(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("whole")))
+        narrow = whole.select("number", F.col("whole")[text_column].alias("text"))
+        bad = contamination(narrow, benchmark, "number", **options).where("contaminated")
+        return whole.join(bad.select("number"), "number", "left_anti").select("whole.*")
+    shared = docs.sparkSession.sparkContext.broadcast(tests)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

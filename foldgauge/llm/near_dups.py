@@ -42,7 +42,6 @@ from foldgauge.llm.common import (
     small_enough,
     span_hashes,
     text_bytes,
-    with_row,
     word_spans,
 )
 from foldgauge.llm.registry import query, table
@@ -148,7 +147,7 @@ def signed_documents(
     docs: DataFrame, id_column: str, text_column: str, words: int, bands: int, rows: int, weighting: str
 ) -> DataFrame:
     """One row for each text: the hash of its whole weighted set, its band keys and a byte of each coordinate."""
-    narrow = with_row(docs, F.col(id_column).alias("id"), F.col(text_column).alias("body"))
+    narrow = docs.select("_row", F.col(id_column).alias("id"), F.col(text_column).alias("body"))
     kind = narrow.schema["id"].dataType.simpleString()
     counted = weighting == "count"
     if weighting not in ("set", "count"):
@@ -200,7 +199,7 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, text_column: str, words: i
     Only texts named in a pair are read; they are stored as sets once and joined to the pairs by shuffle.
     """
     named = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_row"))
-    texts = with_row(docs, F.col(text_column).alias("body")).join(small_enough(named), "_row", "left_semi")
+    texts = docs.select("_row", F.col(text_column).alias("body")).join(small_enough(named), "_row", "left_semi")
     counted = weighting == "count"
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,10 +310,10 @@ def near_duplicate_classes(
     margin: float = MARGIN,
     block: int = BLOCK_MEMBERS,
 ) -> DataFrame:
-    """(_row, id, class_id, class_rows, n_texts, keep): the class of every row, a table in the shared folder.
+    """(_row, id, class_id, class_rows, n_texts, keep): the class of every row.
 
-    ``class_id`` is the least id of the class, ``n_texts`` its number of different shingle sets. ``_row`` numbers
-    the rows of ``docs``, which must be a stored table for it to mean the same in a later job.
+    ``docs`` is a stored table with a unique ``_row`` (``numbered``); it is read twice, for the signatures and for the
+    texts that pairs name. ``class_id`` is the least id of the class, ``n_texts`` its number of different shingle sets.
     """
     signed = materialize(signed_documents(docs, id_column, text_column, words, bands, rows, weighting))
     same = ["size", "key_a", "key_b"]
@@ -376,16 +375,24 @@ def near_duplicate_classes(
     )
 
 
-def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row of each class, all columns as they are."""
-    dropped = materialize(near_duplicate_classes(docs, **options).where("NOT keep").select("_row"))
-    numbered = docs.select(F.struct(*docs.columns).alias("whole"), F.monotonically_increasing_id().alias("_row"))
-    return numbered.join(small_enough(dropped), "_row", "left_anti").select("whole.*")
+def numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """The columns with a ``_row`` number, written once: numbers of two scans need not agree."""
+    return materialize(docs.select(F.monotonically_increasing_id().alias("_row"), *columns))
+
+
+def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each class, all columns as they are (columns named like ours do no harm)."""
+    whole = numbered(docs, F.struct(*docs.columns).alias("whole"))
+    narrow = whole.select("_row", F.col("whole")[id_column].alias("id"), F.col("whole")[text_column].alias("text"))
+    classes = near_duplicate_classes(narrow, "id", "text", **options)
+    dropped = materialize(classes.where("NOT keep").select("_row"))
+    return whole.join(small_enough(dropped), "_row", "left_anti").select("whole.*")
 
 
 @query("op1_near_duplicates")
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicate_classes(table(spark, sf_dir, "documents")).drop("_row")
+    docs = numbered(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return near_duplicate_classes(docs).drop("_row")
 
 
-__all__ = ["band_keys", "connected", "dart_signatures", "near_duplicate_classes", "without_near_duplicates"]
+__all__ = ["band_keys", "connected", "dart_signatures", "near_duplicate_classes", "numbered", "without_near_duplicates"]
