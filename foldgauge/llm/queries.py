@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldgauge.llm import decontaminate, near_dups, packing, pii, secrets, token_counts  # noqa: F401
+from foldgauge.llm import decontaminate, near_dups, packing, pii, quality, secrets, token_counts, url_filter  # noqa: F401
 from foldgauge.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
