@@ -272,11 +272,12 @@ def find_matches(
         if len(passes) == 1:
             narrow = materialize(narrow)  # several passes: the row numbers must agree
             passes = [narrow.mapInArrow(first_match, f"_row long, id {kind}, {_FOUND}")]
-        shared = spark.sparkContext.broadcast(tests)
+        shared = spark.sparkContext.broadcast(vars(tests))  # plain arrays: classes travel with the task
 
         def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            tests = TestWindows(**shared.value)
             for batch in batches:
-                found = batch_matches(batch.column(2), shared.value, shard_words)
+                found = batch_matches(batch.column(2), tests, shard_words)
                 names = ["_row", "id", "n_words", "spans", "items", "longest"]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=names)
 
@@ -343,11 +344,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "t
         narrow = whole.select("number", F.col("whole")[text_column].alias("text"))
         bad = contamination(narrow, benchmark, "number", **options).where("contaminated")
         return whole.join(bad.select("number"), "number", "left_anti").select("whole.*")
-    shared = docs.sparkSession.sparkContext.broadcast(tests)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(tests))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = TestWindows(**shared.value)
         for batch in batches:
-            n_words, spans, _, _ = batch_matches(batch.column(position), shared.value)
+            n_words, spans, _, _ = batch_matches(batch.column(position), tests)
             hit = np.array([sum(s[1::2]) - sum(s[::2]) for s in spans.to_pylist()], dtype=np.int64)
             yield batch.filter(pa.array(~((hit > 0) & (20 * hit >= n_words.to_numpy()))))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldgauge.llm import decontaminate, near_dups, neighbours, packing, pii, quality, secrets, token_counts, url_filter  # noqa: F401
+from foldgauge.llm import credentials, decontaminate, lm_scores, near_dups, neighbours, packing, pii, quality, token_counts, url_filter  # noqa: F401
 from foldgauge.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
