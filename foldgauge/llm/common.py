@@ -12,7 +12,7 @@ from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 21
@@ -162,6 +162,11 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, so that no name of ours can meet one of theirs."""
+    return F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("whole")
+
+
 def with_row(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns and ``_row``, a number that marks a row of a stored table through one flow."""
     return df.select(F.monotonically_increasing_id().alias("_row"), *columns)

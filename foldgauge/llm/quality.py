@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, word_spans
+from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, whole_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
 BUCKET_BITS = 20
-TRAIN_ROWS = 60_000
+TRAIN_ROWS = 40_000
 SURE = 0.98
 TRUST = 0.9999
 ROUNDS = 50
@@ -222,6 +222,10 @@ def fit_scorers(
     columns = [F.col("votes")[k].alias(name) for k, name in enumerate(_HEURISTICS)]
     known = [F.coalesce(F.col(f"known_{q}"), F.lit(0).cast("tinyint")).alias(f"known_{q}") for q in QUESTIONS]
     flat = rows.select(*columns, *known, "features", "drawn")
+    # bounded by train_rows, as flat Arrow arrays
+    sample = flat.where("drawn").drop("drawn").toArrow()
+    listed = sample.column("features").combine_chunks()
+    values, ends = listed.values.to_numpy(), listed.offsets.to_numpy()
     weights, facts = {}, {}
     for question in QUESTIONS:
         names = [n if n != "known" else f"known_{question}" for n in LABELLERS[question]]
@@ -231,11 +235,10 @@ def fit_scorers(
         prior, tables, posterior = estimate(patterns, counts)
         facts[question] = {"prior": prior, "accuracy": {n: tables[k].tolist() for k, n in enumerate(names)}}
         belief = {tuple(p): float(x) for p, x in zip(patterns.tolist(), posterior, strict=True)}
-        sample = flat.where("drawn").select(*names, "features").toPandas()  # bounded by train_rows
-        target = np.array([belief[tuple(int(v) for v in row)] for row in sample[names].itertuples(index=False)])
+        votes = np.stack([sample.column(n).to_numpy() for n in names], axis=1).tolist()
+        target = np.array([belief[tuple(row)] for row in votes])
         use = np.flatnonzero((target >= sure) | (target <= 1 - sure))
-        features = sample["features"].tolist()
-        weights[question] = LinearScorer().fit([np.asarray(features[k]) for k in use.tolist()], target[use])
+        weights[question] = LinearScorer().fit([values[ends[k] : ends[k + 1]] for k in use.tolist()], target[use])
     return weights, facts
 
 
@@ -285,14 +288,14 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     """``docs`` without the rejected rows, all columns as they are, in one pass."""
     weights, _ = fit_scorers(docs, labels, id_column, text_column, **options)
     shared = docs.sparkSession.sparkContext.broadcast(_sparse(weights))
-    position = docs.columns.index(text_column)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = _batch_scores(batch.column(position), shared.value)
+            scores = _batch_scores(batch.column(0).field(text_column), shared.value)
             yield batch.filter(pa.array((scores["poor"] < 0.5) & (scores["toxic"] < 0.5)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    whole = docs.select(whole_row(docs))
+    return whole.mapInArrow(keep, whole.schema).select("whole.*")
 
 
 @query("op9_quality")
