@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, span_hashes, text_bytes, with_row, word_spans
+from foldgauge.llm.common import ALNUM, span_hashes, text_bytes, whole_row, with_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
@@ -338,9 +338,8 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "t
     window = options.get("window", WINDOW)
     blocks = benchmark_blocks(benchmark, "item_id", "text", window, options.get("block_words", BENCHMARK_WORDS))
     tests, further = next(blocks), next(blocks, None)
-    position = docs.columns.index(text_column)
     if further is not None:
-        whole = materialize(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("whole")))
+        whole = materialize(docs.select(F.monotonically_increasing_id().alias("number"), whole_row(docs)))
         narrow = whole.select("number", F.col("whole")[text_column].alias("text"))
         bad = contamination(narrow, benchmark, "number", **options).where("contaminated")
         return whole.join(bad.select("number"), "number", "left_anti").select("whole.*")
@@ -349,11 +348,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "t
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = TestWindows(**shared.value)
         for batch in batches:
-            n_words, spans, _, _ = batch_matches(batch.column(position), tests)
+            n_words, spans, _, _ = batch_matches(batch.column(0).field(text_column), tests)
             hit = np.array([sum(s[1::2]) - sum(s[::2]) for s in spans.to_pylist()], dtype=np.int64)
             yield batch.filter(pa.array(~((hit > 0) & (20 * hit >= n_words.to_numpy()))))
 
-    return docs.mapInArrow(keep, docs.schema)
+    whole = docs.select(whole_row(docs))
+    return whole.mapInArrow(keep, whole.schema).select("whole.*")
 
 
 OP8_SQL = r"""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import small_enough
+from foldgauge.llm.common import small_enough, whole_row
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
@@ -266,7 +266,7 @@ def find_personal_data(
 def mask_personal_data(docs: DataFrame, text_column: str = "text", length_column: str | None = "n_chars", **options) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets (overlapping spans by the first one's); other
     columns stay, the length column follows the new text. Null texts stay null."""
-    whole = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("whole")))
+    whole = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), whole_row(docs)))
     narrow = whole.select("_row", F.col("whole")[text_column].alias("body"))
     scanned = materialize(_scanned(narrow, 1, ["_row"]))
     more = _all_spans(scanned, options.get("rounds", ROUNDS), options.get("support", SUPPORT), options.get("confidence", CONFIDENCE))
