@@ -29,11 +29,6 @@ NUM_PREDICT_THINK = 2048
 REASONING_TAGS = ("gpt-oss", "deepseek-r1", "qwq", "o1")
 
 # --- model names (fixed values) -----------------------------------------------------------------
-ENCODER_NAMES = {
-    "distilbert": "distilbert-base-uncased",
-    "roberta": "roberta-base",
-    "bert": "bert-base-uncased",
-}
 CHAT_NAMES = {
     "llama3": "llama3:8b",
     "qwen": "qwen2.5:7b-instruct",
@@ -82,7 +77,8 @@ ZERO_WIDTH = "[\u200b-\u200d\u2060\ufeff]"
 HTML_TAG = r"<[^>]+>"
 USER_LINK = rf"(?iU)\[\[{BLANK}*(?:User|User talk|Special:Contributions){BLANK}*:[^\]]*\]\]"
 WIKI_TEMPLATE = r"\{\{[^{}]*\}\}"
-WIKI_HEADING = rf"(?U)={{2,}}{BLANK}*([^=]+?){BLANK}*={{2,}}"
+# Blanks inside a heading are left to the last rule, which keeps this one linear.
+WIKI_HEADING = r"(?<!=)={2,}+([^=]++)={2,}"
 WIKI_LINK = r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]"
 SIGNATURE = r"~{3,}"
 URL = rf"(?U)(?=[hHwW])(?i:https?://|www\.){NON_BLANK}+"

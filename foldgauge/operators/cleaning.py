@@ -66,18 +66,26 @@ class Rule:
     pattern: str
     replacement: str
 
+    upto: str = ""
+
     def apply(self, text: Column) -> Column:
-        return F.regexp_replace(text, F.lit(self.pattern), F.lit(self.replacement))
+        """A pattern that must end in ``upto`` is tried only before the last of these, where every start finds
+        an end; behind it each start would search the whole rest in vain."""
+        if not self.upto:
+            return F.regexp_replace(text, F.lit(self.pattern), F.lit(self.replacement))
+        rest = F.substring_index(text, self.upto, -1)
+        head = F.left(text, F.length(text) - F.length(rest))
+        return F.concat(F.regexp_replace(head, F.lit(self.pattern), F.lit(self.replacement)), rest)
 
 
 # Each rule refers to the text once: a plan that puts the cleaned text into a Python function writes the whole
 # chain out, and rules that test the text first would multiply it with every step.
 STRUCTURAL_RULES = (
-    Rule("html_tag", V.HTML_TAG, " "),
-    Rule("user_link", V.USER_LINK, V.USER_MARK),
+    Rule("html_tag", V.HTML_TAG, " ", upto=">"),
+    Rule("user_link", V.USER_LINK, V.USER_MARK, upto="]]"),
     Rule("wiki_template", V.WIKI_TEMPLATE, " "),
     Rule("wiki_heading", V.WIKI_HEADING, " $1 "),
-    Rule("wiki_link", V.WIKI_LINK, "$1"),
+    Rule("wiki_link", V.WIKI_LINK, "$1", upto="]]"),
     Rule("signature", V.SIGNATURE, " "),
     Rule("url", V.URL, V.URL_MARK),
     Rule("ip_address", V.IP_ADDRESS, V.IP_MARK),
@@ -97,13 +105,13 @@ def _apply_rules(text: Column, rules: Sequence[Rule]) -> Column:
 
 
 def _step(name: str) -> str:
-    return f"after_{name}"
+    return f"_cleaning_after_{name}"
 
 
 def cleaning_steps(df: DataFrame, text: str, rules: Sequence[Rule] = STRUCTURAL_RULES) -> DataFrame:
-    """Adds one column per rule holding the text after it. Each step is a projection of its own, so a
+    """Adds one column per rule holding the text after it; its columns begin with ``_cleaning_``. Each step is a projection of its own, so a
     text is computed once and then referenced."""
-    source = "before_cleaning"
+    source = "_cleaning_before"
     out = df.withColumn(source, F.coalesce(F.col(text).cast("string"), F.lit("")))
     in_python = _hygiene(F.when(F.col(source).rlike(NEEDS_PYTHON), F.col(source)))
     plain = F.coalesce(in_python, F.col(source))
@@ -114,7 +122,7 @@ def cleaning_steps(df: DataFrame, text: str, rules: Sequence[Rule] = STRUCTURAL_
     for rule in rules:
         out = out.withColumn(_step(rule.name), rule.apply(F.col(previous)))
         previous = _step(rule.name)
-    return out.withColumn("cleaned", F.trim(previous))
+    return out.withColumn("_cleaning_done", F.trim(previous))
 
 
 def clean_corpus(
@@ -133,16 +141,16 @@ def clean_corpus(
     kept = [F.col(name) for name in df.columns if name != out]
     place = [i for i, rule in enumerate(rules) if rule.name in WIKI_RULES]
     if not place or place != list(range(place[0], place[-1] + 1)):
-        return cleaning_steps(df, text, rules).select(*kept, F.col("cleaned").alias(out))
+        return cleaning_steps(df, text, rules).select(*kept, F.col("_cleaning_done").alias(out))
     before, wiki, after = rules[: place[0]], rules[place[0] : place[-1] + 1], rules[place[-1] + 1 :]
-    tagless = cleaning_steps(df, text, before).withColumn("tagless", F.col(_step(before[-1].name if before else HYGIENE)))
+    tagless = cleaning_steps(df, text, before).withColumn("_cleaning_tagless", F.col(_step(before[-1].name if before else HYGIENE)))
     marked = F.lit(False)
     for mark in WIKI_MARKS:
-        marked = marked | F.contains("tagless", F.lit(mark))
+        marked = marked | F.contains("_cleaning_tagless", F.lit(mark))
     unmarked = tagless.withColumn(
-        "unmarked", F.when(marked, _apply_rules(F.col("tagless"), wiki)).otherwise(F.col("tagless"))
+        "_cleaning_unmarked", F.when(marked, _apply_rules(F.col("_cleaning_tagless"), wiki)).otherwise(F.col("_cleaning_tagless"))
     )
-    return unmarked.select(*kept, F.trim(_apply_rules(F.col("unmarked"), after)).alias(out))
+    return unmarked.select(*kept, F.trim(_apply_rules(F.col("_cleaning_unmarked"), after)).alias(out))
 
 
 def clean_audit(
@@ -153,7 +161,7 @@ def clean_audit(
     One aggregate with two sums per rule, combined on the map side; only its few rows become long.
     """
     names = [HYGIENE, *[rule.name for rule in rules]]
-    befores = ["before_cleaning", *[_step(name) for name in names[:-1]]]
+    befores = ["_cleaning_before", *[_step(name) for name in names[:-1]]]
     sums = [F.count(F.lit(1)).alias("n_rows")]
     for name, before in zip(names, befores):
         after = _step(name)

@@ -142,8 +142,8 @@ def comparison_display(table: DataFrame, schema: CorpusSchema, run: Sequence[str
     return table.select(*run, *[mean_pm_std(F.col(f"{name}_mean"), F.col(f"{name}_std")).alias(out) for out, name in cells])
 
 
-def run_summary(aggregated: DataFrame, k: int = V.N_FOLDS, limited: bool = False) -> DataFrame:
-    """Runs with all ``k`` folds; a run with missing folds, or with a row limit, has no summary."""
+def run_summary(aggregated: DataFrame, k: int, limited: bool = False) -> DataFrame:
+    """Runs with all ``k`` folds of their split; a run with missing folds, or with a row limit, has no summary."""
     return aggregated.where((F.col("n_folds") == k) & F.lit(not limited))
 
 

@@ -28,6 +28,10 @@ from foldgauge.functions.text import strip_blanks
 FALSY_JSON = r'(?:null|false|""|\[\]|-?0+(?:\.0*)?(?:[eE][-+]?\d+)?)[,}]'
 
 
+# Stands for a reply whose reading failed as a whole: no label is set and it counts as a failure.
+UNREADABLE = "!"
+
+
 def unfenced(raw: Column) -> Column:
     """The reply without surrounding blanks and code fences.
 
@@ -48,15 +52,19 @@ def _python_reader(labels: Sequence[str]):
     Spark writes a mostly null array column to Arrow far more slowly than a mostly null text column."""
     names = list(labels)
 
+    def read_object(found: re.Match) -> dict | None:
+        try:
+            return json.loads(found.group())
+        except ValueError:
+            return None
+
     def bits(reply: str) -> str | None:
-        for candidate in re.findall(V.JSON_OBJECT, reply):
-            try:
-                values = json.loads(candidate)
-            except ValueError:
-                continue
-            if any(name in values for name in names):
-                return "".join("1" if values.get(name) else "0" for name in names)
-        return None
+        objects = (read_object(found) for found in re.finditer(V.JSON_OBJECT, reply))
+        try:
+            values = next((o for o in objects if o and not o.keys().isdisjoint(names)), None)
+        except RecursionError:  # brackets nested too deep
+            return UNREADABLE
+        return values and "".join("1" if values.get(name) else "0" for name in names)
 
     @F.arrow_udf(T.StringType())
     def read(replies: pa.Array) -> pa.Array:
@@ -68,37 +76,39 @@ def _python_reader(labels: Sequence[str]):
 
 
 def parse_replies(df: DataFrame, raw: str, labels: Sequence[str], prefix: str = "pred_") -> DataFrame:
-    """Adds ``<prefix><label>`` ints, ``parse_stage`` and ``parse_failure``; all other columns stay."""
+    """Adds ``<prefix><label>`` ints, ``parse_stage`` and ``parse_failure``; all other columns stay. Columns that begin with
+    ``_parsing_`` are its own."""
     kept = list(df.columns)
-    found = df.withColumn("reply", F.coalesce(F.col(raw), F.lit(""))).withColumn(
-        "candidates", F.regexp_extract_all("reply", F.lit(V.JSON_OBJECT), F.lit(0))
+    found = df.withColumn("_parsing_reply", F.coalesce(F.col(raw), F.lit(""))).withColumn(
+        "_parsing_candidates", F.regexp_extract_all("_parsing_reply", F.lit(V.JSON_OBJECT), F.lit(0))
     )
-    canonical = found.withColumn("canonical", F.transform("candidates", lambda c: F.to_json(F.try_parse_json(c))))
+    canonical = found.withColumn("_parsing_canonical", F.transform("_parsing_candidates", lambda c: F.to_json(F.try_parse_json(c))))
     # The arrays end here: only texts travel past the Python step.
     chosen = canonical.select(
         *kept,
-        "reply",
-        F.get(F.filter("canonical", lambda text: text.rlike(_key_pattern(labels))), F.lit(0)).alias("object"),
-        F.when(F.exists("canonical", lambda text: text.isNull()), F.col("reply")).alias("refused_reply"),
-    ).withColumn("from_python", _python_reader(labels)("refused_reply"))
+        "_parsing_reply",
+        F.get(F.filter("_parsing_canonical", lambda text: text.rlike(_key_pattern(labels))), F.lit(0)).alias("_parsing_object"),
+        F.when(F.exists("_parsing_canonical", lambda text: text.isNull()), F.col("_parsing_reply")).alias("_parsing_refused_reply"),
+    ).withColumn("_parsing_from_python", _python_reader(labels)("_parsing_refused_reply"))
     value_bits = [
         F.when(
-            F.col("object").rlike(_key_pattern([label])) & ~F.col("object").rlike(_key_pattern([label]) + FALSY_JSON), "1"
+            F.col("_parsing_object").rlike(_key_pattern([label])) & ~F.col("_parsing_object").rlike(_key_pattern([label]) + FALSY_JSON), "1"
         ).otherwise("0")
         for label in labels
     ]
-    json_bits = F.when(F.col("refused_reply").isNotNull(), F.col("from_python")).when(F.col("object").isNotNull(), F.concat(*value_bits))
-    digits = F.array(*[F.regexp_extract("reply", V.LABEL_DIGIT % label, 1) for label in labels])
-    staged = chosen.withColumn("json_bits", json_bits).withColumn(
-        "digits", F.when(F.col("json_bits").isNull(), digits)
+    json_bits = F.when(F.col("_parsing_refused_reply").isNotNull(), F.col("_parsing_from_python")).when(F.col("_parsing_object").isNotNull(), F.concat(*value_bits))
+    digits = F.array(*[F.regexp_extract("_parsing_reply", V.LABEL_DIGIT % label, 1) for label in labels])
+    staged = chosen.withColumn("_parsing_json_bits", json_bits).withColumn(
+        "_parsing_digits", F.when(F.col("_parsing_json_bits").isNull(), digits)
     )
     stage = (
-        F.when(F.col("json_bits").isNotNull(), "json")
-        .when(F.array_contains("digits", "1") | F.array_contains("digits", "0"), "pattern")
+        F.when(F.col("_parsing_json_bits") == UNREADABLE, "none")
+        .when(F.col("_parsing_json_bits").isNotNull(), "json")
+        .when(F.array_contains("_parsing_digits", "1") | F.array_contains("_parsing_digits", "0"), "pattern")
         .otherwise("none")
     )
     out = [
-        F.when(F.coalesce(F.substring("json_bits", i + 1, 1), F.get("digits", F.lit(i))) == "1", 1)
+        F.when(F.coalesce(F.substring("_parsing_json_bits", i + 1, 1), F.get("_parsing_digits", F.lit(i))) == "1", 1)
         .otherwise(0)
         .alias(f"{prefix}{label}")
         for i, label in enumerate(labels)

@@ -10,7 +10,7 @@ from foldgauge import fixed_values as V
 from foldgauge.functions.labels import HASH_BITS, cardinality, hash_cell, labels_json, seeded_hash
 from foldgauge.functions.text import message, render_messages, truncate_clean
 from foldgauge.operators.cleaning import clean_corpus
-from foldgauge.operators.ranking import first_rows
+from foldgauge.operators.ranking import BROADCAST_ROWS, first_rows
 from foldgauge.schema import CorpusSchema
 
 CELL_BITS = 12
@@ -28,7 +28,7 @@ def few_shot_exemplars(
     corpus: DataFrame,
     roles: DataFrame,
     schema: CorpusSchema,
-    n_folds: int,
+    n_folds: int | None = None,
     seed: int = V.EXEMPLAR_SEED,
     clean_negatives: int = V.CLEAN_NEGATIVES,
     k: int | None = None,
@@ -42,12 +42,14 @@ def few_shot_exemplars(
     A row is a candidate for each label it holds; winners are found from cell counts, so no fold or label
     is sorted or collected as a whole, and texts are fetched for the winners only (from ``texts``, a table with
     id and text, where the corpus itself is a join that would carry texts along). Rows of the last slots
-    hold no label, so with unique ids (see ``corpus_checks``) they never repeat an earlier exemplar.
+    hold no label, so with unique ids (see ``corpus_checks``) they never repeat an earlier exemplar. Every fold of
+    ``roles`` gets exemplars; ``n_folds`` only spares counting them, and decides nothing but the kind of join.
     """
+    n_folds = roles.select("fold").distinct().count() if n_folds is None else n_folds
     n_labels = len(schema.labels)
     k = n_labels + clean_negatives if k is None else k
     keys = corpus.select(schema.id, *schema.labels)
-    train = roles.where((F.col("role") == "train") & F.col("fold").between(0, n_folds - 1)).select("fold", schema.id)
+    train = roles.where(F.col("role") == "train").select("fold", schema.id)
     card = cardinality(schema.labels)
     slots = F.array_compact(
         F.array(
@@ -71,11 +73,11 @@ def few_shot_exemplars(
     ).withColumn("slot", F.col("slot") + F.col("position").cast("int") - 1)
     in_prompt = Window.partitionBy("fold").orderBy("slot")
     chosen = chosen.withColumn("place", F.row_number().over(in_prompt)).where(F.col("place") <= k)
-    # At most n_folds * (labels + negatives) rows: safe to broadcast to the corpus for their texts.
     texts = corpus if texts is None else texts
-    shown = texts.select(schema.id, schema.text).join(
-        F.broadcast(chosen.select("fold", "slot", schema.id, *schema.labels)), schema.id
-    )
+    winners = chosen.select("fold", "slot", schema.id, *schema.labels)
+    if n_folds * (n_labels + clean_negatives) <= BROADCAST_ROWS:
+        winners = F.broadcast(winners)
+    shown = texts.select(schema.id, schema.text).join(winners, schema.id)
     return truncated_comments(shown, schema, out="text", clean=clean).select(
         "fold", "slot", schema.id, "text", *schema.labels
     )
@@ -123,10 +125,10 @@ def few_shot_messages(
 ) -> DataFrame:
     """Adds ``messages`` with the exemplars of the row's fold in front of its comment.
 
-    The exemplar text is rendered once per fold and broadcast: folds are few and each prefix is bounded by
-    the exemplar number and the comment length limit. The left join keeps rows of folds without exemplars.
+    The exemplar text is rendered once per fold; Spark measures that table and broadcasts it if it is small. The left
+    join keeps rows of folds without exemplars; ``folds_without_exemplars`` names them.
     """
-    prefixes = F.broadcast(few_shot_prefixes(exemplars, schema))
+    prefixes = few_shot_prefixes(exemplars, schema)
     user = F.concat(
         F.coalesce("prefix", F.lit(V.FEW_SHOT_HEADER)),
         F.lit(V.FEW_SHOT_QUERY_PREFIX),
@@ -141,9 +143,23 @@ def few_shot_messages(
     )
 
 
-def prompt_templates(exemplars: DataFrame, schema: CorpusSchema, system_prompt: str = V.SYSTEM_PROMPT) -> DataFrame:
-    """``(mode, fold, template)``: the rendered prompts with a placeholder comment, which is not cleaned."""
+def folds_without_exemplars(roles: DataFrame, exemplars: DataFrame) -> DataFrame:
+    """``(fold)``: folds whose few-shot prompts would show no exemplar."""
+    return roles.select("fold").distinct().join(exemplars.select("fold").distinct(), "fold", "left_anti")
+
+
+def prompt_templates(
+    exemplars: DataFrame, schema: CorpusSchema, system_prompt: str = V.SYSTEM_PROMPT, roles: DataFrame | None = None
+) -> DataFrame:
+    """``(mode, fold, template)``: the rendered prompts with a placeholder comment, which is not cleaned.
+
+    With ``roles`` every fold has both templates, exemplars or not; the few-shot one of a fold without exemplars
+    shows the header only.
+    """
     prefixes = few_shot_prefixes(exemplars, schema)
+    if roles is not None:
+        folds = roles.select("fold").distinct()
+        prefixes = folds.join(prefixes, "fold", "left").fillna({"prefix": V.FEW_SHOT_HEADER})
     hole = F.lit(V.TEMPLATE_PLACEHOLDER)
     zero = F.concat(F.lit(V.ZERO_SHOT_PREFIX), hole, F.lit(V.PROMPT_SUFFIX))
     few = F.concat(F.col("prefix"), F.lit(V.FEW_SHOT_QUERY_PREFIX), hole, F.lit(V.PROMPT_SUFFIX))

@@ -95,8 +95,9 @@ def label_set_quotas(df: DataFrame, schema: CorpusSchema, n: int) -> DataFrame:
         "label_set",
         "n_set",
         "n_all",
-        F.expr(f"(n_set * {n}L) div n_all").alias("base"),
-        F.expr(f"(n_set * {n}L) % n_all").alias("remainder"),
+        # as decimals: rows times rows leaves the range of a bigint on large corpora
+        F.expr(f"(cast(n_set as decimal(19,0)) * cast({n} as decimal(19,0))) div n_all").alias("base"),
+        F.expr(f"(cast(n_set as decimal(19,0)) * cast({n} as decimal(19,0))) % n_all").alias("remainder"),
     )
     by_remainder = Window.orderBy(F.col("remainder").desc(), "label_set")
     ranked = shares.select(

@@ -16,7 +16,7 @@ from foldgauge.operators.classifier import TrainSettings, train_score_folds
 from foldgauge.operators.parsing import latency_stats, parse_failure_stats
 from foldgauge.operators.prompts import few_shot_exemplars, few_shot_messages, zero_shot_messages
 from foldgauge.operators.scoring import Scorer, chat_predictions, score_replies
-from foldgauge.schema import CorpusSchema, require_corpus
+from foldgauge.schema import CorpusSchema, corpus_checks, require_corpus
 from foldgauge.session import materialize
 
 
@@ -26,6 +26,7 @@ class Prepared:
     roles: DataFrame
     label_distribution: DataFrame
     fold_distribution: DataFrame
+    k: int = V.N_FOLDS
 
 
 def prepare(
@@ -35,12 +36,19 @@ def prepare(
     k: int = V.N_FOLDS,
     val_ratio: float = V.VAL_RATIO,
     seed: int = V.SEED,
+    strict: bool = False,
 ) -> Prepared:
     """Sample, folds and the two tables that show how even they are.
 
-    Sample and roles are written once to the shared folder, since everything after reads them repeatedly.
+    Sample and roles are written once to the shared folder, since everything after reads them repeatedly. ``strict``
+    first counts what ``corpus_checks`` finds and raises on null or repeated ids and on labels that are not 0 or 1.
     """
     require_corpus(corpus, schema)
+    if strict:
+        found = corpus_checks(corpus, schema).first()
+        wrong = {name: found[name] for name in ("null_ids", "repeated_ids", "bad_labels") if found[name]}
+        if wrong:
+            raise ValueError(f"the corpus fails its checks: {wrong}")
     sample = materialize(S.stratified_subsample(corpus, schema, n, seed))
     roles = materialize(S.fold_roles(sample, schema, k, val_ratio, seed), partition_by=["fold", "role"])
     labels = sample.select(schema.id, *schema.labels)
@@ -50,6 +58,7 @@ def prepare(
         roles,
         stats.label_distribution_compare(corpus, sample, schema),
         stats.fold_label_distribution(test, schema),
+        k,
     )
 
 
@@ -59,7 +68,6 @@ def score_by_prompt(
     model: str,
     mode: str,
     scorer_factory: Callable[[], Scorer],
-    k: int = V.N_FOLDS,
     think: bool = False,
     only_fold: int | None = None,
     limit: int | None = None,
@@ -76,7 +84,7 @@ def score_by_prompt(
         test_ids = S.limit_per_fold(test_ids, schema, limit)
     test = S.fold_rows(prepared.sample, test_ids, schema).drop("role")
     if mode == "few_shot":
-        asked = few_shot_messages(test, few_shot_exemplars(prepared.sample, prepared.roles, schema, k), schema)
+        asked = few_shot_messages(test, few_shot_exemplars(prepared.sample, prepared.roles, schema, prepared.k), schema)
     else:
         asked = zero_shot_messages(test, schema)
     run = {"model": F.lit(model), "mode": F.lit(mode), "think": F.lit("think" if think else "nothink")}
@@ -89,9 +97,10 @@ def train_and_score(
     schema: CorpusSchema,
     model: str,
     settings: TrainSettings = TrainSettings(),
-    folds: Sequence[int] = tuple(range(V.N_FOLDS)),
+    folds: Sequence[int] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Prediction rows and training history of one trained run."""
+    """Prediction rows and training history of one trained run, over all folds unless some are named."""
+    folds = range(prepared.k) if folds is None else folds
     scored, history = train_score_folds(prepared.sample, prepared.roles, schema, settings, folds)
     run = {"model": F.lit(model), "mode": F.lit("finetune"), "think": F.lit("nothink")}
     return scored.withColumns(run), history.withColumn("model", F.lit(model))

@@ -248,7 +248,7 @@ def display(spark, sf_dir):
 )
 def summary(spark, sf_dir):
     table = doc_comparison(spark, sf_dir)
-    return M.run_summary(table).select(
+    return M.run_summary(table, k=5).select(
         *M.RUN, "n_folds", "macro_f1_mean", "macro_f1_std", "micro_f1_mean", "micro_f1_std"
     )
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -49,5 +50,11 @@ def materialize(df: DataFrame, path: str | None = None, partition_by: Sequence[s
     """Write ``df`` to the shared folder and read it back: lineage is cut, executor loss costs nothing."""
     spark = df.sparkSession
     target = path or scratch_dir(spark)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
-    return spark.read.schema(df.schema).parquet(target).select(*df.columns)
+    rebalanced(df, partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
+    return spark.read.schema(df.schema).parquet(target).select(*(f"`{name}`" for name in df.columns))
+
+
+def rebalanced(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` dealt out by the columns it is about to be partitioned by, large partitions split by Spark, so
+    that a write leaves few files for each folder instead of one from every task."""
+    return df.hint("rebalance", *(F.col(name) for name in columns)) if columns else df

@@ -28,7 +28,10 @@ def read_corpus(spark: SparkSession, path: str, schema: CorpusSchema = CorpusSch
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.options(header=True, quote='"', escape='"').csv(path)
+    """CSV that keeps texts as they are, blanks at their ends included."""
+    df.write.options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def write_split_csv(df: DataFrame, path: str, split: str, split_column: str = "split") -> None:

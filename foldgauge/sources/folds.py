@@ -8,11 +8,12 @@ from pyspark.sql import types as T
 
 from foldgauge.operators.ranking import running_positions
 from foldgauge.schema import CorpusSchema
+from foldgauge.session import rebalanced
 
 
 def write_fold_roles(roles: DataFrame, path: str) -> None:
     """Partitioned by fold, so one fold is read without the others."""
-    roles.write.partitionBy("fold").parquet(path)
+    rebalanced(roles, ["fold"]).write.partitionBy("fold").parquet(path)
 
 
 def read_fold_roles(spark: SparkSession, path: str) -> DataFrame:

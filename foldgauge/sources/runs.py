@@ -12,17 +12,26 @@ from pyspark.sql import types as T
 from foldgauge import fixed_values as V
 from foldgauge.operators.metrics import RUN
 from foldgauge.schema import CorpusSchema
+from foldgauge.session import rebalanced
 
 RUN_AND_FOLD = (*RUN, "fold")
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:
     """Partitioned by run and fold: reading one run or fold prunes the rest."""
-    predictions.write.partitionBy(*RUN_AND_FOLD).parquet(path)
+    rebalanced(predictions, RUN_AND_FOLD).write.partitionBy(*RUN_AND_FOLD).parquet(path)
+
+
+def read_partitioned(spark: SparkSession, path: str, names: Sequence[str], ints: Sequence[str] = ("fold",)) -> DataFrame:
+    """Parquet below partition folders whose names are texts (a model ``007`` stays that) or, where listed, ints."""
+    found = spark.read.parquet(path).schema
+    kinds = {name: T.IntegerType() if name in ints else T.StringType() for name in names}
+    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("fold", F.col("fold").cast("int"))
+    return read_partitioned(spark, path, RUN_AND_FOLD)
 
 
 def metrics_schema(schema: CorpusSchema) -> T.StructType:
@@ -88,7 +97,9 @@ def _per_label_array(schema: CorpusSchema) -> Column:
 
 
 def write_fold_metrics(metrics: DataFrame, path: str, schema: CorpusSchema) -> None:
-    """One JSON document per run and fold, below partition folders for run and fold."""
+    """One JSON document per run and fold, below partition folders for run and fold; rows are counted as ``n_test``."""
+    if "n_test" not in metrics.columns:
+        metrics = metrics.withColumnRenamed("n_rows", "n_test")
     metrics.withColumn("per_label", _per_label_document(schema)).write.partitionBy(*RUN_AND_FOLD).json(path)
 
 
@@ -148,7 +159,7 @@ def write_exemplars(exemplars: DataFrame, path: str) -> None:
 
 
 def read_exemplars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).withColumn("fold", F.col("fold").cast("int"))
+    return read_partitioned(spark, path, ["fold"])
 
 
 def write_templates(templates: DataFrame, path: str) -> None:

@@ -24,7 +24,7 @@ def test_prepare_score_compare(spark, corpus, schema):
 
         return score
 
-    runs = [flows.score_by_prompt(prepared, schema, "llm_t", mode, factory, k=4) for mode in ("zero_shot", "few_shot")]
+    runs = [flows.score_by_prompt(prepared, schema, "llm_t", mode, factory) for mode in ("zero_shot", "few_shot")]
     predictions = runs[0].unionByName(runs[1])
     assert predictions.count() == 400
     facts = flows.chat_run_facts(predictions).collect()
