@@ -31,10 +31,13 @@ NFKC_STABLE = (
     r"–-—‘-„†-•€"  # dashes, quotes, bullets, euro
     r"、-〩ぁ-ゖァ-ヺー"  # Japanese
     r"一-鿿가-힣"  # Chinese, Korean
+    r"א-תء-غف-ي"  # Hebrew, Arabic letters
+    r"अ-नप-रलळव-हก-ะ"  # Devanagari, Thai letters
+    "\U0001f300-\U0001f64f\U0001f680-\U0001f6d7\U0001f900-\U0001f9ff"  # pictographs
 )
 # Entities replaced by plain string replacement; the ampersand itself goes last so that nothing is
 # unescaped twice.
-PLAIN_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+PLAIN_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
 # Stops only at ampersands and beyond ASCII, then looks back: an ampersand that may start some other entity,
 # or a character that is not known to be stable.
 NEEDS_PYTHON = (

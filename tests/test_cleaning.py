@@ -74,7 +74,7 @@ def test_stable_characters_are_stable():
     assert stable & followers == set()
 
 
-@pytest.mark.parametrize("text", ["plain ascii", "été 你好", "a &lt; b", "x & y"])
+@pytest.mark.parametrize("text", ["plain ascii", "été 你好", "a &lt; b", "x & y", "&copy; a &middot; b", "שלום مرحبا नमक กขค", "\U0001f600 ok"])
 def test_usual_texts_stay_in_the_jvm(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(F.col("t").rlike(C.NEEDS_PYTHON).alias("p")).first()
     assert row["p"] is False
@@ -121,6 +121,11 @@ RECORDED = [
 ]
 
 
+def test_few_pages_need_python(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    assert pages.where(F.col("html").rlike(C.NEEDS_PYTHON)).count() <= 0.05 * pages.count()
+
+
 def test_recorded_texts(spark):
     frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(RECORDED)], "i int, text string").repartition(4)
     got = {r["i"]: r["cleaned"] for r in C.clean_corpus(frame, "text").collect()}
