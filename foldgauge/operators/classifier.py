@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF
@@ -63,11 +65,12 @@ def _prediction_rows(rows: DataFrame, models: Sequence[LogisticRegressionModel],
     return scored.select("fold", schema.id, *columns)
 
 
-def _fit(rows: DataFrame, label: str, weight: float, iterations: int, settings: TrainSettings) -> tuple[LogisticRegressionModel, float]:
-    weighted = rows.withColumn("weight", F.when(F.col(label) == 1, F.lit(weight)).otherwise(F.lit(1.0)))
+def _fit(rows: DataFrame, label: str, iterations: int, settings: TrainSettings) -> tuple[LogisticRegressionModel, float]:
+    """``rows`` is the kept train part itself, with the label's ``y_`` and ``w_`` columns: a table derived from it
+    would be kept a second time by the fit."""
     fit = LogisticRegression(
-        featuresCol="features", labelCol=label, weightCol="weight", maxIter=iterations, regParam=settings.reg_param, family="binomial"
-    ).fit(weighted.withColumn(label, F.col(label).cast("double")))
+        featuresCol="features", labelCol=f"y_{label}", weightCol=f"w_{label}", maxIter=iterations, regParam=settings.reg_param, family="binomial"
+    ).fit(rows)
     return fit, float(fit.summary.objectiveHistory[-1])
 
 
@@ -81,34 +84,36 @@ def roles_by_id(roles: DataFrame, schema: CorpusSchema, folds: Sequence[int]) ->
 
 
 def train_score_folds(
-    corpus: DataFrame, roles: DataFrame, schema: CorpusSchema, settings: TrainSettings, folds: Sequence[int]
+    corpus: DataFrame, roles: DataFrame, schema: CorpusSchema, settings: TrainSettings, folds: Sequence[int], parallel: int = 4
 ) -> tuple[DataFrame, DataFrame]:
     """``(predictions, history)`` for the given folds.
 
-    Features are computed and written once for all folds; a fold's part is a filter on its role column.
+    Features are computed and written once for all folds; a fold's part is a filter on its role column. Up to ``parallel``
+    folds are trained at the same time, each on its own kept train part, so the cluster is not idle between small jobs.
     ``history`` has one row per fold and epoch: mean objective over labels, validation macro and micro F1.
     """
     features = token_features(corpus, schema, settings)
     stored = materialize(features.join(roles_by_id(roles, schema, folds), schema.id))
-    predictions, history = [], []
-    for fold in folds:
 
+    def one_fold(fold: int) -> tuple[DataFrame, list[tuple]]:
         def part(role: str) -> DataFrame:
-            rows = stored.where(F.col(f"role_{fold}") == ROLE_CODES[role])  # noqa: B023 - used inside this turn only
-            return rows.select(F.lit(fold).alias("fold"), schema.id, *schema.labels, "counts")  # noqa: B023
+            rows = stored.where(F.col(f"role_{fold}") == ROLE_CODES[role])
+            return rows.select(F.lit(fold).alias("fold"), schema.id, *schema.labels, "counts")
 
         idf = IDF(inputCol="counts", outputCol="features").fit(part("train"))
         train, val, test = [idf.transform(part(role)).drop("counts") for role in ROLE_CODES]
-        train = train.persist()
         weights = dict.fromkeys(schema.labels, 1.0)
         if settings.weighted:
             # One row per label.
             table = pos_weights(train, schema, settings.pos_weight_clip).collect()
             weights = {row["label"]: float(row["pos_weight"]) for row in table}
-        best, best_macro = [], -1.0
+        targets = [F.col(label).cast("double").alias(f"y_{label}") for label in schema.labels]
+        by_row = [F.when(F.col(label) == 1, F.lit(weights[label])).otherwise(F.lit(1.0)).alias(f"w_{label}") for label in schema.labels]
+        train = train.select("features", *targets, *by_row).persist()
+        best, best_macro, history = [], -1.0, []
         for epoch in range(1, settings.epochs + 1):
             steps = epoch * settings.steps_per_epoch
-            fitted = [_fit(train, label, weights[label], steps, settings) for label in schema.labels]
+            fitted = [_fit(train, label, steps, settings) for label in schema.labels]
             models = [model for model, _ in fitted]
             val_rows = _prediction_rows(val, models, schema, settings)
             # One row: the metrics of this fold and epoch.
@@ -118,11 +123,12 @@ def train_score_folds(
             if macro > best_macro:
                 best, best_macro = models, macro
         train.unpersist()
-        predictions.append(_prediction_rows(test, best, schema, settings))
-    scored = predictions[0]
-    for more in predictions[1:]:
-        scored = scored.unionByName(more)
+        return _prediction_rows(test, best, schema, settings), history
+
+    with ThreadPool(max(1, min(parallel, len(folds)))) as pool:
+        done = pool.map(one_fold, list(folds), chunksize=1)
+    scored = reduce(DataFrame.unionByName, [predictions for predictions, _ in done])
     table = corpus.sparkSession.createDataFrame(
-        history, "fold int, epoch int, train_loss double, val_macro_f1 double, val_micro_f1 double"
+        [row for _, history in done for row in history], "fold int, epoch int, train_loss double, val_macro_f1 double, val_micro_f1 double"
     )
     return scored, table

@@ -4,7 +4,7 @@ from foldgauge.operators.classifier import TrainSettings, train_score_folds as t
 from foldgauge.operators.metrics import best_epoch
 from foldgauge.queries.base import DOCS, labelled_corpus, query, written_roles
 
-SETTINGS = TrainSettings(n_features=1 << 14, epochs=2, weighted=True)
+SETTINGS = TrainSettings(weighted=True)
 FOLDS = (0, 1, 2, 3, 4)
 
 
