@@ -45,7 +45,7 @@ ROUNDS_ = 3
 SEED = 17
 END = np.uint64(1)  # stands for the end token among word hashes
 _FLUSH = 2_000_000
-_BLOCK = 1 << 22
+_BLOCK = 1 << 23
 _FAN = 32
 
 
@@ -135,6 +135,14 @@ def vocabulary(counts: DataFrame, shortlist: int, hash_classes: int, head: int)
     return Vocabulary(hashes, number, short, total, distinct, int(tokens), int(words), hash_classes)
 
 
+def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Adds each row to ``total[at]``; repeated places are summed first."""
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    total[at[begin]] += np.add.reduceat(rows[order], begin, axis=0)
+
+
 class LogBilinear:
     """Vectors of context classes, a matrix for each of two places, vectors and biases of predicted classes."""
 
@@ -147,6 +155,9 @@ class LogBilinear:
         self.target = draw.normal(0, 0.05, (classes, dimensions)).astype(np.float32)
         self.bias = np.log(noise).astype(np.float32)
         self.noise = noise
+        self.log_noise = np.log(noise).astype(np.float32)
+        self.drawn = np.cumsum(noise)
+        self.drawn[-1] = 1.0
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, name).reshape(-1) for name in self.SHAPES])
@@ -155,7 +166,7 @@ class LogBilinear:
         at = 0
         for name in self.SHAPES:
             own = getattr(self, name)
-            setattr(self, name, flat[at : at + own.size].reshape(own.shape).astype(np.float32))
+            setattr(self, name, flat[at : at + own.size].reshape(own.shape).astype(np.float32).copy())
             at += own.size
         return self
 
@@ -165,33 +176,39 @@ class LogBilinear:
 
     def learn(self, before: np.ndarray, target: np.ndarray, draw: np.random.Generator, squares: dict, noise: int, rate: float) -> None:
         """One NCE step on a minibatch; the noise classes are shared by its tokens."""
-        sample = draw.choice(len(self.noise), noise, p=self.noise)
-        shift = np.log(noise * self.noise)
-        hidden = self.expected(before)
-        own = (hidden * self.target[target]).sum(axis=1) + self.bias[target] - shift[target]
-        other = hidden @ self.target[sample].T + self.bias[sample] - shift[sample]
+        sample = np.searchsorted(self.drawn, draw.random(noise))
+        shift = self.log_noise + np.float32(np.log(noise))
+        hidden, right = self.expected(before), self.target[target]
+        own = np.einsum("ij,ij->i", hidden, right) + self.bias[target] - shift[target]
+        other = hidden @ self.target[sample].T + (self.bias[sample] - shift[sample])
         g_own = (1 / (1 + np.exp(-np.clip(own, -30, 30))) - 1).astype(np.float32)
         g_other = (1 / (1 + np.exp(-np.clip(other, -30, 30)))).astype(np.float32)
-        g_hidden = g_own[:, None] * self.target[target] + g_other @ self.target[sample]
+        g_hidden = g_own[:, None] * right + g_other @ self.target[sample]
         steps = {name: np.zeros_like(getattr(self, name)) for name in self.SHAPES}
-        np.add.at(steps["target"], target, g_own[:, None] * hidden)
-        np.add.at(steps["target"], sample, g_other.T @ hidden)
+        _add_rows(steps["target"], target, g_own[:, None] * hidden)
+        _add_rows(steps["target"], sample, g_other.T @ hidden)
         steps["bias"] += np.bincount(target, weights=g_own, minlength=len(self.bias)).astype(np.float32)
-        np.add.at(steps["bias"], sample, g_other.sum(axis=0))
+        steps["bias"] += np.bincount(sample, weights=g_other.sum(axis=0), minlength=len(self.bias)).astype(np.float32)
         for k in (0, 1):
             steps["place"][k] = self.context[before[:, k]].T @ g_hidden
-            np.add.at(steps["context"], before[:, k], g_hidden @ self.place[k].T)
+            _add_rows(steps["context"], before[:, k], g_hidden @ self.place[k].T)
         for name, step in steps.items():
-            squares[name] += step * step
-            setattr(self, name, getattr(self, name) - rate * step / np.sqrt(squares[name]))
+            own_squares = squares[name]
+            own_squares += step * step
+            step *= np.float32(rate)
+            step /= np.sqrt(own_squares)
+            getattr(self, name)[...] -= step
 
-    def log_totals(self, before: np.ndarray, block: int = 4096) -> np.ndarray:
+    def log_totals(self, before: np.ndarray, block: int = 512) -> np.ndarray:
         """Natural log of the normaliser of each context."""
         out = np.zeros(len(before), dtype=np.float64)
         for low in range(0, len(before), block):
-            scores = self.expected(before[low : low + block]) @ self.target.T + self.bias
+            scores = self.expected(before[low : low + block]) @ self.target.T
+            scores += self.bias
             top = scores.max(axis=1, keepdims=True)
-            out[low : low + block] = top[:, 0] + np.log(np.exp(scores - top).sum(axis=1, dtype=np.float64))
+            scores -= top
+            np.exp(scores, out=scores)
+            out[low : low + block] = top[:, 0] + np.log(scores.sum(axis=1))
         return out
 
     def log_probabilities(self, before: np.ndarray, target: np.ndarray) -> np.ndarray:
