@@ -49,7 +49,7 @@ def score_replies(
     if partitions is not None:
         df = df.repartition(partitions)
     kept = [name for name in df.columns if name != messages]
-    return df.withColumn("reply", call.asNondeterministic()(F.col(messages))).select(*kept, "reply.*")
+    return df.withColumn("_scoring_reply", call.asNondeterministic()(F.col(messages))).select(*kept, "_scoring_reply.*")
 
 
 def chat_predictions(scored: DataFrame, schema: CorpusSchema, keep: Sequence[str]) -> DataFrame:

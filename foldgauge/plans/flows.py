@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
+from inspect import signature
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldgauge import fixed_values as V
+from foldgauge.functions.scores import token_budget
 from foldgauge.operators import metrics as M
 from foldgauge.operators import splitting as S
 from foldgauge.operators import stats
@@ -20,6 +23,15 @@ from foldgauge.schema import CorpusSchema, corpus_checks, require_corpus
 from foldgauge.session import materialize
 
 
+@dataclass(frozen=True)
+class ScorerSettings:
+    """What a prompted run asks of its scorer."""
+
+    model: str
+    think: bool
+    max_new_tokens: int
+
+
 @dataclass(frozen=True)
 class Prepared:
     sample: DataFrame
@@ -67,16 +79,23 @@ def score_by_prompt(
     schema: CorpusSchema,
     model: str,
     mode: str,
-    scorer_factory: Callable[[], Scorer],
+    scorer_factory: Callable[[ScorerSettings], Scorer] | Callable[[], Scorer],
     think: bool = False,
     only_fold: int | None = None,
     limit: int | None = None,
     partitions: int | None = None,
+    requested_tokens: int = V.NUM_PREDICT,
 ) -> DataFrame:
     """Prediction rows of one prompted run over the test rows of all folds, or of one.
 
-    The scored table is written before use, so no call is ever repeated by a later stage.
+    The scored table is written before use, so no call is ever repeated by a later stage. A factory that takes an
+    argument is handed the run's ``ScorerSettings``: model, thinking and the token budget that follows from them.
     """
+    if signature(scorer_factory).parameters:
+        budget = token_budget(F.lit(model), F.lit(think), F.lit(requested_tokens))
+        # One row: the budget of this run.
+        tokens = prepared.roles.sparkSession.range(1).select(budget.alias("budget")).first()["budget"]
+        scorer_factory = partial(scorer_factory, ScorerSettings(model, think, int(tokens)))
     test_ids = prepared.roles.where(F.col("role") == "test")
     if only_fold is not None:
         test_ids = test_ids.where(F.col("fold") == only_fold)

@@ -71,3 +71,13 @@ def test_model_names_and_row_counts_survive(spark, tmp_path, schema):
     runs_io.write_fold_metrics(M.fold_metrics(read, schema), str(tmp_path / "m"), schema)
     row = runs_io.read_fold_metrics(spark, str(tmp_path / "m"), schema).first()
     assert (row["model"], row["n_test"]) == ("007", 8)
+
+
+def test_scorer_is_told_model_and_budget(spark, corpus, schema):
+    prepared = flows.prepare(corpus, schema, n=40, k=2)
+
+    def factory(settings):
+        return lambda messages: f"{settings.model} {settings.think} {settings.max_new_tokens}"
+
+    replies = flows.score_by_prompt(prepared, schema, "my-qwq", "zero_shot", factory, think=True, requested_tokens=64)
+    assert {r["raw_response"] for r in replies.collect()} == {"my-qwq True 2048"}
