@@ -11,10 +11,11 @@ Flow: texts with the same elements and weights become one representative, so cop
 signature is cut into bands; representatives that share a band bucket are candidates. In each bucket all members are first
 compared with one leader, the member that meets most others over all buckets (the original of a family of
 copies), which is linear. Buckets whose members are not connected by that go on: every member outside the leader's
-component is compared with all members of other components, in blocks of bounded size that emit only pairs whose
-signatures agree enough (MARGIN below the threshold is over four deviations) and that the triangle inequality of the Jaccard
-distance to their leader permits. All surviving pairs are verified on the whole shingle sets. So no bucket or group
-has a cap, no group is expanded to all its pairs, and the classes are the connected components of all verified links.
+component is compared with all members of other components, in blocks of bounded size. There a pair is verified on its
+whole shingle sets unless its signatures agree too little (MARGIN below the threshold is over four deviations) or the
+triangle inequality of the Jaccard distances to the leader rules it out; a block returns one link for each member and
+component. So no bucket or group has a cap, no group is expanded to all its pairs, and the classes are the connected components of
+all verified links.
 
 A pair at similarity 0.8 shares one of 40 bands of 6 coordinates with probability 0.999995.
 
@@ -42,6 +43,7 @@ from foldgauge.llm.common import (
     small_enough,
     span_hashes,
     text_bytes,
+    whole_row,
     word_spans,
 )
 from foldgauge.llm.registry import query, table
@@ -52,8 +54,9 @@ SIMILARITY = 0.8
 BANDS = 40
 BAND_ROWS = 6
 MARGIN = 0.12
-BLOCK_MEMBERS = 512
+BLOCK_ELEMENTS = 1 << 17
 _LEVELS = 64
+_CELLS = 1 << 18
 
 
 def row_elements(texts: pa.Array, words: int = SHINGLE_WORDS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -106,8 +109,12 @@ def dart_signatures(
             if not len(on):
                 continue
             cells = np.ceil(reach[row[on]] * width).astype(np.int64)
-            for low in range(0, len(on), 1 << 16):
-                part, count = on[low : low + (1 << 16)], cells[low : low + (1 << 16)]
+            ends = np.cumsum(cells)
+            low = 0
+            while low < len(on):  # about _CELLS cells at a time, so small sets with many cells take no more memory
+                high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + _CELLS, side="right")))
+                part, count = on[low:high], cells[low:high]
+                low = high
                 which = np.repeat(part, count)
                 cell = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
                 start = mix(item[which] + np.uint64(seed * 0x632BE59BD9B4E019 % (1 << 64)))
@@ -193,27 +200,29 @@ def signed_documents(
     return narrow.mapInArrow(sign, _SIGNED.format(kind=kind))
 
 
-def verified_pairs(pairs: DataFrame, docs: DataFrame, text_column: str, words: int, weighting: str) -> DataFrame:
-    """(a, b, similarity) of the given row pairs, from the whole weighted sets of both texts.
-
-    Only texts named in a pair are read; they are stored as sets once and joined to the pairs by shuffle.
-    """
-    named = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_row"))
-    texts = docs.select("_row", F.col(text_column).alias("body")).join(small_enough(named), "_row", "left_semi")
+def _sets(docs: DataFrame, rows: DataFrame, text_column: str, words: int, weighting: str) -> DataFrame:
+    """(_row, elements): the whole weighted sets of the rows named in ``rows`` (a written table), written once."""
+    texts = docs.select("_row", F.col(text_column).alias("body")).join(small_enough(rows), "_row", "left_semi")
     counted = weighting == "count"
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            packed: list[bytes] = [b""] * n
+            packed: list[bytes] = [b""] * batch.num_rows
             for row, elements, counts in row_elements(batch.column(1), words):
                 packed[row] = elements.tobytes() + (counts.astype(np.uint64).tobytes() if counted else b"")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, type=pa.binary())], names=["_row", "elements"])
 
-    sets = materialize(texts.mapInArrow(gather, "_row long, elements binary"))
+    return materialize(texts.mapInArrow(gather, "_row long, elements binary"))
+
+
+def verified_pairs(pairs: DataFrame, docs: DataFrame, text_column: str, words: int, weighting: str) -> DataFrame:
+    """(a, b, similarity) of the given row pairs, from the whole weighted sets of both texts."""
+    named = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_row"))
+    sets = _sets(docs, named, text_column, words, weighting)
     sides = pairs.join(sets.select(F.col("_row").alias("b"), F.col("elements").alias("right")), "b").join(
         sets.select(F.col("_row").alias("a"), F.col("elements").alias("left")), "a"
     )
+    counted = weighting == "count"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,44 +267,83 @@ def connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return named.select("_row", F.coalesce("label", "_row").alias("component"))
 
 
-def _blocked_pairs(entries: DataFrame, threshold: float, margin: float, block: int, set_sizes: bool) -> DataFrame:
-    """Candidate pairs of the open buckets, from blocks of at most about ``block`` queries and members.
+def _dealt(entries: DataFrame, fields: list[str]) -> DataFrame:
+    """Askers and members of every open bucket, dealt to blocks (bucket, q, m): each asker meets each member once."""
 
-    ``entries``: bucket, _row, component, open (belongs to the queries), near (similarity to the bucket's
-    leader), size, signature, n_query, n_member. Queries meet all members of other components.
-    """
-    high = [F.ceil(F.col(c) / block).cast("int") for c in ("n_query", "n_member")]
+    def block_of(count: str) -> Column:
+        return F.pmod(F.xxhash64("_row"), F.col(count)).cast("long")
 
-    def block_of(count: Column) -> Column:
-        return F.pmod(F.xxhash64("_row"), count).cast("int")
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
-    fields = ["bucket", "_row", "component", "near", "size", "signature"]
-    members = entries.select(*fields, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0), high[0] - 1)).alias("q"), block_of(high[1]).alias("m"))
-    queries = entries.where("open").select(
-        *fields, F.lit(True).alias("asks"), block_of(high[0]).alias("q"), F.explode(F.sequence(F.lit(0), high[1] - 1)).alias("m")
-    )
+    held = entries.select(*fields, F.lit(False).alias("asks"), every("n_ask").alias("q"), block_of("n_held").alias("m"))
+    asking = entries.where("open").select(*fields, F.lit(True).alias("asks"), block_of("n_ask").alias("q"), every("n_held").alias("m"))
+    return held.unionByName(asking)
+
+
+def _possible(part: pa.Table, threshold: float, margin: float, band_rows: int, counted: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(asker, members it may be similar to, the likeliest first) of a block. A pair that shares an earlier band is
+    left to that band's bucket."""
+    asks = part.column("asks").to_numpy(zero_copy_only=False)
+    component, size, near, band = (part.column(c).to_numpy() for c in ("component", "size", "near", "band"))
+    raw = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint8).reshape(len(asks), -1)
+    m = np.flatnonzero(~asks)
+    for k in np.flatnonzero(asks).tolist():
+        fit = m[component[m] != component[k]]
+        if not counted:  # a set much smaller or larger cannot be similar enough
+            fit = fit[(size[fit] >= threshold * size[k]) & (threshold * size[fit] <= size[k])]
+        fit = fit[np.abs(near[fit] - near[k]) <= 1 - threshold + 1e-9]
+        agree = raw[fit] == raw[k]
+        before = agree[:, : band[k] * band_rows].reshape(len(fit), band[k], band_rows).all(axis=2).any(axis=1)
+        sure = agree.mean(axis=1)
+        good = np.flatnonzero((sure >= threshold - margin) & ~before)
+        if len(good):
+            yield k, fit[good[np.argsort(-sure[good], kind="stable")]]
+
+
+def _block_rows(entries: DataFrame, threshold: float, margin: float, band_rows: int, counted: bool) -> DataFrame:
+    """(bucket, _row): the rows of open buckets that have a possible partner there; only their sets are needed."""
+
+    def compare(part: pa.Table) -> pa.Table:
+        row, found = part.column("_row").to_numpy(), [np.zeros(0, dtype=np.int64)]
+        for k, fit in _possible(part, threshold, margin, band_rows, counted):
+            found += [fit, np.array([k])]
+        rows = np.unique(row[np.concatenate(found)])
+        return pa.table({"bucket": pa.array(np.full(len(rows), part.column("bucket")[0].as_py())), "_row": pa.array(rows)})
+
+    fields = ["bucket", "band", "_row", "component", "near", "size", "signature"]
+    return _dealt(entries, fields).groupBy("bucket", "q", "m").applyInArrow(compare, "bucket long, _row long").distinct()
+
+
+def _block_links(entries: DataFrame, threshold: float, margin: float, band_rows: int, counted: bool) -> DataFrame:
+    """(a, b): verified links between components inside the open buckets, one for each asker and component in a block."""
 
     def compare(part: pa.Table) -> pa.Table:
-        asks = part.column("asks").to_numpy(zero_copy_only=False)
-        row, component, size = (part.column(c).to_numpy() for c in ("_row", "component", "size"))
-        near = part.column("near").to_numpy()
-        raw = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint8).reshape(len(row), -1)
-        m, q = np.flatnonzero(~asks), np.flatnonzero(asks)
-        a, b = [], []
-        for k in q.tolist():
-            fit = m[component[m] != component[k]]
-            if set_sizes:  # a set much smaller or larger cannot be similar enough
-                fit = fit[(size[fit] >= threshold * size[k]) & (threshold * size[fit] <= size[k])]
-            fit = fit[np.abs(near[fit] - near[k]) <= 1 - threshold + 1e-9]
-            agree = (raw[fit] == raw[k]).mean(axis=1)
-            fit = fit[agree >= threshold - margin]
-            a.append(np.minimum(row[fit], row[k]))
-            b.append(np.maximum(row[fit], row[k]))
-        empty = np.zeros(0, dtype=np.int64)
-        pairs = np.unique(np.stack([np.concatenate([*a, empty]), np.concatenate([*b, empty])]), axis=1)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
-
-    return members.unionByName(queries).groupBy("bucket", "q", "m").applyInArrow(compare, "a long, b long").distinct()
+        row, component = part.column("_row").to_numpy(), part.column("component").to_numpy()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("elements").to_pylist()]
+        links = set()
+        for k, fit in _possible(part, threshold, margin, band_rows, counted):
+            linked = set()
+            for other in fit.tolist():
+                if component[other] not in linked and _jaccard(sets[k], sets[other], counted) >= threshold:
+                    linked.add(component[other])
+                    links.add((min(row[k], row[other]), max(row[k], row[other])))
+        pairs = np.array(sorted(links), dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+    fields = ["bucket", "band", "_row", "component", "near", "size", "signature", "elements"]
+    return _dealt(entries, fields).groupBy("bucket", "q", "m").applyInArrow(compare, "a long, b long").distinct()
+
+
+def _with_blocks(entries: DataFrame, block_elements: int) -> DataFrame:
+    """``entries`` with the numbers of blocks (n_ask, n_held) their bucket's askers and members are dealt to."""
+
+    def blocks(size: Column) -> Column:
+        return F.greatest(F.ceil(F.sum(size) / block_elements), F.lit(1)).cast("long")
+
+    asking = F.when(F.col("open"), F.col("size")).otherwise(0)
+    counts = entries.groupBy("bucket").agg(blocks(asking).alias("n_ask"), blocks(F.col("size")).alias("n_held"))
+    return entries.join(counts, "bucket")
 
 
 def near_duplicate_classes(
@@ -308,7 +356,7 @@ def near_duplicate_classes(
     rows: int = BAND_ROWS,
     weighting: str = "set",
     margin: float = MARGIN,
-    block: int = BLOCK_MEMBERS,
+    block_elements: int = BLOCK_ELEMENTS,
 ) -> DataFrame:
     """(_row, id, class_id, class_rows, n_texts, keep): the class of every row.
 
@@ -322,7 +370,7 @@ def near_duplicate_classes(
             F.min("_row").alias("rep"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
         )
     )
-    entries = groups.select(F.col("rep").alias("_row"), F.explode("bands").alias("bucket"))
+    entries = groups.select(F.col("rep").alias("_row"), F.posexplode("bands").alias("band", "bucket"))
     sizes = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     entries = materialize(entries.join(sizes, "bucket"))
     support = entries.groupBy("_row").agg(F.sum("n").alias("support"))
@@ -343,21 +391,20 @@ def near_duplicate_classes(
     open_ = spread.where("low <> high").select("bucket")
     heads = component.select(F.col("_row").alias("leader"), F.col("component").alias("head"))
     named = named.join(open_, "bucket", "left_semi").join(heads, "leader")
-    named = named.select("bucket", "_row", "component", "leader", (F.col("component") != F.col("head")).alias("open"))
+    named = named.select("bucket", "band", "_row", "component", "leader", (F.col("component") != F.col("head")).alias("open"))
     near = checked.select("a", "b", "similarity")
     named = named.withColumn("a", F.least("_row", "leader")).withColumn("b", F.greatest("_row", "leader"))
     named = named.join(near, ["a", "b"], "left")
-    counts = named.groupBy("bucket").agg(F.sum(F.col("open").cast("long")).alias("n_query"), F.count("*").alias("n_member"))
     parts = groups.select(F.col("rep").alias("_row"), "size", "signature")
-    ready = named.join(counts, "bucket").join(parts, "_row").select(
-        "bucket", "_row", "component", "open", F.coalesce("similarity", F.lit(1.0)).alias("near"), "size", "signature", "n_query", "n_member"
-    )
-    rest = _blocked_pairs(ready, threshold, margin, block, weighting == "set")
-    rest = materialize(rest.join(pairs, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = verified_pairs(rest, docs, text_column, words, weighting).where(F.col("similarity") >= threshold)
-        links = links.select("a", "b").union(materialize(more).select("a", "b"))
-        component = materialize(connected(nodes, links))
+    named = materialize(named.join(parts, "_row").drop("a", "b", "leader"))
+    if not named.isEmpty():
+        options = (threshold, margin, rows, weighting == "count")
+        ready = _with_blocks(named.withColumn("near", F.coalesce("similarity", F.lit(1.0))), block_elements)
+        needed = materialize(_block_rows(ready, *options))
+        sets = _sets(docs, materialize(needed.select("_row").distinct()), text_column, words, weighting)
+        ready = _with_blocks(ready.drop("n_ask", "n_held").join(needed, ["bucket", "_row"], "left_semi"), block_elements)
+        more = materialize(_block_links(ready.join(sets, "_row"), *options))
+        component = materialize(connected(nodes, links.select("a", "b").union(more)))
 
     in_class = groups.select(*same, F.col("rep").alias("_row")).join(component, "_row").drop("_row")
     rows_ = materialize(signed.select("_row", "id", *same).join(in_class, same))
@@ -382,7 +429,7 @@ def numbered(docs: DataFrame, *columns: str | Column) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class, all columns as they are (columns named like ours do no harm)."""
-    whole = numbered(docs, F.struct(*docs.columns).alias("whole"))
+    whole = numbered(docs, whole_row(docs))
     narrow = whole.select("_row", F.col("whole")[id_column].alias("id"), F.col("whole")[text_column].alias("text"))
     classes = near_duplicate_classes(narrow, "id", "text", **options)
     dropped = materialize(classes.where("NOT keep").select("_row"))
