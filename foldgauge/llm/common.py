@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 1 << 21
@@ -162,6 +163,18 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Smaller Arrow batches for the jobs run inside, where rows are long; the session's setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, so that no name of ours can meet one of theirs."""
     return F.struct(*(F.col(f"`{name}`") for name in df.columns)).alias("whole")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from foldgauge.llm.common import (
     ALNUM,
+    arrow_rows,
     as_signed,
     gram_hashes,
     list_array,
@@ -363,6 +364,22 @@ def near_duplicate_classes(
     ``docs`` is a stored table with a unique ``_row`` (``numbered``); it is read twice, for the signatures and for the
     texts that pairs name. ``class_id`` is the least id of the class, ``n_texts`` its number of different shingle sets.
     """
+    with arrow_rows(docs.sparkSession):
+        return _classes(docs, id_column, text_column, words, threshold, bands, rows, weighting, margin, block_elements)
+
+
+def _classes(
+    docs: DataFrame,
+    id_column: str,
+    text_column: str,
+    words: int,
+    threshold: float,
+    bands: int,
+    rows: int,
+    weighting: str,
+    margin: float,
+    block_elements: int,
+) -> DataFrame:
     signed = materialize(signed_documents(docs, id_column, text_column, words, bands, rows, weighting))
     same = ["size", "key_a", "key_b"]
     groups = materialize(
