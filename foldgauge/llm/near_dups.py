@@ -282,48 +282,48 @@ def _dealt(entries: DataFrame, fields: list[str]) -> DataFrame:
     return held.unionByName(asking)
 
 
-def _possible(part: pa.Table, threshold: float, margin: float, band_rows: int, counted: bool) -> Iterator[tuple[int, np.ndarray]]:
-    """(asker, members it may be similar to, the likeliest first) of a block. A pair that shares an earlier band is
-    left to that band's bucket."""
+def _possible(part: pa.Table, threshold: float, margin: float, counted: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(asker, members it may be similar to, the likeliest first) of a block. A pair that meets in the bucket of an earlier
+    band is left to that bucket; this is told by the bucket keys, as the signature bytes of a band may agree without it."""
     asks = part.column("asks").to_numpy(zero_copy_only=False)
     component, size, near, band = (part.column(c).to_numpy() for c in ("component", "size", "near", "band"))
     raw = np.frombuffer(b"".join(part.column("signature").to_pylist()), dtype=np.uint8).reshape(len(asks), -1)
+    keys = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(asks), -1)
     m = np.flatnonzero(~asks)
     for k in np.flatnonzero(asks).tolist():
         fit = m[component[m] != component[k]]
         if not counted:  # a set much smaller or larger cannot be similar enough
             fit = fit[(size[fit] >= threshold * size[k]) & (threshold * size[fit] <= size[k])]
         fit = fit[np.abs(near[fit] - near[k]) <= 1 - threshold + 1e-9]
-        agree = raw[fit] == raw[k]
-        before = agree[:, : band[k] * band_rows].reshape(len(fit), band[k], band_rows).all(axis=2).any(axis=1)
-        sure = agree.mean(axis=1)
-        good = np.flatnonzero((sure >= threshold - margin) & ~before)
+        sure = (raw[fit] == raw[k]).mean(axis=1)
+        good = np.flatnonzero(sure >= threshold - margin)
+        good = good[~(keys[fit[good], : band[k]] == keys[k, : band[k]]).any(axis=1)]
         if len(good):
             yield k, fit[good[np.argsort(-sure[good], kind="stable")]]
 
 
-def _block_rows(entries: DataFrame, threshold: float, margin: float, band_rows: int, counted: bool) -> DataFrame:
+def _block_rows(entries: DataFrame, threshold: float, margin: float, counted: bool) -> DataFrame:
     """(bucket, _row): the rows of open buckets that have a possible partner there; only their sets are needed."""
 
     def compare(part: pa.Table) -> pa.Table:
         row, found = part.column("_row").to_numpy(), [np.zeros(0, dtype=np.int64)]
-        for k, fit in _possible(part, threshold, margin, band_rows, counted):
+        for k, fit in _possible(part, threshold, margin, counted):
             found += [fit, np.array([k])]
         rows = np.unique(row[np.concatenate(found)])
         return pa.table({"bucket": pa.array(np.full(len(rows), part.column("bucket")[0].as_py())), "_row": pa.array(rows)})
 
-    fields = ["bucket", "band", "_row", "component", "near", "size", "signature"]
+    fields = ["bucket", "band", "_row", "component", "near", "size", "bands", "signature"]
     return _dealt(entries, fields).groupBy("bucket", "q", "m").applyInArrow(compare, "bucket long, _row long").distinct()
 
 
-def _block_links(entries: DataFrame, threshold: float, margin: float, band_rows: int, counted: bool) -> DataFrame:
+def _block_links(entries: DataFrame, threshold: float, margin: float, counted: bool) -> DataFrame:
     """(a, b): verified links between components inside the open buckets, one for each asker and component in a block."""
 
     def compare(part: pa.Table) -> pa.Table:
         row, component = part.column("_row").to_numpy(), part.column("component").to_numpy()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in part.column("elements").to_pylist()]
         links = set()
-        for k, fit in _possible(part, threshold, margin, band_rows, counted):
+        for k, fit in _possible(part, threshold, margin, counted):
             linked = set()
             for other in fit.tolist():
                 if component[other] not in linked and _jaccard(sets[k], sets[other], counted) >= threshold:
@@ -332,7 +332,7 @@ def _block_links(entries: DataFrame, threshold: float, margin: float, band_rows:
         pairs = np.array(sorted(links), dtype=np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
-    fields = ["bucket", "band", "_row", "component", "near", "size", "signature", "elements"]
+    fields = ["bucket", "band", "_row", "component", "near", "size", "bands", "signature", "elements"]
     return _dealt(entries, fields).groupBy("bucket", "q", "m").applyInArrow(compare, "a long, b long").distinct()
 
 
@@ -412,10 +412,10 @@ def _classes(
     near = checked.select("a", "b", "similarity")
     named = named.withColumn("a", F.least("_row", "leader")).withColumn("b", F.greatest("_row", "leader"))
     named = named.join(near, ["a", "b"], "left")
-    parts = groups.select(F.col("rep").alias("_row"), "size", "signature")
+    parts = groups.select(F.col("rep").alias("_row"), "size", "bands", "signature")
     named = materialize(named.join(parts, "_row").drop("a", "b", "leader"))
     if not named.isEmpty():
-        options = (threshold, margin, rows, weighting == "count")
+        options = (threshold, margin, weighting == "count")
         ready = _with_blocks(named.withColumn("near", F.coalesce("similarity", F.lit(1.0))), block_elements)
         needed = materialize(_block_rows(ready, *options))
         sets = _sets(docs, materialize(needed.select("_row").distinct()), text_column, words, weighting)
