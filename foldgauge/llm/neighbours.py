@@ -11,8 +11,8 @@ Search: queries are rows of the table, so they enter the graph at their own node
 on the original vectors: vectors lie in blocks of bounded size, and the questions to a block travel as one row per query and block.
 
 Equal vectors share a node; a node answers with its least ids, enough for ``top`` results, so ties and copies come out exactly. Takes no part: a
-null vector, an empty or all-zero one, one with a null or non-finite component, a row with a null id, and vectors of another width than the
-usual one (the most frequent). A repeated row counts once; an id with several vectors answers with its nearest and asks with its first by bytes. An
+null vector, an empty or all-zero one, one with a null or non-finite component, and a row with a null id. Vectors of each width have an index of
+their own. A repeated row counts once; an id with several vectors answers with its nearest and asks with its first by bytes that takes part. An
 empty table gives no rows; other columns are ignored.
 """
 
@@ -48,7 +48,7 @@ def _matrix(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
 def nodes_of(vectors: DataFrame, id_column: str, vector_column: str, top: int) -> tuple[DataFrame, DataFrame]:
     """(node, vec, code) of every distinct vector that takes part, and (node, vec_id) of its least ``top + 1`` ids.
 
-    vec: doubles as bytes; code: the components of the unit vector in 8 bits.
+    node: a stored number of the vector's own, as one id may have several vectors; vec: doubles as bytes; code: the components of the unit vector in 8 bits.
     """
     numbers = F.col(vector_column).cast("array<double>")
     usable = F.size(numbers) > 0
@@ -65,9 +65,8 @@ def nodes_of(vectors: DataFrame, id_column: str, vector_column: str, top: int) -
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, type=pa.binary()), pa.array(code, type=pa.binary())], names=["vec_id", "vec", "code"])
 
     coded = materialize(named.mapInArrow(encode, "vec_id long, vec binary, code binary"))
-    width = coded.groupBy(F.length("vec").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    coded = coded.where(F.length("vec") == (width["width"] if width else 0))
-    nodes = materialize(coded.groupBy("vec").agg(F.min("vec_id").alias("node"), F.first("code").alias("code")).dropDuplicates(["node"]))
+    distinct = coded.groupBy("vec").agg(F.first("code").alias("code")).sortWithinPartitions("vec")
+    nodes = materialize(distinct.select("vec", F.monotonically_increasing_id().alias("node"), "code"))
     first = Window.partitionBy("vec").orderBy("vec_id")
     listed = coded.select("vec", "vec_id").distinct().withColumn("place", F.row_number().over(first)).where(F.col("place") <= top + 1)
     return nodes, materialize(listed.join(nodes.select("vec", "node"), "vec").select("node", "vec_id"))
@@ -222,7 +221,6 @@ def nearest(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` nearest rows found for every row whose id is divisible by ``every``."""
     nodes, members = nodes_of(vectors, id_column, vector_column, top)
-    graph = build_graph(nodes, degree, trees, leaf, rounds)
     # an id lists its node if it is among the node's least ids; the others are found through the vectors
     owner = vectors.select(F.col(id_column).cast("long").alias("query"), F.col(vector_column).cast("array<double>").alias("v"))
     owner = owner.where(F.col("query") % every == 0)
@@ -232,9 +230,14 @@ def nearest(
             values = [None if x is None or None in x else (np.array(x, dtype=np.float64) + 0.0).tobytes() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, type=pa.binary())], names=["query", "vec"])
 
-    owner = owner.mapInArrow(raw, "query long, vec binary").groupBy("query").agg(F.min("vec").alias("vec"))
-    queries = materialize(owner.join(nodes.select("vec", "node"), "vec").select("query", "node", "vec"))
-    found = search(queries, graph, nodes, beam)
+    owner = owner.mapInArrow(raw, "query long, vec binary").join(nodes.select("vec", "node"), "vec")
+    queries = materialize(owner.groupBy("query").agg(F.min(F.struct("vec", "node")).alias("own")).select("query", "own.node", "own.vec"))
+    found = vectors.sparkSession.createDataFrame([], "query long, node long, score double")
+    for row in queries.select(F.length("vec").alias("width")).distinct().collect():  # vectors of each width have an index of their own
+        own = F.length("vec") == row["width"]
+        part = materialize(nodes.where(own))
+        graph = build_graph(part, degree, trees, leaf, rounds)
+        found = found.unionByName(search(queries.where(own), graph, part, beam))
     named = found.join(members, "node").where(F.col("vec_id") != F.col("query"))
     best = named.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")

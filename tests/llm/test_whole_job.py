@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from foldgauge.llm import near_dups
+from foldgauge.llm import near_dups, neighbours
 
 
 def test_pairs_whose_bytes_agree_in_an_earlier_band_are_compared():
@@ -43,3 +43,29 @@ def test_no_pair_just_above_the_threshold_is_left_by_all_its_buckets():
             )
             lost += not list(near_dups._possible(part, 0.8, 0.12, False))
     assert lost == 0
+
+
+def test_vectors_of_a_reused_id_and_of_other_widths_take_part(spark):
+    draw = np.random.default_rng(3)
+    rows = [(k, draw.normal(size=8).tolist()) for k in range(20, 80)]
+    near = {q: (np.array(v) + 0.01 * draw.normal(size=8)).tolist() for q, v in rows if q % 20 == 0}
+    rows += [(1, v) for v in near.values()]  # one id, a vector beside each query
+    rows += [(100 + k, near[40]) for k in range(3)]
+    rows += [(200 + k, draw.normal(size=4).tolist()) for k in range(9)]
+    rows += [(300, [0.0] * 8), (300, draw.normal(size=8).tolist())]  # its zero vector takes no part, the other asks
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(vectors, every=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = {}
+    firsts = {q: min(np.array(v).tobytes() for n, v in rows if n == q and any(v)) for q, _ in rows if q % 20 == 0}
+    for q, own in firsts.items():
+        a, best = np.frombuffer(own), {}
+        for n, v in rows:
+            if n != q and len(v) == len(a) and any(v):
+                b = np.array(v)
+                best[n] = max(best.get(n, -2), a @ b / (np.linalg.norm(a) * np.linalg.norm(b)))
+        ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5]
+        want[q] = [n for n, _ in ranked]
+    assert {q: [n for _, n, _ in sorted(x)] for q, x in got.items()} == want
+    assert all(want[q][0] == 1 for q in (20, 40, 60)) and set(want) == {20, 40, 60, 100, 200, 300}
