@@ -32,7 +32,7 @@ def test_prepare_score_compare(spark, corpus, schema):
     comparison = flows.compare(predictions, schema)
     assert comparison.table.count() == 2 and comparison.display.count() == 2
     assert comparison.per_fold.count() == 2 * 4 * 5
-    smoke = flows.score_by_prompt(prepared, schema, "llm_t", "zero_shot", factory, k=4, only_fold=1, limit=3)
+    smoke = flows.score_by_prompt(prepared, schema, "llm_t", "zero_shot", factory, only_fold=1, limit=3)
     assert [r["fold"] for r in smoke.collect()] == [1, 1, 1]
 
 
