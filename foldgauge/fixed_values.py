@@ -69,27 +69,25 @@ FEW_SHOT_QUERY_PREFIX = "Now classify this comment.\n\nComment: "
 PROMPT_SUFFIX = "\n\nJSON:"
 TEMPLATE_PLACEHOLDER = "<<COMMENT_TEXT>>"
 
-# --- cleaning marks and patterns, in the order they apply (fixed values) ------------------------
+# --- cleaning rules, in the order they apply: name, pattern, replacement (fixed values) ----------
+# @B stands for one blank, @N for any other character; each engine has its own class for them.
+CLEANING = (
+    ("html_tag", r"<[^>]+>", " "),
+    ("user_link", r"(?i)\[\[@B*(?:User|User talk|Special:Contributions)@B*:[^\]]*\]\]", " <USER> "),
+    ("wiki_template", r"\{\{[^{}]*\}\}", " "),
+    ("wiki_heading", r"={2,}@B*([^=]+?)@B*={2,}", r" \1 "),
+    ("wiki_link", r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]", r"\1"),
+    ("signature", r"~{3,}", " "),
+    ("url", r"(?i)(?:https?://|www\.)@N+", " <URL> "),
+    ("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", " <IP> "),
+    ("blank_run", r"@B+", " "),
+)
+ZERO_WIDTH = "[​-‍⁠﻿]"
 # Java's \s, even with (?U), leaves out U+001C..U+001F, which count as blanks here.
 BLANK = r"[\s\x1c-\x1f]"
 NON_BLANK = r"[^\s\x1c-\x1f]"
-ZERO_WIDTH = "[\u200b-\u200d\u2060\ufeff]"
-HTML_TAG = r"<[^>]+>"
-USER_LINK = rf"(?iU)\[\[{BLANK}*(?:User|User talk|Special:Contributions){BLANK}*:[^\]]*\]\]"
-WIKI_TEMPLATE = r"\{\{[^{}]*\}\}"
-# Blanks inside a heading are left to the last rule, which keeps this one linear.
-WIKI_HEADING = r"(?<!=)={2,}+([^=]++)={2,}"
-WIKI_LINK = r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]"
-SIGNATURE = r"~{3,}"
-URL = rf"(?U)(?=[hHwW])(?i:https?://|www\.){NON_BLANK}+"
-IP_ADDRESS = r"(?U)(?=[^\x00-/:-\x7F])(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
-# Any run of blanks but a lone space.
-BLANK_RUN = rf"(?U)[^!-~](?:(?<= ){BLANK}+|(?<=[\s\x1c-\x1f&&[^ ]]){BLANK}*)"
 BLANKS = rf"(?U){BLANK}+"
 BLANK_ENDS = rf"(?U)^{BLANK}+|{BLANK}+\z"
-USER_MARK = " <USER> "
-URL_MARK = " <URL> "
-IP_MARK = " <IP> "
 
 # --- reply patterns (fixed values) --------------------------------------------------------------
 FENCE_OPEN = r"^```(?:json)?"

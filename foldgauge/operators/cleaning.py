@@ -81,18 +81,63 @@ class Rule:
         return F.concat(F.regexp_replace(head, F.lit(self.pattern), F.lit(self.replacement)), rest)
 
 
+CHUNK_ENDS = r"(?<=\])(?!\])"
+
+
+@dataclass(frozen=True)
+class BracketRule(Rule):
+    """A rule for links closed by ``]]`` that hold no ``]``, in linear time.
+
+    The first ``]`` behind a ``[[`` settles the fate of every start before it. So the text is cut behind each run of ``]``: a
+    piece that ends in a single one (or in none) holds no link and is left alone as a whole, and in
+    any other piece the links are those whose target reads on to its end, of which the leftmost counts.
+    """
+
+    def apply(self, text: Column) -> Column:
+        pieces = F.split(text, CHUNK_ENDS, -1)
+        return F.array_join(F.transform(pieces, lambda piece: F.when(F.endswith(piece, F.lit("]]")), self.inside(piece)).otherwise(piece)), "")
+
+    def inside(self, piece: Column) -> Column:
+        return F.regexp_replace(piece, F.lit(self.pattern), F.lit(self.replacement))
+
+
+@dataclass(frozen=True)
+class PageLinkRule(BracketRule):
+    """``[[page]]`` and ``[[page|shown]]`` become the page; neither part may be empty.
+
+    In a piece a start reads up to the first bar or to the brackets, and fails only if that is nothing or if the bar is the
+    last character. Starts behind the last bar but one would all meet that last bar, so they are not tried.
+    """
+
+    def inside(self, piece: Column) -> Column:
+        body = F.rtrim(piece, F.lit("]"))
+        closing = F.length(piece) - F.length(body) - 2
+        tried = F.when(F.endswith(body, F.lit("|")), self._before_last_bar(body)).otherwise(body)
+        found = F.regexp_replace(tried, F.lit(r"(?s)\[\[([^|]++)(?:\|.*)?\z"), F.lit("$1"))
+        return F.when(found == tried, piece).otherwise(F.concat(found, F.repeat(F.lit("]"), closing)))
+
+    @staticmethod
+    def _before_last_bar(body: Column) -> Column:
+        """Up to the last bar but one, itself included; empty without one."""
+        open_ = F.left(body, F.length(body) - 1)
+        return F.left(open_, F.length(open_) - F.length(F.substring_index(open_, "|", -1)))
+
+
+_PATTERNS = {name: pattern.replace("@B", V.BLANK).replace("@N", V.NON_BLANK) for name, pattern, _ in V.CLEANING}
+_PATTERNS["user_link"] = _PATTERNS["user_link"].replace("(?i)", "(?iU)")
+# The same matches in forms that look at fewer places: blanks inside a heading are left to the last rule, which keeps
+# the heading linear; urls and addresses are tried only at their first character; a lone space is no run.
+_PATTERNS["wiki_heading"] = r"(?<!=)={2,}+([^=]++)={2,}"
+_PATTERNS["url"] = rf"(?U)(?=[hHwW])(?i:https?://|www\.){V.NON_BLANK}+"
+_PATTERNS["ip_address"] = r"(?U)(?=[^\x00-/:-\x7F])(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
+_PATTERNS["blank_run"] = rf"(?U)[^!-~](?:(?<= ){V.BLANK}+|(?<=[\s\x1c-\x1f&&[^ ]]){V.BLANK}*)"
+_KINDS = {"user_link": BracketRule, "wiki_link": PageLinkRule}
+_UPTO = {"html_tag": ">"}
+
 # Each rule refers to the text once: a plan that puts the cleaned text into a Python function writes the whole
 # chain out, and rules that test the text first would multiply it with every step.
-STRUCTURAL_RULES = (
-    Rule("html_tag", V.HTML_TAG, " ", upto=">"),
-    Rule("user_link", V.USER_LINK, V.USER_MARK, upto="]]"),
-    Rule("wiki_template", V.WIKI_TEMPLATE, " "),
-    Rule("wiki_heading", V.WIKI_HEADING, " $1 "),
-    Rule("wiki_link", V.WIKI_LINK, "$1", upto="]]"),
-    Rule("signature", V.SIGNATURE, " "),
-    Rule("url", V.URL, V.URL_MARK),
-    Rule("ip_address", V.IP_ADDRESS, V.IP_MARK),
-    Rule("blank_run", V.BLANK_RUN, " "),
+STRUCTURAL_RULES = tuple(
+    _KINDS.get(name, Rule)(name, _PATTERNS[name], shown.replace("\\1", "$1"), _UPTO.get(name, "")) for name, _, shown in V.CLEANING
 )
 
 

@@ -1,5 +1,6 @@
 """Corpus cleaning over whole texts."""
 
+from foldgauge import fixed_values as V
 from foldgauge.functions.text import token_window, tokens
 from foldgauge.operators.cleaning import clean_audit, clean_corpus
 from foldgauge.queries.base import query, table
@@ -7,21 +8,18 @@ from pyspark.sql import functions as F
 
 # The SQL engine knows no NFKC and no entity function. The given texts do not change under NFKC, and the
 # entities in them are listed here; the tests check the full rules on hand cases.
+SQL_BLANK = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 STEPS = (
     ("hygiene", None, None),
-    ("html_tag", r"<[^>]+>", " "),
-    ("user_link", r"(?i)\[\[\s*(?:User|User talk|Special:Contributions)\s*:[^\]]*\]\]", " <USER> "),
-    ("wiki_template", r"\{\{[^{}]*\}\}", " "),
-    ("wiki_heading", r"={2,}\s*([^=]+?)\s*={2,}", r" \1 "),
-    ("wiki_link", r"\[\[([^\]|]+?)(?:\|[^\]]+)?\]\]", r"\1"),
-    ("signature", r"~{3,}", " "),
-    ("url", r"(?i)(?:https?://|www\.)[^\s\x0b\x{a0}\x{2000}-\x{200a}\x{3000}]+", " <URL> "),
-    ("ip_address", r"\b(?:\d{1,3}\.){3}\d{1,3}\b", " <IP> "),
-    ("blank_run", r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+", " "),
+    *((name, pattern.replace("@B", f"[{SQL_BLANK}]").replace("@N", f"[^{SQL_BLANK}]"), shown) for name, pattern, shown in V.CLEANING),
 )
 
 
-def steps_sql(source: str, keep: str, text: str) -> str:
+# The rules leave the blanks inside a heading to the last rule; texts come out alike, but an audit counts them there.
+STAGED_HEADING = {"wiki_heading": r"={2,}([^=]+)={2,}"}
+
+
+def steps_sql(source: str, keep: str, text: str, instead: dict[str, str] | None = None) -> str:
     """CTEs ``s_<rule>``, each adding the text after one rule."""
     unescaped = f"coalesce({text}, '')"
     for entity, character in (("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'"), ("copy", "'©'"), ("middot", "'·'"), ("nbsp", "chr(160)"), ("#39", "chr(39)"), ("amp", "'&'")):
@@ -30,6 +28,7 @@ def steps_sql(source: str, keep: str, text: str) -> str:
     ctes = [f"s_hygiene AS (SELECT {keep}, coalesce({text}, '') AS t_source, {unescaped} AS t_hygiene FROM {source})"]
     previous = "hygiene"
     for name, pattern, replacement in STEPS[1:]:
+        pattern = (instead or {}).get(name, pattern)
         ctes.append(
             f"s_{name} AS (SELECT *, regexp_replace(t_{previous}, '{pattern}', '{replacement}', 'g') AS t_{name} FROM s_{previous})"
         )
@@ -45,7 +44,7 @@ def audit_sql(source: str, by: str, text: str) -> str:
             f"""SELECT {by}, count(*) AS n_rows, '{after}' AS rule, count(*) FILTER (t_{before} <> t_{after}) AS rows_changed,
   CAST(sum(length(t_{before}) - length(t_{after})) AS BIGINT) AS chars_removed FROM s_blank_run GROUP BY {by}"""
         )
-    return f"WITH {steps_sql(source, by, text)} " + " UNION ALL ".join(rows)
+    return f"WITH {steps_sql(source, by, text, STAGED_HEADING)} " + " UNION ALL ".join(rows)
 
 
 @query(
@@ -72,6 +71,49 @@ def conversations(spark, sf_dir):
     return clean_corpus(table(spark, sf_dir, "conversations"), "text").select("conv_id", "turn", "cleaned")
 
 
+# Frequent words of the given texts, and the wiki marks put in their place; links with a single bracket or an empty part stay.
+MARKS = (
+    (" the ", " [[User talk:Ann|the]] "),
+    (" of ", " [[of]] "),
+    (" and ", " {{tl|and}} "),
+    (" to ", " [[to]x]] "),
+    (" in ", " [[in|side]] "),
+    (" is ", " [[is|]] "),
+    ("e. ", "e. == Note ==\n"),
+    ("s. ", "s. ~~~~ "),
+    (" a ", " [[a]]] "),
+)
+
+
+def marked_sql(source: str) -> str:
+    text = "text"
+    for plain, mark in MARKS:
+        text = f"replace({text}, '{plain}', '{mark}')"
+    return f"(SELECT doc_id, lang, {text} AS text FROM {source})"
+
+
+def marked_documents(spark, sf_dir):
+    """The documents as wiki pages would hold them."""
+    text = F.col("text")
+    for plain, mark in MARKS:
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return table(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("text"))
+
+
+@query(
+    "clean_marked_documents",
+    f"WITH {steps_sql(marked_sql('documents'), 'doc_id, lang', 'text')} SELECT doc_id, lang, trim(t_blank_run) AS cleaned FROM s_blank_run",
+)
+def clean_marked(spark, sf_dir):
+    """The wiki rules at work: user and page links, templates, headings, signatures."""
+    return clean_corpus(marked_documents(spark, sf_dir), "text").select("doc_id", "lang", "cleaned")
+
+
+@query("clean_audit_marked", audit_sql(marked_sql("documents"), "lang", "text"))
+def audit_marked(spark, sf_dir):
+    return clean_audit(marked_documents(spark, sf_dir), "text", ["lang"])
+
+
 @query("cleaning_disabled", "SELECT doc_id, coalesce(text, '') AS cleaned FROM documents")
 def disabled(spark, sf_dir):
     return clean_corpus(table(spark, sf_dir, "documents"), "text", enabled=False).select("doc_id", "cleaned")

@@ -147,6 +147,53 @@ def test_long_texts_take_linear_time(spark, text):
     assert time.perf_counter() - begun < 20
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "[[User:" * 15_000 + "]x]]",
+        "[[a" * 33_000 + "]x]]",
+        "[[a" * 33_000 + "|]]",
+        "[[User:a]" * 12_000,
+        "[[|" * 33_000 + "]]",
+        "[[a|" * 25_000 + "]]",
+        "]" * 100_000,
+        "[[ " + " " * 100_000 + "]]",
+    ],
+)
+def test_links_take_linear_time(spark, text):
+    import time
+
+    frame = spark.createDataFrame([(text,)], "text string")
+    C.clean_corpus(frame.limit(0), "text").collect()
+    begun = time.perf_counter()
+    C.clean_corpus(frame, "text").collect()
+    assert time.perf_counter() - begun < 2
+
+
+def test_links_equal_their_patterns(spark):
+    """The linear link rules against the plain patterns, on every short mixture of brackets and bars."""
+    import random
+    import re
+
+    draw = random.Random(1)
+    pieces = ["[", "[", "[[", "]", "]]", "|", "a", "\n", "b c", "[[User:", "[[ user talk :", "[[Special:Contributions:x"]
+    texts = ["".join(draw.choices(pieces, k=draw.randint(1, 14))) for _ in range(4000)]
+    rules = {rule.name: rule for rule in C.STRUCTURAL_RULES}
+    patterns = {name: pattern.replace("@B", r"\s") for name, pattern, _ in C.V.CLEANING}
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(4)
+    got = frame.select("i", rules["user_link"].apply(F.col("t")).alias("u"), rules["wiki_link"].apply(F.col("t")).alias("w")).collect()
+    for i, user, page in got:
+        assert user == re.sub(patterns["user_link"], " <USER> ", texts[i]), texts[i]
+        assert page == re.sub(patterns["wiki_link"], r"\1", texts[i]), texts[i]
+
+
+def test_marked_texts_meet_every_wiki_rule(spark, sf_dir):
+    from foldgauge.queries import QUERIES
+
+    rows = QUERIES["clean_audit_marked"](spark, sf_dir).groupBy("rule").agg(F.sum("rows_changed").alias("n")).collect()
+    assert all(r["n"] > 0 for r in rows if r["rule"] in C.WIKI_RULES) and len(rows) == 10
+
+
 def test_audit_counts(spark):
     rows = spark.createDataFrame([("en", "a <b> c"), ("en", "a  b"), ("fr", "~~~~")], "lang string, text string")
     audit = {(r["lang"], r["rule"]): (r["rows_changed"], r["chars_removed"]) for r in C.clean_audit(rows, "text", ["lang"]).collect()}
