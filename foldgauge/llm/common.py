@@ -6,6 +6,7 @@ per word. Work memory is bounded by BLOCK_BYTES, whatever the length of a batch
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,7 +22,8 @@ BROADCAST_ROWS = 1_000_000
 
 _ODD = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
+_LONG_SPAN = 64
+_KEY = b"spans of bytes"
 
 
 def class_table(pattern: str) -> np.ndarray:
@@ -62,22 +64,6 @@ def worker_memo() -> dict:
     return sys.modules.setdefault("_foldgauge_memo", ModuleType("_foldgauge_memo")).__dict__.setdefault("memo", {})
 
 
-def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd base and of its inverse modulo 2**64, kept for the usual size only."""
-    memo = worker_memo()
-    if "powers" in memo and len(memo["powers"][0]) >= size:
-        return memo["powers"]
-    count = max(size, BLOCK_BYTES + 1)
-    tables = []
-    for base in (_ODD, _ODD_INVERSE):
-        steps = np.full(count, base, dtype=np.uint64)
-        steps[0] = 1
-        tables.append(np.cumprod(steps, dtype=np.uint64))
-    if count == BLOCK_BYTES + 1:
-        memo["powers"] = tuple(tables)
-    return tables[0], tables[1]
-
-
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the n + 1 offsets of its rows; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -107,26 +93,64 @@ def word_spans(data: np.ndarray, bounds: np.ndarray, table: np.ndarray) -> tuple
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, bounds)
 
 
+def _eights(block: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place on as one number; ``block`` ends in 8 bytes of padding."""
+    return np.ndarray((len(block) - 7,), dtype="<u8", buffer=block, strides=(1,))
+
+
+_UPTO = np.array([(1 << 8 * n) - 1 for n in range(8)] + [_MASK], dtype=np.uint64)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = LOWER) -> np.ndarray:
-    """A 64-bit hash of the bytes of each ordered, disjoint span, after ``fold`` maps each byte."""
+    """A 64-bit hash of the bytes of each ordered, disjoint span, after ``fold`` maps each byte.
+
+    Up to 7 bytes and their number are one 64-bit value, which is only mixed: such spans never collide with each other. Longer
+    ones are chained through the finaliser 8 bytes at a time, those over _LONG_SPAN bytes are hashed by keyed BLAKE2b, so no
+    algebraic structure of a text can make two of them agree.
+    """
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
     while at < len(starts):
         upto = max(at + 1, int(np.searchsorted(ends, starts[at] + BLOCK_BYTES, side="right")))
         base = starts[at]
-        block = fold[data[base : ends[upto - 1]]].astype(np.uint64)
-        power, inverse = _power_tables(len(block) + 1)
-        block += np.uint64(1)
-        block *= power[: len(block)]
-        sums = np.empty(len(block) + 1, dtype=np.uint64)
-        sums[0] = 0
-        np.cumsum(block, out=sums[1:])
-        s, e = starts[at:upto] - base, ends[at:upto] - base
-        out[at:upto] = mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
+        block = np.zeros(ends[upto - 1] - base + 8, dtype=np.uint8)
+        block[:-8] = fold[data[base : ends[upto - 1]]]
+        eights = _eights(block)
+        s, size = starts[at:upto] - base, ends[at:upto] - starts[at:upto]
+        wide = size.astype(np.uint64)
+        found = mix((eights[s] & _UPTO[np.minimum(size, 8)]) | (wide << np.uint64(56)))
+        longer = np.flatnonzero(size > 7)
+        if len(longer):
+            chain = mix(wide[longer] * np.uint64(_ODD))
+            for k in range(_LONG_SPAN // 8):
+                on = np.flatnonzero(size[longer] > 8 * k)
+                mine = longer[on]
+                chain[on] = mix(chain[on] ^ (eights[s[mine] + 8 * k] & _UPTO[np.minimum(size[mine] - 8 * k, 8)]))
+            found[longer] = chain
+            for k in longer[size[longer] > _LONG_SPAN].tolist():
+                digest = hashlib.blake2b(block[s[k] : s[k] + size[k]], digest_size=8, key=_KEY).digest()
+                found[k] = np.uint64(int.from_bytes(digest, "little"))
+        out[at:upto] = found
         at = upto
     return out
 
 
+def spans_differ(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Which spans differ, byte by byte, from the spans of the same size that begin at ``others``."""
+    block = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eights = _eights(block)
+    size = ends - starts
+    differ = np.zeros(len(starts), dtype=bool)
+    on = np.flatnonzero((size <= _LONG_SPAN) & (size > 0) & (starts != others))
+    for k in range(_LONG_SPAN // 8):
+        on = on[size[on] > 8 * k]
+        apart = (eights[starts[on] + 8 * k] ^ eights[others[on] + 8 * k]) & _UPTO[np.minimum(size[on] - 8 * k, 8)]
+        differ[on] |= apart != 0
+    for k in np.flatnonzero((size > _LONG_SPAN) & (starts != others)).tolist():
+        differ[k] = not np.array_equal(data[starts[k] : ends[k]], data[others[k] : others[k] + size[k]])
+    return differ
+
+
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each window of ``size`` consecutive words (not heeding rows)."""
     n = len(words) - size + 1

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import SAME, row_blocks, span_hashes, text_bytes, worker_memo
+from foldgauge.llm.common import SAME, row_blocks, span_hashes, spans_differ, text_bytes, worker_memo
 from foldgauge.llm.registry import query, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -31,6 +31,7 @@ CHUNK_BYTES = 1 << 15
 OVERLAP_BYTES = 1 << 9
 LIMIT_TOKENS = 1024
 CACHE_SEGMENTS = 1_000_000
+CACHE_BYTES = 1 << 25
 _JOINED = 64
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -108,7 +109,8 @@ class SegmentEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known: dict[bytes, int] = {}
+        self.held = 0
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.first = np.zeros(1 << 14, dtype=np.int64)
         self.count = np.zeros(1 << 14, dtype=np.int64)
@@ -151,19 +153,20 @@ class SegmentEncoder:
             out.append(np.array(ids, dtype=np.uint32))
         return out
 
-    def _learn(self, keys: list[int], segments: list[bytes]) -> None:
+    def _learn(self, segments: list[bytes]) -> None:
         ids, counts = self._library_ids(segments)
         n = len(self.known)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(keys) > len(self.first):
+        while n + len(segments) > len(self.first):
             self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             self.count = np.concatenate([self.count, np.zeros_like(self.count)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.count[n : n + len(keys)] = counts
-        self.first[n : n + len(keys)] = self.used + np.cumsum(counts) - counts
+        self.count[n : n + len(segments)] = counts
+        self.first[n : n + len(segments)] = self.used + np.cumsum(counts) - counts
         self.used += len(ids)
-        self.known.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.held += sum(map(len, segments))
+        self.known.update(zip(segments, range(n, n + len(segments)), strict=True))
 
     def _segments(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the kept entry of every segment of these rows, and each row's first segment."""
@@ -173,17 +176,22 @@ class SegmentEncoder:
         cuts = np.flatnonzero(first)
         starts, ends = cuts, np.append(cuts[1:], len(data))
         hashes = span_hashes(data, starts, ends, SAME)
-        keys, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) + len(keys) > CACHE_SEGMENTS:
+        _, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        same_size = (ends - starts) == (ends - starts)[index][inverse]
+        unlike = np.flatnonzero(~same_size)
+        unlike = np.union1d(unlike, np.flatnonzero(same_size)[spans_differ(data, starts[same_size], ends[same_size], starts[index][inverse][same_size])])
+        if len(unlike):  # equal hashes of different segments: each stands for itself
+            inverse = inverse.copy()
+            inverse[unlike] = len(index) + np.arange(len(unlike))
+            index = np.concatenate([index, unlike])
+        raw = data.tobytes()
+        listed = [raw[s:e] for s, e in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]
+        if len(self.known) + len(index) > CACHE_SEGMENTS or self.held > CACHE_BYTES:
             self._clear()
-        listed = keys.tolist()
-        entry = np.fromiter(map(self.known.get, listed, [-1] * len(listed)), dtype=np.int64, count=len(listed))
-        new = np.flatnonzero(entry < 0)
-        if len(new):
-            raw = data.tobytes()
-            spans = zip(starts[index[new]].tolist(), ends[index[new]].tolist(), strict=True)
-            entry[new] = len(self.known) + np.arange(len(new))
-            self._learn([listed[i] for i in new.tolist()], [raw[s:e] for s, e in spans])
+        new = list(dict.fromkeys(segment for segment in listed if segment not in self.known))
+        if new:
+            self._learn(new)
+        entry = np.fromiter(map(self.known.__getitem__, listed), dtype=np.int64, count=len(listed))
         return entry[inverse], np.searchsorted(starts, bounds)
 
     def counts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
