@@ -1,28 +1,29 @@
-"""A multi-label classifier per fold with Spark ML: one logistic regression per label, labels independent.
+"""A multi-label classifier for all folds at once: logistic regressions trained in joint passes over one table.
 
 It stands where an encoder would be fine-tuned: fresh per fold, trained on the train part, the best of
-several training lengths chosen on validation macro-F1, then the test part scored. Every fit and every
-scoring pass is distributed; the driver holds coefficients and one metrics row per fold and epoch.
+several epochs chosen on validation macro-F1, then the test part scored. Every fold and label is a column of one coefficient matrix. A pass
+reads each stored row once and, for all columns together, sums loss and gradient over the folds that train on the row and
+confusion counts over those that validate on it; sums are added up inside tasks and then block by block over the cluster.
+The driver takes one L-BFGS step per pass for every column, each with its own step length and history, and goes on from
+there in the next epoch. So a run costs ``epochs * steps_per_epoch + 1`` passes, whatever the number of folds and labels.
+
+What is broadcast and collected has ``n_features * folds * labels`` numbers, a bound set by parameters, not by the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldgauge import fixed_values as V
 from foldgauge.functions.text import token_window
 from foldgauge.operators.cleaning import clean_corpus
-from foldgauge.operators.metrics import fold_metrics, threshold_predictions
-from foldgauge.operators.stats import pos_weights
+from foldgauge.operators.metrics import threshold_predictions
 from foldgauge.schema import CorpusSchema
 from foldgauge.session import materialize
 
@@ -33,102 +34,282 @@ class TrainSettings:
     n_features: int = 1 << 18
     epochs: int = V.EPOCHS
     steps_per_epoch: int = 3
-    reg_param: float = 0.01
+    reg_param: float = 1e-4
     threshold: float = V.DECISION_THRESHOLD
     weighted: bool = False
     pos_weight_clip: float = V.POS_WEIGHT_CLIP
     clean: bool = True
+    memory: int = 4
+
+
+ROLE_CODES = {"train": 0, "val": 1, "test": 2}
+BLOCK = 4096
+CHUNK_ENTRIES = 1 << 17
 
 
 def token_features(corpus: DataFrame, schema: CorpusSchema, settings: TrainSettings) -> DataFrame:
-    """Id, labels and hashed term counts; texts are cleaned and cut once, not per epoch."""
+    """Id, labels and the hashed tokens of each row; texts are cleaned and cut once, not per epoch."""
     cleaned = clean_corpus(corpus, schema.text, "cleaned_text", enabled=settings.clean)
-    words = cleaned.select(
-        schema.id, *schema.labels, token_window(F.lower("cleaned_text"), settings.max_tokens).alias("words")
-    )
-    return HashingTF(inputCol="words", outputCol="counts", numFeatures=settings.n_features).transform(words).drop("words")
+    words = token_window(F.lower("cleaned_text"), settings.max_tokens)
+    hashed = F.transform(words, lambda word: F.pmod(F.xxhash64(word), F.lit(settings.n_features)).cast("int"))
+    labels = F.array(*[F.coalesce(F.col(label).cast("int"), F.lit(0)) for label in schema.labels])
+    return cleaned.select(schema.id, labels.alias("labels"), hashed.alias("tokens"))
+
+
+def roles_by_id(roles: DataFrame, schema: CorpusSchema, folds: Sequence[int]) -> DataFrame:
+    """One row per id with a small code per fold (-1: no role), so texts and features need not be copied per fold."""
+    code = F.coalesce(*[F.when(F.col("role") == role, F.lit(value)) for role, value in ROLE_CODES.items()])
+    wide = roles.groupBy(schema.id).agg(*[F.max(F.when(F.col("fold") == f, code)).alias(f"role_{f}") for f in folds])
+    packed = F.array(*[F.coalesce(f"role_{f}", F.lit(-1)).cast("int") for f in folds])
+    return wide.select(schema.id, packed.alias("roles"))
+
+
+@dataclass
+class Rows:
+    """Rows of a batch as numpy arrays: labels (n, L), roles (n, folds) and their distinct tokens with log counts."""
 
+    labels: np.ndarray
+    roles: np.ndarray
+    row: np.ndarray
+    column: np.ndarray
+    value: np.ndarray
 
-def _scored(rows: DataFrame, models: Sequence[LogisticRegressionModel], schema: CorpusSchema) -> DataFrame:
-    out = rows
-    for label, model in zip(schema.labels, models):
-        out = model.transform(out).withColumn(f"prob_{label}", vector_to_array("probability")[1])
-        out = out.drop("rawPrediction", "probability", "prediction")
+
+def batch_rows(batch: pa.RecordBatch, n_features: int) -> Iterator[Rows]:
+    """The batch in pieces of about CHUNK_ENTRIES tokens (or one row), so that memory does not follow the batch."""
+    labels, roles, tokens = (batch.column(name) for name in ("labels", "roles", "tokens"))
+    n = batch.num_rows
+    y = labels.flatten().to_numpy().reshape(n, -1).astype(np.float64)
+    r = roles.flatten().to_numpy().reshape(n, -1)
+    sizes = np.array(tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    flat = tokens.flatten().to_numpy().astype(np.int64)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < n:
+        before = int(ends[at - 1]) if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + CHUNK_ENTRIES, side="right")))
+        mine = flat[before : int(ends[upto - 1])]
+        keys, counts = np.unique(np.repeat(np.arange(upto - at), sizes[at:upto]) * n_features + mine, return_counts=True)
+        yield Rows(y[at:upto], r[at:upto], keys // n_features, keys % n_features, 1 + np.log(counts))
+        at = upto
+
+
+def _row_sums(values: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """Sums over the entries of each row; entries are in row order."""
+    out = np.zeros((n, *values.shape[1:]))
+    if len(row):
+        starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        out[row[starts]] = np.add.reduceat(values, starts, axis=0)
     return out
 
 
-def _prediction_rows(rows: DataFrame, models: Sequence[LogisticRegressionModel], schema: CorpusSchema, settings: TrainSettings) -> DataFrame:
-    scored = threshold_predictions(_scored(rows, models, schema), schema, settings.threshold)
-    columns = []
-    for label in schema.labels:
-        columns += [F.col(label).cast("int").alias(f"true_{label}"), f"prob_{label}", f"pred_{label}"]
-    return scored.select("fold", schema.id, *columns)
+def _add_by_column(total: np.ndarray, column: np.ndarray, values: np.ndarray) -> None:
+    if len(column):
+        order = np.argsort(column, kind="stable")
+        ranked = column[order]
+        starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+        total[ranked[starts]] += np.add.reduceat(values[order], starts, axis=0)
 
 
-def _fit(rows: DataFrame, label: str, iterations: int, settings: TrainSettings) -> tuple[LogisticRegressionModel, float]:
-    """``rows`` is the kept train part itself, with the label's ``y_`` and ``w_`` columns: a table derived from it
-    would be kept a second time by the fit."""
-    fit = LogisticRegression(
-        featuresCol="features", labelCol=f"y_{label}", weightCol=f"w_{label}", maxIter=iterations, regParam=settings.reg_param, family="binomial"
-    ).fit(rows)
-    return fit, float(fit.summary.objectiveHistory[-1])
+def summed(stored: DataFrame, n_features: int, width: int, extra: int, add: Callable[[Rows, np.ndarray, np.ndarray], None]) -> tuple[np.ndarray, np.ndarray]:
+    """Totals over all rows: an (n_features, width) matrix and ``extra`` numbers, both filled by ``add``.
 
+    Each task adds up its own matrix; its blocks of BLOCK features that hold anything are then added up in parallel, so the
+    cluster reduces the matrix and the driver only puts the finished blocks in place.
+    """
 
-ROLE_CODES = {"train": 0, "val": 1, "test": 2}
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, numbers = np.zeros((n_features, width)), np.zeros(extra)
+        for batch in batches:
+            for rows in batch_rows(batch, n_features):
+                add(rows, matrix, numbers)
+        for low in range(0, n_features, BLOCK):
+            part = matrix[low : low + BLOCK]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([low]), pa.array([part.tobytes()])], names=["low", "part"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([numbers.tobytes()])], names=["low", "part"])
 
+    def reduce(group: pa.Table) -> pa.Table:
+        total = np.zeros(len(group.column("part")[0].as_buffer()) // 8)
+        for part in group.column("part"):
+            total += np.frombuffer(part.as_buffer())
+        return pa.table({"low": group.column("low").slice(0, 1), "part": pa.array([total.tobytes()], type=pa.binary())})
+
+    schema = "low long, part binary"
+    matrix, numbers = np.zeros((n_features, width)), np.zeros(extra)
+    # at most n_features / BLOCK rows of BLOCK * width numbers
+    for low, part in stored.mapInArrow(local, schema).groupBy("low").applyInArrow(reduce, schema).collect():
+        if low < 0:
+            numbers = np.frombuffer(part)
+        else:
+            matrix[low : low + BLOCK] = np.frombuffer(part).reshape(-1, width)
+    return matrix, numbers
+
+
+def _scaled(rows: Rows, idf: np.ndarray) -> np.ndarray:
+    """(entries, folds): the tf-idf value of each entry in each fold, rows of length one."""
+    value = rows.value[:, None] * idf[rows.column]
+    size = np.sqrt(_row_sums(value * value, rows.row, len(rows.labels)))
+    return value / np.maximum(size, 1e-12)[rows.row]
 
-def roles_by_id(roles: DataFrame, schema: CorpusSchema, folds: Sequence[int]) -> DataFrame:
-    """One row per id with a small code per fold, so texts and features need not be copied per fold."""
-    code = F.coalesce(*[F.when(F.col("role") == role, F.lit(value)) for role, value in ROLE_CODES.items()])
-    return roles.groupBy(schema.id).agg(*[F.max(F.when(F.col("fold") == f, code)).alias(f"role_{f}") for f in folds])
+
+def _margins(rows: Rows, value: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """(rows, folds, labels): the linear scores; the last row of ``weights`` holds the intercepts."""
+    folds, n = value.shape[1], len(rows.labels)
+    parts = value[:, :, None] * weights[rows.column].reshape(len(rows.column), folds, -1)
+    return _row_sums(parts, rows.row, n) + weights[-1].reshape(1, folds, -1)
+
+
+def _probabilities(margins: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(0.5 * margins))
+
+
+class LockstepLBFGS:
+    """Independent L-BFGS minimisations, one for each column of the coefficient matrix, all taking their steps together.
+
+    A column whose trial step does not lower its objective enough keeps its place and tries a quarter of the step next.
+    """
+
+    def __init__(self, shape: tuple[int, int], memory: int, first_step: np.ndarray):
+        self.trial = np.zeros(shape, dtype=np.float32)
+        self.place, self.gradient, self.direction = (np.zeros(shape, dtype=np.float32) for _ in range(3))
+        self.value = np.full(shape[1], np.inf)
+        self.slope, self.step, self.first_step = np.zeros(shape[1]), np.ones(shape[1]), first_step
+        self.memory, self.past = memory, []
+
+    def tell(self, value: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+        """Takes objective and gradient at ``trial``, chooses the next one; returns which columns moved."""
+        begun = np.isfinite(self.value)
+        moved = ~begun | (value <= self.value + 1e-4 * self.step * self.slope)
+        moved_by = (self.trial - self.place) * moved
+        bent_by = (gradient - self.gradient) * moved
+        bend = np.einsum("ij,ij->j", moved_by, bent_by, dtype=np.float64)
+        if begun.any():
+            usable = moved & (bend > 1e-12)
+            self.past = [*self.past, (moved_by * usable, bent_by * usable, np.where(usable, 1 / np.where(usable, bend, 1), 0))][-self.memory :]
+        self.place = np.where(moved, self.trial, self.place)
+        self.gradient = np.where(moved, gradient, self.gradient).astype(np.float32)
+        self.value = np.where(moved, value, self.value)
+        fresh = self._direction()
+        self.direction = np.where(moved, fresh, self.direction)
+        self.slope = np.einsum("ij,ij->j", self.direction, self.gradient, dtype=np.float64)
+        self.step = np.where(moved, np.where(begun, 1.0, self.first_step), self.step / 4)
+        self.trial = (self.place + self.step * self.direction).astype(np.float32)
+        return moved
+
+    def _direction(self) -> np.ndarray:
+        q, used = self.gradient.astype(np.float32).copy(), []
+        for s, y, rho in reversed(self.past):
+            a = rho * np.einsum("ij,ij->j", s, q, dtype=np.float64)
+            q -= a.astype(np.float32) * y
+            used.append(a)
+        scale = np.ones(q.shape[1])
+        for s, y, rho in self.past:  # the latest usable pair sets the scale
+            size = np.einsum("ij,ij->j", y, y, dtype=np.float64)
+            scale = np.where(rho > 0, 1 / np.maximum(rho * size, 1e-300), scale)
+        q *= scale.astype(np.float32)
+        for (s, y, rho), a in zip(self.past, reversed(used), strict=True):
+            b = rho * np.einsum("ij,ij->j", y, q, dtype=np.float64)
+            q += (a - b).astype(np.float32) * s
+        return -q
+
+
+def _f1(counts: np.ndarray) -> np.ndarray:
+    """F1 from (3, ...) sums of hits, false alarms and misses; 0 where it is undefined."""
+    hits, alarms, misses = counts
+    return np.where(hits > 0, 2 * hits / np.maximum(2 * hits + alarms + misses, 1), 0.0)
 
 
 def train_score_folds(
-    corpus: DataFrame, roles: DataFrame, schema: CorpusSchema, settings: TrainSettings, folds: Sequence[int], parallel: int = 4
+    corpus: DataFrame, roles: DataFrame, schema: CorpusSchema, settings: TrainSettings, folds: Sequence[int]
 ) -> tuple[DataFrame, DataFrame]:
-    """``(predictions, history)`` for the given folds.
+    """``(predictions, history)`` for the given folds, trained together.
 
-    Features are computed and written once for all folds; a fold's part is a filter on its role column. Up to ``parallel``
-    folds are trained at the same time, each on its own kept train part, so the cluster is not idle between small jobs.
     ``history`` has one row per fold and epoch: mean objective over labels, validation macro and micro F1.
     """
-    features = token_features(corpus, schema, settings)
-    stored = materialize(features.join(roles_by_id(roles, schema, folds), schema.id))
-
-    def one_fold(fold: int) -> tuple[DataFrame, list[tuple]]:
-        def part(role: str) -> DataFrame:
-            rows = stored.where(F.col(f"role_{fold}") == ROLE_CODES[role])
-            return rows.select(F.lit(fold).alias("fold"), schema.id, *schema.labels, "counts")
-
-        idf = IDF(inputCol="counts", outputCol="features").fit(part("train"))
-        train, val, test = [idf.transform(part(role)).drop("counts") for role in ROLE_CODES]
-        weights = dict.fromkeys(schema.labels, 1.0)
-        if settings.weighted:
-            # One row per label.
-            table = pos_weights(train, schema, settings.pos_weight_clip).collect()
-            weights = {row["label"]: float(row["pos_weight"]) for row in table}
-        targets = [F.col(label).cast("double").alias(f"y_{label}") for label in schema.labels]
-        by_row = [F.when(F.col(label) == 1, F.lit(weights[label])).otherwise(F.lit(1.0)).alias(f"w_{label}") for label in schema.labels]
-        train = train.select("features", *targets, *by_row).persist()
-        best, best_macro, history = [], -1.0, []
-        for epoch in range(1, settings.epochs + 1):
-            steps = epoch * settings.steps_per_epoch
-            fitted = [_fit(train, label, steps, settings) for label in schema.labels]
-            models = [model for model, _ in fitted]
-            val_rows = _prediction_rows(val, models, schema, settings)
-            # One row: the metrics of this fold and epoch.
-            scores = fold_metrics(val_rows, schema, by=["fold"]).select("macro_f1", "micro_f1").first()
-            macro, micro = (scores["macro_f1"], scores["micro_f1"]) if scores else (0.0, 0.0)
-            history.append((fold, epoch, sum(loss for _, loss in fitted) / len(fitted), macro, micro))
-            if macro > best_macro:
-                best, best_macro = models, macro
-        train.unpersist()
-        return _prediction_rows(test, best, schema, settings), history
-
-    with ThreadPool(max(1, min(parallel, len(folds)))) as pool:
-        done = pool.map(one_fold, list(folds), chunksize=1)
-    scored = reduce(DataFrame.unionByName, [predictions for predictions, _ in done])
-    table = corpus.sparkSession.createDataFrame(
-        [row for _, history in done for row in history], "fold int, epoch int, train_loss double, val_macro_f1 double, val_micro_f1 double"
-    )
-    return scored, table
+    spark = corpus.sparkSession
+    n_folds, n_labels, n_features = len(folds), len(schema.labels), settings.n_features
+    columns = n_folds * n_labels
+    stored = materialize(token_features(corpus, schema, settings).join(roles_by_id(roles, schema, folds), schema.id))
+    narrow = stored.select("labels", "roles", "tokens")
+
+    def seen(rows: Rows, matrix: np.ndarray, numbers: np.ndarray) -> None:
+        """Rows of each fold's train part that hold a feature, and how many there are, with and without each label."""
+        train = (rows.roles == ROLE_CODES["train"]).astype(np.float64)
+        _add_by_column(matrix, rows.column, train[rows.row])
+        numbers[:n_folds] += train.sum(axis=0)
+        numbers[n_folds:] += (train[:, :, None] * rows.labels[:, None, :]).sum(axis=0).ravel()
+
+    holding, counts = summed(narrow, n_features, n_folds, n_folds + columns, seen)
+    n_train, positives = counts[:n_folds], counts[n_folds:].reshape(n_folds, n_labels)
+    idf = np.log((n_train + 1) / (holding + 1)).astype(np.float32)
+    weights = np.ones((n_folds, n_labels))
+    if settings.weighted:
+        weights = np.minimum((n_train[:, None] - positives) / np.maximum(positives, 1), settings.pos_weight_clip)
+    mass = np.maximum(n_train[:, None] - positives + weights * positives, 1e-12).ravel()
+    threshold = settings.threshold
+    shared_idf = spark.sparkContext.broadcast(idf)
+    search = LockstepLBFGS((n_features + 1, columns), settings.memory, 1 / np.maximum(weights.ravel(), 1.0))
+    confusion = np.zeros((3, n_folds, n_labels))
+    best, best_macro, history = np.zeros((n_features + 1, columns), dtype=np.float32), np.full(n_folds, -1.0), []
+
+    for step in range(settings.epochs * settings.steps_per_epoch + 1):
+        shared = spark.sparkContext.broadcast(search.trial)
+
+        def slopes(rows: Rows, matrix: np.ndarray, numbers: np.ndarray, shared=shared) -> None:
+            value = _scaled(rows, shared_idf.value)
+            margins = _margins(rows, value, shared.value)
+            truth = rows.labels[:, None, :]
+            train = (rows.roles == ROLE_CODES["train"])[:, :, None] * np.where(truth > 0, weights, 1.0)
+            loss = np.logaddexp(0, margins) - truth * margins
+            apart = train * (_probabilities(margins) - truth)
+            by_entry = value[:, :, None] * apart[rows.row]
+            _add_by_column(matrix, rows.column, by_entry.reshape(len(by_entry), -1))
+            checked = (rows.roles == ROLE_CODES["val"])[:, :, None]
+            said = (_probabilities(margins) >= threshold) & checked
+            hits, alarms, misses = said & (truth > 0), said & (truth <= 0), checked & ~said & (truth > 0)
+            numbers += np.concatenate([part.sum(axis=0).ravel() for part in (train * loss, apart, hits, alarms, misses)])
+
+        matrix, numbers = summed(narrow, n_features, columns, 5 * columns, slopes)
+        shared.destroy()
+        loss, slope, *found = numbers.reshape(5, columns)
+        pull = search.trial.copy()
+        pull[-1] = 0  # intercepts are free
+        value = loss / mass + 0.5 * settings.reg_param * np.einsum("ij,ij->j", pull, pull, dtype=np.float64)
+        gradient = (np.concatenate([matrix, slope[None]]) / mass + settings.reg_param * pull).astype(np.float32)
+        moved = search.tell(value, gradient).reshape(n_folds, n_labels)
+        confusion = np.where(moved, np.array(found).reshape(3, n_folds, n_labels), confusion)
+        if step and step % settings.steps_per_epoch == 0:
+            macro, micro = _f1(confusion).mean(axis=1), _f1(confusion.sum(axis=2))
+            losses = search.value.reshape(n_folds, n_labels).mean(axis=1)
+            better = macro > best_macro
+            best_macro = np.where(better, macro, best_macro)
+            best = np.where(np.repeat(better, n_labels), search.place, best)
+            epoch = step // settings.steps_per_epoch
+            history += [(int(f), epoch, float(losses[i]), float(macro[i]), float(micro[i])) for i, f in enumerate(folds)]
+
+    shared = spark.sparkContext.broadcast(best)
+    kind = stored.schema[schema.id].dataType.simpleString()
+    names = ["fold", schema.id, *schema.true_columns, *schema.prob_columns]
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for rows in batch_rows(batch, n_features):
+                n = len(rows.labels)
+                said = _probabilities(_margins(rows, _scaled(rows, shared_idf.value), shared.value))
+                row, fold = np.nonzero(rows.roles == ROLE_CODES["test"])
+                truth = [pa.array(rows.labels[row, k].astype(np.int32)) for k in range(n_labels)]
+                chances = [pa.array(said[row, fold, k]) for k in range(n_labels)]
+                ids = batch.column(0).slice(at, n).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(folds, dtype=np.int32)[fold]), ids, *truth, *chances], names=names)
+                at += n
+
+    fields = [*(f"`{name}` int" for name in schema.true_columns), *(f"`{name}` double" for name in schema.prob_columns)]
+    scored = stored.select(schema.id, "labels", "roles", "tokens").mapInArrow(score, f"fold int, `{schema.id}` {kind}, {', '.join(fields)}")
+    ordered = [name for label in schema.labels for name in (f"true_{label}", f"prob_{label}", f"pred_{label}")]
+    predictions = materialize(threshold_predictions(scored, schema, threshold).select("fold", schema.id, *ordered))
+    shared.destroy()
+    shared_idf.destroy()
+    table = spark.createDataFrame(history, "fold int, epoch int, train_loss double, val_macro_f1 double, val_micro_f1 double")
+    return predictions, table

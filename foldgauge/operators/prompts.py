@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from foldgauge import fixed_values as V
-from foldgauge.functions.labels import HASH_BITS, cardinality, hash_cell, labels_json, seeded_hash
+from foldgauge.functions.labels import HASH_BITS, cardinality, labels_json, seeded_hash
 from foldgauge.functions.text import message, render_messages, truncate_clean
 from foldgauge.operators.cleaning import clean_corpus
-from foldgauge.operators.ranking import BROADCAST_ROWS, first_rows
+from foldgauge.operators.ranking import BROADCAST_ROWS, first_rows, refined_cells
 from foldgauge.schema import CorpusSchema
 
-CELL_BITS = 12
-
 
 def truncated_comments(df: DataFrame, schema: CorpusSchema, out: str = "comment", clean: bool = True) -> DataFrame:
     """Adds the one-line, cleaned and shortened comment used inside prompts."""
@@ -62,14 +60,15 @@ def few_shot_exemplars(
     candidates = train.join(
         keys.select(schema.id, *schema.labels, order_key.alias("order_key"), slots.alias("slots")), schema.id
     ).select("fold", schema.id, *schema.labels, "order_key", F.explode("slots").alias("slot"))
-    candidates = candidates.withColumn("cell", hash_cell("order_key", CELL_BITS))
+    candidates, cells = refined_cells(candidates, ["fold", "slot"], "order_key", hash_bits=HASH_BITS + 1)
     chosen = first_rows(
         candidates,
         by=["fold", "slot"],
         cell="cell",
         order=["order_key", schema.id],
         quota=F.when(F.col("slot") < n_labels, 1).otherwise(clean_negatives),
-        max_cells=n_folds * (n_labels + clean_negatives),
+        most=n_folds * (n_labels + clean_negatives),
+        cells=cells,
     ).withColumn("slot", F.col("slot") + F.col("position").cast("int") - 1)
     in_prompt = Window.partitionBy("fold").orderBy("slot")
     chosen = chosen.withColumn("place", F.row_number().over(in_prompt)).where(F.col("place") <= k)

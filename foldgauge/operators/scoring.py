@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldgauge.fixed_values import PROGRESS_EVERY
-from foldgauge.functions.labels import hash_cell, seeded_hash
+from foldgauge.functions.labels import seeded_hash
 from foldgauge.operators.parsing import exact_seconds, parse_replies
-from foldgauge.operators.ranking import running_positions
+from foldgauge.operators.ranking import refined_cells, running_positions
 from foldgauge.schema import CorpusSchema
 
 Messages = Sequence[dict]
@@ -72,7 +72,7 @@ def chat_predictions(scored: DataFrame, schema: CorpusSchema, keep: Sequence[str
 
 
 def inference_progress(
-    predictions: DataFrame, schema: CorpusSchema, by: Sequence[str], every: int = PROGRESS_EVERY, cell_bits: int = 12
+    predictions: DataFrame, schema: CorpusSchema, by: Sequence[str], every: int = PROGRESS_EVERY
 ) -> DataFrame:
     """Calls done, failures so far, rate and remaining time at every ``every``-th call and the last.
 
@@ -85,10 +85,10 @@ def inference_progress(
         seeded_hash("call", schema.id).alias("h"),
         F.col("parse_failure").cast("long").alias("failed"),
         exact_seconds("latency_seconds").alias("seconds"),
-    ).withColumn("cell", hash_cell("h", cell_bits))
-    totals = running_positions(
-        calls, by, "cell", ["h", schema.id], {"failures": F.col("failed"), "elapsed": F.col("seconds")}
     )
+    sums = {"failures": F.col("failed"), "elapsed": F.col("seconds")}
+    calls, cells = refined_cells(calls, by, "h", sums)
+    totals = running_positions(calls, by, "cell", ["h", schema.id], sums, cells=cells)
     shown = totals.where((F.col("position") % every == 0) | (F.col("position") == F.col("group_rows")))
     rate = F.col("position") / F.greatest(F.col("elapsed").cast("double"), F.lit(1e-6))
     return shown.withColumn("rate", rate).select(

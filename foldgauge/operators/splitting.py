@@ -11,34 +11,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from foldgauge.fixed_values import N_FOLDS, SAMPLE_SIZE, SEED, VAL_RATIO
-from foldgauge.functions.labels import hash_cell, label_set, seeded_hash
-from foldgauge.operators.ranking import BROADCAST_ROWS, first_n_salted, first_rows, running_positions
+from foldgauge.functions.labels import label_set, seeded_hash
+from foldgauge.operators.ranking import BROADCAST_ROWS, CELL_ROWS, first_n_salted, first_rows, refined_cells, running_positions, totals_before
 from foldgauge.schema import CorpusSchema
+from foldgauge.session import materialize
 
-# A label combination is cut into 2**cell_bits cells, each sorted by one task. The result does not depend on
-# the number, because cells are prefixes of the hash that rows are ordered by: raise it until the rows of
-# the largest label combination divided by 2**cell_bits fit a task.
-CELL_BITS = 12
 
 
-def keyed_rows(df: DataFrame, schema: CorpusSchema, seed: int = SEED, cell_bits: int = CELL_BITS) -> DataFrame:
-    """Id, label combination, hash and hash cell. Text never enters a split shuffle."""
-    return df.select(
-        schema.id, label_set(schema.labels).alias("label_set"), seeded_hash(seed, schema.id).alias("h")
-    ).withColumn("cell", hash_cell("h", cell_bits))
+def most_label_sets(schema: CorpusSchema) -> int:
+    """There are no more label combinations than this."""
+    return 1 << len(schema.labels)
 
 
-def deal_round_robin(keyed: DataFrame, schema: CorpusSchema, parts: Column | int, by: Sequence[str] = ()) -> DataFrame:
+def keyed_rows(df: DataFrame, schema: CorpusSchema, seed: int = SEED) -> DataFrame:
+    """Id, label combination and hash. Text never enters a split shuffle."""
+    return df.select(schema.id, label_set(schema.labels).alias("label_set"), seeded_hash(seed, schema.id).alias("h"))
+
+
+def deal_round_robin(
+    keyed: DataFrame, schema: CorpusSchema, parts: Column | int, by: Sequence[str] = (), most_groups: int | None = None, cell_rows: int = CELL_ROWS
+) -> DataFrame:
     """Adds ``part``: rows of each ``by`` group, laid out by label combination, dealt over ``parts``.
 
     The place of a row is the start of its label combination, plus the rows in earlier cells, plus its
-    place in its cell. The first two are known per cell, so rows meet them in one join on the window's own
-    keys: nothing is ever shuffled by label combination alone, one of which may hold most of the corpus.
+    place in its cell, which one task sorts. The first two are known per cell, so rows meet them in one join on the window's own
+    keys: nothing is ever shuffled by label combination alone, one of which may hold most of the corpus. Results do not depend on
+    cells, since they are prefixes of the hash that rows are ordered by.
     """
-    placed = running_positions(keyed, [*by, "label_set"], "cell", ["h", schema.id], start_groups=by)
+    group = [*by, "label_set"]
+    rows, cells = refined_cells(keyed, group, "h", cell_rows=cell_rows)
+    placed = running_positions(rows, group, "cell", ["h", schema.id], start_groups=by, most_groups=most_groups, cells=cells)
     parts = parts if isinstance(parts, Column) else F.lit(parts)
     return placed.select(
         *keyed.columns, F.pmod(F.col("group_start") + F.col("position") - 1, parts).cast("int").alias("part")
@@ -46,12 +50,11 @@ def deal_round_robin(keyed: DataFrame, schema: CorpusSchema, parts: Column | int
 
 
 def stratified_folds(
-    df: DataFrame, schema: CorpusSchema, k: int = N_FOLDS, seed: int = SEED, cell_bits: int = CELL_BITS
+    df: DataFrame, schema: CorpusSchema, k: int = N_FOLDS, seed: int = SEED, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """``(id, label_set, fold)``: each row is in the test part of exactly one fold."""
-    return deal_round_robin(keyed_rows(df, schema, seed, cell_bits), schema, k).select(
-        schema.id, "label_set", F.col("part").alias("fold")
-    )
+    dealt = deal_round_robin(keyed_rows(df, schema, seed), schema, k, most_groups=most_label_sets(schema), cell_rows=cell_rows)
+    return dealt.select(schema.id, "label_set", F.col("part").alias("fold"))
 
 
 def fold_roles(
@@ -60,7 +63,7 @@ def fold_roles(
     k: int = N_FOLDS,
     val_ratio: float = VAL_RATIO,
     seed: int = SEED,
-    cell_bits: int = CELL_BITS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """``(fold, id, role)`` for all folds at once; role is train, val or test.
 
@@ -69,7 +72,8 @@ def fold_roles(
     and roles come out of one shuffle of k rows per corpus row, which is the size of the result.
     """
     inner_parts = max(2, round(1.0 / val_ratio))
-    outer = deal_round_robin(keyed_rows(df, schema, seed, cell_bits), schema, k)
+    most = most_label_sets(schema)
+    outer = deal_round_robin(keyed_rows(df, schema, seed), schema, k, most_groups=most, cell_rows=cell_rows)
     every_fold = outer.select(
         F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("fold"), F.col("part"), schema.id, "label_set"
     ).select(
@@ -78,8 +82,8 @@ def fold_roles(
         "label_set",
         schema.id,
         seeded_hash(F.col("fold") + F.lit(seed), schema.id).alias("h"),
-    ).withColumn("cell", hash_cell("h", cell_bits))
-    dealt = deal_round_robin(every_fold, schema, inner_parts, ["fold", "is_test"])
+    )
+    dealt = deal_round_robin(every_fold, schema, inner_parts, ["fold", "is_test"], 2 * k * most, cell_rows)
     role = F.when(F.col("is_test"), "test").when(F.col("part") == 0, "val").otherwise("train")
     return dealt.select("fold", schema.id, role.alias("role"))
 
@@ -87,47 +91,33 @@ def fold_roles(
 def label_set_quotas(df: DataFrame, schema: CorpusSchema, n: int) -> DataFrame:
     """Rows to take per label combination: largest remainders, summing to exactly ``min(n, rows)``.
 
-    Integer arithmetic throughout. Both windows run over the label combinations, not over rows.
+    Integer arithmetic throughout, over one row per label combination: their counts are written once, two totals of them come
+    to the driver, and a combination's rank by remainder is a running count over ranges of the order.
     """
-    counts = df.groupBy(label_set(schema.labels).alias("label_set")).agg(F.count(F.lit(1)).alias("n_set"))
-    everything = Window.partitionBy()
-    shares = counts.withColumn("n_all", F.sum("n_set").over(everything)).select(
-        "label_set",
-        "n_set",
-        "n_all",
-        # as decimals: rows times rows leaves the range of a bigint on large corpora
-        F.expr(f"(cast(n_set as decimal(19,0)) * cast({n} as decimal(19,0))) div n_all").alias("base"),
-        F.expr(f"(cast(n_set as decimal(19,0)) * cast({n} as decimal(19,0))) % n_all").alias("remainder"),
-    )
-    by_remainder = Window.orderBy(F.col("remainder").desc(), "label_set")
-    ranked = shares.select(
-        "*",
-        F.row_number().over(by_remainder).alias("remainder_rank"),
-        (F.lit(n) - F.sum("base").over(everything)).alias("left_over"),
-    )
-    quota = F.when(F.col("n_all") <= n, F.col("n_set")).otherwise(
-        F.col("base") + F.when(F.col("remainder_rank") <= F.col("left_over"), 1).otherwise(0)
-    )
+    counts = materialize(df.groupBy(label_set(schema.labels).alias("label_set")).agg(F.count(F.lit(1)).alias("n_set")))
+    n_all = counts.agg(F.coalesce(F.sum("n_set"), F.lit(0))).first()[0]
+    if n_all <= n:
+        return counts.select("label_set", F.col("n_set").alias("quota"))
+    # as decimals: rows times rows leaves the range of a bigint on large corpora
+    share = f"(cast(n_set as decimal(19,0)) * cast({n} as decimal(19,0)))"
+    shares = counts.select("label_set", F.expr(f"{share} div {n_all}").alias("base"), F.expr(f"{share} % {n_all}").alias("remainder"))
+    left_over = n - shares.agg(F.sum("base")).first()[0]
+    ranked = totals_before(shares, [], [F.desc("remainder"), F.asc("label_set")], F.lit(1), "ahead", most_label_sets(schema))
+    quota = F.col("base") + F.when(F.col("ahead") < F.lit(left_over), 1).otherwise(0)
     return ranked.select("label_set", quota.cast("long").alias("quota"))
 
 
 def sampled_ids(
-    df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED, cell_bits: int = CELL_BITS
+    df: DataFrame, schema: CorpusSchema, n: int = SAMPLE_SIZE, seed: int = SEED, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """``(id)`` of exactly ``min(n, rows)`` rows that keep the joint label distribution.
 
     Only hash cells that start inside the quota can hold chosen rows. Those cells are found from counts
     first, so about ``n`` rows reach the ranking shuffle however large the corpus is.
     """
-    return first_rows(
-        keyed_rows(df, schema, seed, cell_bits),
-        by=["label_set"],
-        cell="cell",
-        order=["h", schema.id],
-        quota=F.col("quota"),
-        max_cells=2 ** (len(schema.labels) + cell_bits),
-        quotas=label_set_quotas(df, schema, n),
-    ).select(schema.id)
+    rows, cells = refined_cells(keyed_rows(df, schema, seed), ["label_set"], "h", cell_rows=cell_rows)
+    quotas = label_set_quotas(df, schema, n)
+    return first_rows(rows, ["label_set"], "cell", ["h", schema.id], F.col("quota"), n, quotas, cells).select(schema.id)
 
 
 def _id_filter(ids: DataFrame, n: int) -> DataFrame:

@@ -19,7 +19,7 @@ from foldgauge.queries.base import (
     written_roles,
 )
 from foldgauge.queries.corpus import SAMPLE_N, sample_sql
-from foldgauge.schema import unmatched_rows
+from foldgauge.schema import CorpusSchema, unmatched_rows
 
 K = 5
 
@@ -145,3 +145,54 @@ def leaks(spark, sf_dir):
     return S.leakage_check(roles, few_shot_exemplars(
         labelled_corpus(spark, sf_dir), roles, DOCS, K, texts=table(spark, sf_dir, "documents")
     ), DOCS)
+
+
+# --- very many label combinations: 17 labels from the bits of two keys, over 100,000 combinations at sf0.1 -------
+MANY = CorpusSchema(labels=tuple(f"bit_{i}" for i in range(17)), id="line_id", text="l_comment")
+_BITS = [("l_partkey", i) for i in range(9)] + [("l_orderkey", i) for i in range(8)]
+MANY_SQL = f"""lines AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey) AS line_id,
+    {', '.join(f'CAST(({key} >> {i}) & 1 AS INTEGER) AS {label}' for label, (key, i) in zip(MANY.labels, _BITS))}
+  FROM lineitem
+)"""
+
+
+def many_label_sets(spark, sf_dir):
+    line_id = F.concat_ws("-", *(F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")))
+    bits = [F.shiftright(key, i).bitwiseAND(F.lit(1)).cast("int").alias(label) for label, (key, i) in zip(MANY.labels, _BITS)]
+    return table(spark, sf_dir, "lineitem").select(line_id.alias("line_id"), *bits)
+
+
+@query("stratified_folds_many", f"WITH {MANY_SQL}, {folds_sql(MANY, 'lines')} SELECT line_id, label_set, fold FROM folds")
+def folds_many(spark, sf_dir):
+    return S.stratified_folds(many_label_sets(spark, sf_dir), MANY)
+
+
+@query(
+    "fold_bounds_many",
+    f"""WITH {MANY_SQL}, {folds_sql(MANY, 'lines')}, cells AS (
+  SELECT label_set, {', '.join(f'count(*) FILTER (fold = {f}) AS n{f}' for f in range(K))} FROM folds GROUP BY label_set
+) SELECT count(*) AS n_label_sets, CAST(sum({' + '.join(f'n{f}' for f in range(K))}) AS BIGINT) AS n_rows,
+  greatest({', '.join(f'sum(n{f})' for f in range(K))}) - least({', '.join(f'sum(n{f})' for f in range(K))}) <= 1 AS even_folds,
+  max(greatest({', '.join(f'n{f}' for f in range(K))}) - least({', '.join(f'n{f}' for f in range(K))})) <= 1 AS even_label_sets FROM cells""",
+)
+def bounds_many(spark, sf_dir):
+    """Fold sizes, and the share of every label combination, differ by at most one row between folds."""
+    dealt = S.stratified_folds(many_label_sets(spark, sf_dir), MANY)
+    per_fold = [F.sum((F.col("fold") == f).cast("long")).alias(f"n{f}") for f in range(K)]
+    names = [f"n{f}" for f in range(K)]
+    sums = [F.sum(n) for n in names]
+    return dealt.groupBy("label_set").agg(*per_fold).agg(
+        F.count(F.lit(1)).alias("n_label_sets"),
+        F.sum(sum((F.col(n) for n in names[1:]), F.col(names[0]))).alias("n_rows"),
+        (F.greatest(*sums) - F.least(*sums) <= 1).alias("even_folds"),
+        (F.max(F.greatest(*names) - F.least(*names)) <= 1).alias("even_label_sets"),
+    )
+
+
+@query(
+    "sampled_ids_many",
+    f"""WITH {MANY_SQL}, {sample_sql(MANY, 'lines', 8000)} SELECT line_id FROM chosen""",
+)
+def sampled_many(spark, sf_dir):
+    return S.sampled_ids(many_label_sets(spark, sf_dir), MANY, 8000)

@@ -38,10 +38,10 @@ def test_folds_do_not_depend_on_partitioning(spark, corpus, schema, partitions):
     assert again == expected
 
 
-@pytest.mark.parametrize("bits", [1, 5, 16])
-def test_cells_do_not_change_results(corpus, schema, bits):
-    assert sorted(S.stratified_folds(corpus, schema, cell_bits=bits).collect()) == sorted(S.stratified_folds(corpus, schema).collect())
-    assert sorted(S.sampled_ids(corpus, schema, 37, cell_bits=bits).collect()) == sorted(S.sampled_ids(corpus, schema, 37).collect())
+@pytest.mark.parametrize("rows", [1, 7, 10**9])
+def test_cells_do_not_change_results(corpus, schema, rows):
+    assert sorted(S.stratified_folds(corpus, schema, cell_rows=rows).collect()) == sorted(S.stratified_folds(corpus, schema).collect())
+    assert sorted(S.sampled_ids(corpus, schema, 37, cell_rows=rows).collect()) == sorted(S.sampled_ids(corpus, schema, 37).collect())
 
 
 def test_seed_changes_folds(corpus, schema):
@@ -99,7 +99,7 @@ def test_first_rows_equal_brute_force(spark):
     frame = spark.createDataFrame(rows, "g int, v int, i int").withColumn("cell", F.expr("v div 50"))
     for n in (1, 5, 400):
         expected = {(g, v, i) for g in range(3) for g_, v, i in sorted(r for r in rows if r[0] == g)[:n]}
-        picked = R.first_rows(frame, ["g"], "cell", ["v", "i"], F.lit(n), max_cells=3 * n)
+        picked = R.first_rows(frame, ["g"], "cell", ["v", "i"], F.lit(n), most=3 * n)
         assert {(r["g"], r["v"], r["i"]) for r in picked.collect()} == expected
         salted = R.first_n_salted(frame, ["g"], ["v", "i"], n, spread="i", salts=8)
         assert {(r["g"], r["v"], r["i"]) for r in salted.collect()} == expected
@@ -129,3 +129,27 @@ def test_hot_label_set_is_never_one_partition(spark, schema):
     plan = folds._jdf.queryExecution().sparkPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [row_number()" in line]
     assert windows and all("cell" in line.split("windowspecdefinition(")[1].split(" ASC")[0] for line in windows)
+
+
+def test_crowded_cells_are_cut_until_they_fit(spark):
+    """Half of all rows in one group: no cell above the bound (but for equal hashes), order kept, totals right."""
+    rows = spark.range(60_000).select((F.col("id") % 2 * F.col("id") % 5).alias("g"), F.col("id"))
+    rows = rows.withColumn("h", F.shiftright(F.abs(F.xxhash64("id")), 3))
+    rows = rows.unionByName(spark.range(40).select(F.lit(0).cast("long").alias("g"), F.lit(7).cast("long").alias("id"), F.lit(123456789).cast("long").alias("h")))
+    cut, cells = R.refined_cells(rows.where("h < (1L << 50)"), ["g"], "h", {"s": F.col("id")}, cell_rows=5)
+    counted = {(r["g"], r["cell"]): (r["n"], r["s"]) for r in cut.groupBy("g", "cell").agg(F.count("*").alias("n"), F.sum("id").alias("s")).collect()}
+    assert {(r["g"], r["cell"]): (r["cell_rows"], r["cell_s"]) for r in cells.collect()} == counted
+    assert max(n for (_, cell), (n, _) in counted.items() if cell >> 20 != 123456789 >> 20) <= 20
+    assert cut.where("cell > h").isEmpty()
+    wrong = cut.alias("a").join(cut.alias("b"), F.expr("a.g = b.g AND a.h < b.h AND a.cell > b.cell AND a.g = 1"))
+    assert wrong.isEmpty()
+
+
+@pytest.mark.parametrize("most", [None, 1 << 40])
+def test_totals_before_equal_brute_force(spark, most):
+    rows = [(i % 3, f"k{i * 7919 % 500:03d}", i % 11) for i in range(500)]
+    frame = spark.createDataFrame(rows, "g int, k string, v int").repartition(7)
+    for by in ([], ["g"]):
+        got = {(r["g"], r["k"]): r["t"] for r in R.totals_before(frame, by, [F.desc("k")], F.col("v"), "t", most).collect()}
+        for g, k, _ in rows:
+            assert got[g, k] == sum(v for h, other, v in rows if other > k and (not by or h == g))
