@@ -6,9 +6,10 @@ per word. Work memory is bounded by BLOCK_BYTES, whatever the length of a batch
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from types import ModuleType
 
@@ -187,6 +188,27 @@ def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def free_memory() -> None:
+    """Gives memory that numpy and Arrow have let go of back to the system: a worker lives on between tasks, and what one kind of
+    task once needed would otherwise stay with it beside the needs of the next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``function`` of mapInArrow, with its memory freed behind each batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in function(batches):
+            yield batch
+            free_memory()
+        free_memory()
+
+    return run
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
     """Smaller Arrow batches for the jobs run inside, where rows are long; the session's setting comes back."""

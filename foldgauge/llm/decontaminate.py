@@ -1,8 +1,8 @@
 """Benchmark decontamination with training suffix arrays (operator 8).
 
-The documents of an Arrow batch are taken in shards of about SHARD_WORDS words. A shard's suffix array orders all
+The documents of an Arrow batch are taken in shards of about SHARD_WORDS words, or BLOCK_TEXT bytes. A shard's suffix array orders all
 its word positions by the words that follow, as deep as the widest window; the start of every test suffix (each
-place of a benchmark item) is looked up by binary search, all suffixes at once. The equal range of a suffix gives
+place of a benchmark item; items that share a window are searched once) is looked up by binary search, all suffixes at once. The equal range of a suffix gives
 every occurrence of its window, with its location; chained hits give the longest verbatim match. The
 benchmark is the query set: its words, 8 bytes each, go to the tasks in blocks of at most BENCHMARK_WORDS words, each
 block in a pass of its own, so what is broadcast is bounded however large the benchmark is. A document never
@@ -10,40 +10,48 @@ leaves its task, so nothing is shuffled, except the union of hits if there are s
 
 Words: A-Z lower-cased, runs of ASCII letters, digits and characters beyond ASCII. A window is ``window`` consecutive words of an
 item, or the whole item if it has fewer. Words are compared by 64-bit hashes. A null or empty text has no words and is clean; a null
-or wordless item is no item; repeated items and items sharing a window all count (ids are counted once); repeated rows
+or wordless item is no item; a null item id counts as one item and has no part in the list's digest; repeated items and items sharing a window all count (ids are counted once); repeated rows
 each give a row; null document ids stay null.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, span_hashes, text_bytes, whole_row, with_row, word_spans
+from foldgauge.llm.common import ALNUM, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, with_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
 WINDOW = 13
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
+BLOCK_TEXT = 1 << 22
+MEMO = 4096
+NO_ITEMS = hashlib.sha256(b"").hexdigest()
 BENCHMARK_WORDS = 2_000_000
 _CODE_BITS = 21
 
 
 @dataclass
 class TestWindows:
-    """The windows of one block of the benchmark: start in ``words``, width, item and place in the item."""
+    """The distinct windows of one block of the benchmark: start in ``words`` and width; those of window w stand in the items
+    ``item[first[w] : first[w + 1]]``, at ``place``."""
 
     words: np.ndarray
     start: np.ndarray
     width: np.ndarray
+    first: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    ids: list[str]
+    ids: list[str | None]
 
 
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -53,13 +61,21 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, starts, ends), first
 
 
-def test_windows(ids: list[str], texts: list[str | None], window: int = WINDOW) -> TestWindows:
-    words, first = hashed_words(pa.array(texts, type=pa.string()))
-    sizes = np.diff(first)
+def test_windows(ids: list[str | None], words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> TestWindows:
+    """Windows of the items whose word hashes are ``words``, item k from ``bounds[k]`` to ``bounds[k + 1]``."""
+    sizes = np.diff(bounds)
     count = np.where(sizes == 0, 0, np.maximum(1, sizes - window + 1))
     item = np.repeat(np.arange(len(ids)), count)
     place = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count)
-    return TestWindows(words, first[:-1][item] + place, np.minimum(window, sizes[item]), item, place, ids)
+    start, width = bounds[:-1][item] + place, np.minimum(window, sizes[item])
+    key = mix(width.astype(np.uint64))
+    for k in range(int(width.max(initial=0))):
+        more = np.flatnonzero(k < width)
+        key[more] = mix(key[more] ^ words[start[more] + k])
+    _, one, which = np.unique(key, return_index=True, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    first = np.searchsorted(which[order], np.arange(len(one) + 1))
+    return TestWindows(words, start[one], width[one], first, item[order], place[order], ids)
 
 
 class SuffixArray:
@@ -182,74 +198,139 @@ def _covered(at: np.ndarray, width: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _longest(at: np.ndarray, test: np.ndarray, row: np.ndarray, tests: TestWindows) -> dict[int, tuple[int, int, int]]:
-    """For each row with hits (length, position, item) of the longest verbatim match: hits of one item whose
-    places run on together are one match. Ties: the first position, then the first item."""
-    item, place = tests.item[test], tests.place[test]
-    by = np.lexsort((at, at - place, item, row))
-    at, item, row, width, line = at[by], item[by], row[by], tests.width[test][by], (at - place)[by]
-    new = np.ones(len(at), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (line[1:] != line[:-1]) | (at[1:] != at[:-1] + 1)
-    begin = np.flatnonzero(new)
-    end = np.append(begin[1:], len(at)) - 1
-    best: dict[int, tuple[int, int, int]] = {}
-    for b, e in zip(begin.tolist(), end.tolist(), strict=True):
-        found = (-int(at[e] + width[e] - at[b]), int(at[b]), int(item[b]))
-        r = int(row[b])
-        if r not in best or found < best[r]:
-            best[r] = found
-    return {r: (-n, at_, item_) for r, (n, at_, item_) in best.items()}
-
-
-def batch_matches(texts: pa.Array, tests: TestWindows, shard_words: int = SHARD_WORDS) -> list[pa.Array]:
-    """n_words, hit spans (start, end, merged), items, longest match: one entry for each row."""
-    words, first = hashed_words(texts)
-    rows = len(first) - 1
+class _Findings:
+    """What the hits of a row say about items. Rows with the same hits, such as copies of a line that many items share, are
+    looked up in a memo, so that an item is gone through once for each different sequence of windows."""
+
+    def __init__(self, tests: TestWindows):
+        self.tests = tests
+        self.items_of: dict[bytes, tuple[list[str | None], str]] = {}
+        self.longest_of: dict[bytes, tuple[int, int, str | None]] = {}
+
+    def items(self, test: np.ndarray) -> tuple[list[str | None], str]:
+        """The ids of all items with these windows, nulls last, and the digest of those that are not null."""
+        distinct = np.unique(test)
+        found = self.items_of.get(distinct.tobytes())
+        if found is None:
+            first = self.tests.first
+            numbers = np.unique(np.concatenate([self.tests.item[first[t] : first[t + 1]] for t in distinct.tolist()]))
+            ids = {self.tests.ids[k] for k in numbers.tolist()}
+            named = sorted(i for i in ids if i is not None)
+            found = ([*named, *([None] if None in ids else [])], hashlib.sha256(",".join(named).encode()).hexdigest())
+            if len(self.items_of) >= MEMO:
+                self.items_of.clear()
+            self.items_of[distinct.tobytes()] = found
+        return found
+
+    def longest(self, at: np.ndarray, test: np.ndarray) -> tuple[int, int, str | None]:
+        """(length, position, item) of the longest verbatim match of a row, hits in order: windows at successive words that are
+        successive in an item are one match. Ties: the first position, then the first item."""
+        cuts = np.flatnonzero(np.diff(at) > 1) + 1
+        best = (0, 0, None)
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
+            length, offset, item = self._of_run(at[low:high] - at[low], test[low:high])
+            if length > best[0]:
+                best = (length, int(at[low]) + offset, item)
+        return best
+
+    def _of_run(self, at: np.ndarray, test: np.ndarray) -> tuple[int, int, str | None]:
+        mark = at.tobytes() + test.tobytes()
+        found = self.longest_of.get(mark)
+        if found is None:
+            tests = self.tests
+            many = tests.first[test + 1] - tests.first[test]
+            hit = np.repeat(np.arange(len(test)), many)
+            member = np.repeat(tests.first[test] - np.cumsum(many) + many, many) + np.arange(len(hit))
+            item, line, spot, width = tests.item[member], at[hit] - tests.place[member], at[hit], tests.width[test][hit]
+            by = np.lexsort((spot, line, item))
+            item, line, spot, width = item[by], line[by], spot[by], width[by]
+            new = np.ones(len(by), dtype=bool)
+            new[1:] = (item[1:] != item[:-1]) | (line[1:] != line[:-1]) | (spot[1:] != spot[:-1] + 1)
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(by)) - 1
+            length = spot[end] + width[end] - spot[begin]
+            k = np.lexsort((item[begin], spot[begin], -length))[0]
+            found = (int(length[k]), int(spot[begin[k]]), tests.ids[int(item[begin[k]])])
+            if len(self.longest_of) >= MEMO:
+                self.longest_of.clear()
+            self.longest_of[mark] = found
+        return found
+
+
+def batch_matches(texts: pa.Array, tests: TestWindows, shard_words: int = SHARD_WORDS, list_items: bool = True) -> list[pa.Array]:
+    """n_words, hit spans (start, end, merged), items, n_items, items_sha256, longest match: one entry for each row."""
+    rows, findings = len(texts), _Findings(tests)
+    n_words = np.zeros(rows, dtype=np.int64)
     spans: list[list[int]] = [[] for _ in range(rows)]
-    items: list[list[str]] = [[] for _ in range(rows)]
+    items: list[list[str | None]] = [[] for _ in range(rows)]
     longest: list[dict | None] = [None] * rows
-    for low, high in _shards(first, shard_words):
-        base = first[low]
-        own = first[low : high + 1] - base
-        row, at, test = shard_hits(words[base : first[high]], own, tests)
-        if not len(at):
-            continue
-        for r, (length, position, item) in _longest(at, test, row, tests).items():
-            longest[low + r] = {"words": length, "word": int(position - own[r]), "item": tests.ids[item]}
-        pairs = np.unique(np.stack([row, tests.item[test]]), axis=1)
-        for r, item in pairs.T.tolist():
-            items[low + r].append(tests.ids[item])
-        for r in np.unique(row).tolist():
-            mine = row == r
-            hit = np.concatenate([[False], _covered(at[mine] - own[r], tests.width[test[mine]], int(own[r + 1] - own[r])), [False]])
-            spans[low + r] = np.flatnonzero(hit[1:] != hit[:-1]).tolist()
+    n_items, digests = np.zeros(rows, dtype=np.int64), [NO_ITEMS] * rows
+    _, bounds = text_bytes(texts)
+    for begin, stop in row_blocks(bounds, BLOCK_TEXT):
+        words, first = hashed_words(texts.slice(begin, stop - begin))
+        n_words[begin:stop] = np.diff(first)
+        for low, high in _shards(first, shard_words):
+            base = first[low]
+            own = first[low : high + 1] - base
+            row, at, test = shard_hits(words[base : first[high]], own, tests)
+            order = np.lexsort((tests.width[test], at, row))
+            row, at, test = row[order], at[order], test[order]
+            edges = np.flatnonzero(np.diff(row, prepend=-1, append=-1)).tolist()
+            for a, b in pairwise(edges):
+                r = begin + low + int(row[a])
+                here, mine = at[a:b] - own[row[a]], test[a:b]
+                length, position, item = findings.longest(here, mine)
+                longest[r] = {"words": length, "word": position, "item": item}
+                found, digests[r] = findings.items(mine)
+                n_items[r] = len(found)
+                if list_items:
+                    items[r] = found
+                hit = np.concatenate([[False], _covered(here, tests.width[mine], int(own[row[a] + 1] - own[row[a]])), [False]])
+                spans[r] = np.flatnonzero(hit[1:] != hit[:-1]).tolist()
     place = pa.struct([("words", pa.int64()), ("word", pa.int64()), ("item", pa.string())])
     return [
-        pa.array(np.diff(first)),
+        pa.array(n_words),
         pa.array(spans, type=pa.list_(pa.int64())),
-        pa.array([sorted(set(x)) for x in items], type=pa.list_(pa.string())),
+        pa.array(items, type=pa.list_(pa.string())),
+        pa.array(n_items),
+        pa.array(digests),
         pa.array(longest, type=place),
     ]
 
 
-_FOUND = "n_words long, spans array<long>, items array<string>, longest struct<words:long,word:long,item:string>"
+_NAMES = ["_row", "id", "n_words", "spans", "items", "n_items", "items_sha256", "longest"]
+_FOUND = "n_words long, spans array<long>, items array<string>, n_items long, items_sha256 string, longest struct<words:long,word:long,item:string>"
 
 
 def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, window: int, limit: int) -> Iterator[TestWindows]:
-    """The benchmark in blocks of at most ``limit`` words (a longer item is a block of its own)."""
+    """The benchmark in blocks of at most ``limit`` words (a longer item is a block of its own). Its texts are hashed in tasks;
+    only 8 bytes a word come to the driver, one block at a time."""
     items = benchmark.select(F.col(id_column).cast("string").alias("id"), F.col(text_column).alias("body"))
-    ids: list[str] = []
-    texts: list[str] = []
+
+    def hash_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, first = hashed_words(batch.column(1))
+            each = [words[a:b].tobytes() for a, b in pairwise(first.tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each, type=pa.binary())], names=["id", "words"])
+
+    hashed = items.where(F.col("body").isNotNull()).mapInArrow(hash_items, "id string, words binary")
+    ids: list[str | None] = []
+    words: list[np.ndarray] = []
     size = 0
-    for item in items.where(F.col("body").isNotNull()).toLocalIterator():
-        cost = 1 + len(item.body) // 2
-        if ids and size + cost > limit:
-            yield test_windows(ids, texts, window)
-            ids, texts, size = [], [], 0
+
+    def block() -> TestWindows:
+        flat = np.concatenate([*words, np.zeros(0, dtype=np.uint64)])
+        return test_windows(ids, flat, np.cumsum([0, *map(len, words)]), window)
+
+    for item in hashed.toLocalIterator():
+        own = np.frombuffer(item.words, dtype=np.uint64)
+        if ids and size + len(own) > limit:
+            yield block()
+            ids, words, size = [], [], 0
         ids.append(item.id)
-        texts.append(item.body)
-        size += cost
-    yield test_windows(ids, texts, window)
+        words.append(own)
+        size += len(own)
+    yield block()
 
 
 def find_matches(
@@ -262,39 +343,43 @@ def find_matches(
     window: int = WINDOW,
     block_words: int = BENCHMARK_WORDS,
     shard_words: int = SHARD_WORDS,
+    list_items: bool = True,
 ) -> DataFrame:
-    """(_row, id, n_words, spans, items, longest) of every document; spans lists word starts and ends in turn."""
+    """(_row, id, n_words, spans, items, n_items, items_sha256, longest) of every document; spans lists word starts and ends in turn.
+
+    Without ``list_items`` the lists stay empty where one block holds the benchmark; number and digest are there in any case.
+    """
     narrow = with_row(docs, F.col(id_column).alias("id"), F.col(text_column).alias("body"))
     kind = narrow.schema["id"].dataType.simpleString()
     spark = docs.sparkSession
-    passes = []
-    for tests in benchmark_blocks(benchmark, item_column, item_text_column, window, block_words):
-        if len(passes) == 1:
-            narrow = materialize(narrow)  # several passes: the row numbers must agree
-            passes = [narrow.mapInArrow(first_match, f"_row long, id {kind}, {_FOUND}")]
+    blocks = benchmark_blocks(benchmark, item_column, item_text_column, window, block_words)
+    tests, further = next(blocks), next(blocks, None)
+    if further is not None:
+        narrow = materialize(narrow)  # several passes: the row numbers must agree
+
+    def found_in(tests: TestWindows, lists: bool) -> DataFrame:
         shared = spark.sparkContext.broadcast(vars(tests))  # plain arrays: classes travel with the task
 
-        def match(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tests = TestWindows(**shared.value)
             for batch in batches:
-                found = batch_matches(batch.column(2), tests, shard_words)
-                names = ["_row", "id", "n_words", "spans", "items", "longest"]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=names)
-
-        first_match = match if not passes else first_match
-        passes.append(narrow.mapInArrow(match, f"_row long, id {kind}, {_FOUND}"))
-    if len(passes) == 1:
-        return passes[0]
-    union = passes[0]
-    for other in passes[1:]:
-        union = union.unionByName(other)
+                found = batch_matches(batch.column(2), tests, shard_words, lists)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=_NAMES)
+
+        return narrow.mapInArrow(trimmed(match), f"_row long, id {kind}, {_FOUND}")
+
+    if further is None:
+        return found_in(tests, list_items)
+    union = reduce(DataFrame.unionByName, [found_in(t, True) for t in chain([tests, further], blocks)])
+    items = F.array_distinct(F.flatten(F.collect_list("items")))  # one list for each block of the benchmark
     merged = union.groupBy("_row").agg(
         F.first("id").alias("id"),
         F.first("n_words").alias("n_words"),
-        F.flatten(F.collect_list("spans")).alias("spans"),  # one list for each block of the benchmark
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(items).alias("items"),
         F.max("longest").alias("longest"),
     )
+    merged = merged.withColumn("n_items", F.size("items").cast("long")).withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
 
     def join_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +387,7 @@ def find_matches(
             columns = [*batch.columns[:3], pa.array(spans, type=pa.list_(pa.int64())), *batch.columns[4:]]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return merged.mapInArrow(join_spans, f"_row long, id {kind}, {_FOUND}")
+    return merged.select(*_NAMES).mapInArrow(join_spans, f"_row long, id {kind}, {_FOUND}")
 
 
 def _merged(spans: list[int]) -> list[int]:
@@ -324,8 +409,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
         F.col("id").alias(id_column),
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        "n_items",
+        "items_sha256",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         F.coalesce(F.col("longest.words"), F.lit(0).cast("long")).alias("longest_words"),
         F.col("longest.word").alias("longest_at"),
@@ -341,19 +426,19 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text_column: str = "t
     if further is not None:
         whole = materialize(docs.select(F.monotonically_increasing_id().alias("number"), whole_row(docs)))
         narrow = whole.select("number", F.col("whole")[text_column].alias("text"))
-        bad = contamination(narrow, benchmark, "number", **options).where("contaminated")
+        bad = contamination(narrow, benchmark, "number", list_items=False, **options).where("contaminated")
         return whole.join(bad.select("number"), "number", "left_anti").select("whole.*")
     shared = docs.sparkSession.sparkContext.broadcast(vars(tests))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tests = TestWindows(**shared.value)
         for batch in batches:
-            n_words, spans, _, _ = batch_matches(batch.column(0).field(text_column), tests)
+            n_words, spans, *_ = batch_matches(batch.column(0).field(text_column), tests, list_items=False)
             hit = np.array([sum(s[1::2]) - sum(s[::2]) for s in spans.to_pylist()], dtype=np.int64)
             yield batch.filter(pa.array(~((hit > 0) & (20 * hit >= n_words.to_numpy()))))
 
     whole = docs.select(whole_row(docs))
-    return whole.mapInArrow(keep, whole.schema).select("whole.*")
+    return whole.mapInArrow(trimmed(keep), whole.schema).select("whole.*")
 
 
 OP8_SQL = r"""
@@ -388,7 +473,7 @@ FROM dw LEFT JOIN spot USING (r) LEFT JOIN seen USING (r)
 
 @query("op8_decontaminate", OP8_SQL)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), list_items=False)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 

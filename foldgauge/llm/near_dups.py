@@ -44,6 +44,7 @@ from foldgauge.llm.common import (
     small_enough,
     span_hashes,
     text_bytes,
+    trimmed,
     whole_row,
     word_spans,
 )
@@ -198,7 +199,7 @@ def signed_documents(
                     names=["_row", "id", "size", "key_a", "key_b", "bands", "signature"],
                 )
 
-    return narrow.mapInArrow(sign, _SIGNED.format(kind=kind))
+    return narrow.mapInArrow(trimmed(sign), _SIGNED.format(kind=kind))
 
 
 def _sets(docs: DataFrame, rows: DataFrame, text_column: str, words: int, weighting: str) -> DataFrame:
@@ -213,7 +214,7 @@ def _sets(docs: DataFrame, rows: DataFrame, text_column: str, words: int, weight
                 packed[row] = elements.tobytes() + (counts.astype(np.uint64).tobytes() if counted else b"")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, type=pa.binary())], names=["_row", "elements"])
 
-    return materialize(texts.mapInArrow(gather, "_row long, elements binary"))
+    return materialize(texts.mapInArrow(trimmed(gather), "_row long, elements binary"))
 
 
 def verified_pairs(pairs: DataFrame, docs: DataFrame, text_column: str, words: int, weighting: str) -> DataFrame:
@@ -233,7 +234,7 @@ def verified_pairs(pairs: DataFrame, docs: DataFrame, text_column: str, words: i
                 similar[k] = _jaccard(left, right, counted)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar)], names=["a", "b", "similarity"])
 
-    return sides.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long, similarity double")
+    return sides.select("a", "b", "left", "right").mapInArrow(trimmed(compare), "a long, b long, similarity double")
 
 
 def _jaccard(left: np.ndarray, right: np.ndarray, counted: bool) -> float:

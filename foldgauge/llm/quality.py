@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, whole_row, word_spans
+from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
@@ -132,7 +132,7 @@ def cast_votes(docs: DataFrame, id_column: str, text_column: str, share: int) ->
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists, part.column(3)], names=["_row", "id", "votes", "features", "drawn"])
 
-    return narrow.mapInArrow(vote, f"_row long, id {kind}, votes array<tinyint>, features array<int>, drawn boolean")
+    return narrow.mapInArrow(trimmed(vote), f"_row long, id {kind}, votes array<tinyint>, features array<int>, drawn boolean")
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, trust: float = TRUST) -> tuple[float, np.ndarray, np.ndarray]:
@@ -281,7 +281,7 @@ def judge_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
             bad = (scores["poor"] >= 0.5) | (scores["toxic"] >= 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores["poor"]), pa.array(scores["toxic"]), pa.array(bad)], names=["id", "p_poor", "p_toxic", "rejected"])
 
-    return narrow.mapInArrow(score, f"id {kind}, p_poor double, p_toxic double, rejected boolean").withColumnRenamed("id", id_column)
+    return narrow.mapInArrow(trimmed(score), f"id {kind}, p_poor double, p_toxic double, rejected boolean").withColumnRenamed("id", id_column)
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -295,7 +295,7 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
             yield batch.filter(pa.array((scores["poor"] < 0.5) & (scores["toxic"] < 0.5)))
 
     whole = docs.select(whole_row(docs))
-    return whole.mapInArrow(keep, whole.schema).select("whole.*")
+    return whole.mapInArrow(trimmed(keep), whole.schema).select("whole.*")
 
 
 @query("op9_quality")

@@ -131,6 +131,30 @@ def test_contamination(spark, both, benchmark):
     assert found[10**6].longest_words == found[10**6].n_words and found[10**6 + 1].longest_at == 20
 
 
+def test_null_items_and_repeated_documents(spark, both):
+    words = " ".join(f"w{k}" for k in range(30))
+    items = spark.createDataFrame([(None, words), (7, words), (None, "w3 w4"), (8, "w3 w4")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {words} y"), (1, f"x {words} y"), (2, "w3 w4"), (None, None)], "doc_id long, text string")
+    for options in ({}, {"block_words": 20}):
+        rows = sorted(decontaminate.contamination(docs, items, **options).collect(), key=lambda r: (r.n_words, r.n_items))
+        assert [(r.n_hit, r.n_items) for r in rows] == [(0, 0), (2, 2), (30, 3), (30, 3)]
+        assert rows[1].items_sha256 == hashlib.sha256(b"8").hexdigest() and rows[2].items_sha256 == hashlib.sha256(b"7,8").hexdigest()
+
+
+def test_many_items_that_share_a_window(spark):
+    """100,000 items begin with the same 20 words, which 300 documents hold: each is gone through once, not once a document."""
+    import time
+
+    shared = " ".join(f"s{k}" for k in range(20))
+    items = spark.range(100_000).selectExpr("id AS item_id", f"concat('{shared} tail', id) AS text")
+    docs = spark.range(300).selectExpr("id AS doc_id", f"concat('d', id, ' {shared} and more words ', id) AS text")
+    begun = time.perf_counter()
+    rows = decontaminate.contamination(docs, items, list_items=False).collect()
+    assert time.perf_counter() - begun < 60
+    digest = hashlib.sha256(",".join(sorted(map(str, range(100_000)))).encode()).hexdigest()
+    assert {(r.n_hit, r.n_items, r.items_sha256, r.longest_words, r.longest_at, r.longest_item) for r in rows} == {(20, 100_000, digest, 20, 1, "0")}
+
+
 def test_clean_documents_keeps_columns(tricky, nothing, benchmark):
     for options in ({}, {"block_words": 100}):
         kept = decontaminate.clean_documents(tricky, benchmark, **options)
