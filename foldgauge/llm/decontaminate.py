@@ -224,7 +224,7 @@ class _Findings:
 
     def longest(self, at: np.ndarray, test: np.ndarray) -> tuple[int, int, str | None]:
         """(length, position, item) of the longest verbatim match of a row, hits in order: windows at successive words that are
-        successive in an item are one match. Ties: the first position, then the first item."""
+        successive in an item are one match. Ties: the first position, then the least item id."""
         cuts = np.flatnonzero(np.diff(at) > 1) + 1
         best = (0, 0, None)
         for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), len(at)], strict=True):
@@ -319,8 +319,9 @@ def benchmark_blocks(benchmark: DataFrame, id_column: str, text_column: str, win
     size = 0
 
     def block() -> TestWindows:
-        flat = np.concatenate([*words, np.zeros(0, dtype=np.uint64)])
-        return test_windows(ids, flat, np.cumsum([0, *map(len, words)]), window)
+        order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or ""))
+        flat = np.concatenate([*(words[k] for k in order), np.zeros(0, dtype=np.uint64)])
+        return test_windows([ids[k] for k in order], flat, np.cumsum([0, *(len(words[k]) for k in order)]), window)
 
     for item in hashed.toLocalIterator():
         own = np.frombuffer(item.words, dtype=np.uint64)
@@ -377,7 +378,7 @@ def find_matches(
         F.first("n_words").alias("n_words"),
         F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(items).alias("items"),
-        F.max("longest").alias("longest"),
+        F.min_by("longest", F.when(F.col("longest").isNotNull(), F.struct(-F.col("longest.words"), "longest.word", "longest.item"))).alias("longest"),
     )
     merged = merged.withColumn("n_items", F.size("items").cast("long")).withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
 
