@@ -35,8 +35,9 @@ def join_predictions(truth: DataFrame, predictions: DataFrame, schema: CorpusSch
     return predictions.join(true, ["fold", schema.id])
 
 
-def fold_metrics(predictions: DataFrame, schema: CorpusSchema, by: Sequence[str] = (*RUN, "fold")) -> DataFrame:
-    """One row per run and fold: ``per_label`` structs in label order, ``macro_f1``, ``micro_f1``, ``n_rows``."""
+def prediction_counts(predictions: DataFrame, schema: CorpusSchema, by: Sequence[str] = (*RUN, "fold")) -> DataFrame:
+    """Rows, hits, predicted and actual positives per run, fold and label: all that metrics need, in one aggregate that also
+    runs on a stream."""
     sums = []
     for label in schema.labels:
         true, pred = F.col(f"true_{label}").cast("long"), F.col(f"pred_{label}").cast("long")
@@ -45,7 +46,16 @@ def fold_metrics(predictions: DataFrame, schema: CorpusSchema, by: Sequence[str]
             F.sum(pred).alias(f"pp_{label}"),
             F.sum(true).alias(f"ap_{label}"),
         ]
-    counts = predictions.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+    return predictions.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
+def fold_metrics(predictions: DataFrame, schema: CorpusSchema, by: Sequence[str] = (*RUN, "fold")) -> DataFrame:
+    """One row per run and fold: ``per_label`` structs in label order, ``macro_f1``, ``micro_f1``, ``n_rows``."""
+    return metrics_of_counts(prediction_counts(predictions, schema, by), schema, by)
+
+
+def metrics_of_counts(counts: DataFrame, schema: CorpusSchema, by: Sequence[str] = (*RUN, "fold")) -> DataFrame:
+    """``fold_metrics`` from ``prediction_counts``."""
 
     def f1(tp: Column, predicted: Column, actual: Column) -> Column:
         return ratio(2 * tp, predicted + actual)

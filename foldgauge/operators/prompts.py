@@ -10,15 +10,19 @@ from foldgauge import fixed_values as V
 from foldgauge.functions.labels import HASH_BITS, cardinality, labels_json, seeded_hash
 from foldgauge.functions.text import message, render_messages, truncate_clean
 from foldgauge.operators.cleaning import clean_corpus
-from foldgauge.operators.ranking import BROADCAST_ROWS, first_rows, refined_cells
+from foldgauge.operators.ranking import BROADCAST_ROWS, first_rows, refined_cells, totals_before
 from foldgauge.schema import CorpusSchema
 
 
+_COMMENT = "_prompt_comment"
+PART_CHARS = 1 << 20
+
+
 def truncated_comments(df: DataFrame, schema: CorpusSchema, out: str = "comment", clean: bool = True) -> DataFrame:
     """Adds the one-line, cleaned and shortened comment used inside prompts."""
-    kept = [name for name in df.columns if name != out]
-    return clean_corpus(df, schema.text, "cleaned_comment", enabled=clean).select(
-        *kept, truncate_clean(F.col("cleaned_comment")).alias(out)
+    kept = [F.col(f"`{name}`") for name in df.columns if name != out]
+    return clean_corpus(df, schema.text, "_prompt_cleaned", enabled=clean).select(
+        *kept, truncate_clean(F.col("_prompt_cleaned")).alias(out)
     )
 
 
@@ -110,9 +114,9 @@ def _chat(user: Column, system_prompt: str) -> Column:
 def zero_shot_messages(
     df: DataFrame, schema: CorpusSchema, system_prompt: str = V.SYSTEM_PROMPT, clean: bool = True
 ) -> DataFrame:
-    """Adds ``messages`` asking for one comment's labels."""
-    user = F.concat(F.lit(V.ZERO_SHOT_PREFIX), F.col("comment"), F.lit(V.PROMPT_SUFFIX))
-    return truncated_comments(df, schema, clean=clean).withColumn("messages", _chat(user, system_prompt)).drop("comment")
+    """Adds ``messages`` asking for one comment's labels; all other columns stay as they are."""
+    user = F.concat(F.lit(V.ZERO_SHOT_PREFIX), F.col(_COMMENT), F.lit(V.PROMPT_SUFFIX))
+    return truncated_comments(df, schema, _COMMENT, clean).withColumn("messages", _chat(user, system_prompt)).drop(_COMMENT)
 
 
 def few_shot_messages(
@@ -125,20 +129,20 @@ def few_shot_messages(
     """Adds ``messages`` with the exemplars of the row's fold in front of its comment.
 
     The exemplar text is rendered once per fold; Spark measures that table and broadcasts it if it is small. The left
-    join keeps rows of folds without exemplars; ``folds_without_exemplars`` names them.
+    join keeps rows of folds without exemplars; ``folds_without_exemplars`` names them. All columns of ``rows`` stay.
     """
-    prefixes = few_shot_prefixes(exemplars, schema)
+    prefixes = few_shot_prefixes(exemplars, schema).withColumnRenamed("prefix", "_prompt_prefix")
     user = F.concat(
-        F.coalesce("prefix", F.lit(V.FEW_SHOT_HEADER)),
+        F.coalesce("_prompt_prefix", F.lit(V.FEW_SHOT_HEADER)),
         F.lit(V.FEW_SHOT_QUERY_PREFIX),
-        F.col("comment"),
+        F.col(_COMMENT),
         F.lit(V.PROMPT_SUFFIX),
     )
     return (
-        truncated_comments(rows, schema, clean=clean)
+        truncated_comments(rows, schema, _COMMENT, clean)
         .join(prefixes, "fold", "left")
         .withColumn("messages", _chat(user, system_prompt))
-        .drop("comment", "prefix")
+        .drop(_COMMENT, "_prompt_prefix")
     )
 
 
@@ -147,18 +151,14 @@ def folds_without_exemplars(roles: DataFrame, exemplars: DataFrame) -> DataFrame
     return roles.select("fold").distinct().join(exemplars.select("fold").distinct(), "fold", "left_anti")
 
 
-def prompt_templates(
-    exemplars: DataFrame, schema: CorpusSchema, system_prompt: str = V.SYSTEM_PROMPT, roles: DataFrame | None = None
-) -> DataFrame:
+def prompt_templates(exemplars: DataFrame, roles: DataFrame, schema: CorpusSchema, system_prompt: str = V.SYSTEM_PROMPT) -> DataFrame:
     """``(mode, fold, template)``: the rendered prompts with a placeholder comment, which is not cleaned.
 
-    With ``roles`` every fold has both templates, exemplars or not; the few-shot one of a fold without exemplars
+    Every fold of ``roles`` has both templates, exemplars or not; the few-shot one of a fold without exemplars
     shows the header only.
     """
-    prefixes = few_shot_prefixes(exemplars, schema)
-    if roles is not None:
-        folds = roles.select("fold").distinct()
-        prefixes = folds.join(prefixes, "fold", "left").fillna({"prefix": V.FEW_SHOT_HEADER})
+    folds = roles.select("fold").distinct()
+    prefixes = folds.join(few_shot_prefixes(exemplars, schema), "fold", "left").fillna({"prefix": V.FEW_SHOT_HEADER})
     hole = F.lit(V.TEMPLATE_PLACEHOLDER)
     zero = F.concat(F.lit(V.ZERO_SHOT_PREFIX), hole, F.lit(V.PROMPT_SUFFIX))
     few = F.concat(F.col("prefix"), F.lit(V.FEW_SHOT_QUERY_PREFIX), hole, F.lit(V.PROMPT_SUFFIX))
@@ -170,7 +170,27 @@ def prompt_templates(
 
 
 def render_turns(turns: DataFrame, role: str, content: str, out: str = "block") -> DataFrame:
-    """Adds the rendered block of each turn. Row by row: no conversation is ever gathered in one task;
-    blocks in turn order with a blank line between them are the transcript."""
+    """Adds the rendered block of each turn, row by row; ``render_conversations`` puts them together."""
     turn = F.array(F.struct(F.col(role).alias("role"), F.col(content).alias("content")))
     return turns.withColumn(out, render_messages(turn))
+
+
+def render_conversations(
+    turns: DataFrame, conversation: str, turn: str, role: str, content: str, part_chars: int = PART_CHARS
+) -> DataFrame:
+    """``(conversation, part, n_turns, text)``: transcripts in turn order, blank lines between blocks, cut into parts.
+
+    The characters ahead of each turn are a running sum over ranges of (conversation, turn), so a conversation of any length is
+    spread over tasks; a part, a group of its own, holds the turns that begin inside one stretch of ``part_chars`` characters. The parts
+    of a conversation, in order and with a blank line between them, are its transcript. Null roles and texts are empty, null
+    turns come first; turns of the same number are ordered by a hash of their block.
+    """
+    filled = turns.withColumns({name: F.coalesce(name, F.lit("")) for name in (role, content)})
+    blocks = render_turns(filled, role, content, "_block").select(conversation, turn, "_block", F.xxhash64("_block").alias("_mark"))
+    order = [F.asc_nulls_first(turn), F.asc("_mark")]
+    placed = totals_before(blocks, [conversation], order, (F.char_length("_block") + 2).cast("long"), "_ahead")
+    part = F.floor(F.col("_ahead") / part_chars)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("_ahead", "_block"))), lambda b: b["_block"])
+    return placed.groupBy(conversation, part.alias("part")).agg(
+        F.count(F.lit(1)).alias("n_turns"), F.array_join(in_order, "\n\n").alias("text")
+    )

@@ -8,8 +8,12 @@ sort is one cell.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +28,7 @@ COARSE_BITS = 12
 CELL_ROWS = 1_000_000
 # Running sums over groups go through one window if there can be no more groups than this.
 WINDOW_GROUPS = 1 << 16
+PRUNE_ROWS = 1 << 15
 
 
 def refined_cells(
@@ -75,10 +80,14 @@ def totals_before(
     placed = materialize(ranged.withColumns({"_range": F.spark_partition_id(), "_value": value}))
     sums = placed.groupBy("_range", *by).agg(F.sum("_value").alias("_sum"))
     earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sums.select("_range", *by, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_begin"))
+    begins = sums.select("_range", *(F.col(c).alias(f"_by_{c}") for c in by), F.sum("_sum").over(earlier).alias("_begin"))
+    # A group that begins in an earlier range is the first of its range: at most one row for each range.
+    begins = F.broadcast(begins.where(F.col("_begin").isNotNull()).withColumnRenamed("_range", "_of"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by], F.col("_range") == F.col("_of"))
     local = Window.partitionBy("_range", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     so_far = placed.withColumn("_so_far", F.coalesce(F.sum("_value").over(local), F.lit(0)))
-    return so_far.join(begins, ["_range", *by]).select(*df.columns, (F.col("_begin") + F.col("_so_far")).alias(name))
+    total = F.coalesce("_begin", F.lit(0)) + F.col("_so_far")
+    return so_far.join(begins, same, "left").select(*df.columns, total.alias(name))
 
 
 def cell_totals(df: DataFrame, by: Sequence[str], cell: str, sums: dict[str, Column] | None = None) -> DataFrame:
@@ -184,21 +193,47 @@ def first_rows(
     )
 
 
-def first_n_salted(
-    df: DataFrame, by: Sequence[str], order: Sequence[Column | str], n: int, spread: str, salts: int = 64
-) -> DataFrame:
-    """The first ``n`` rows of each group in an order that has no cells, adding ``position``.
+def first_n_pruned(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int, spread: str, salts: int = 64) -> DataFrame:
+    """The first ``n`` rows of each group in a plain ascending order, adding ``position``.
 
-    Rows are ranked inside ``salts`` slices of each group first; a row outside its slice's first ``n``
-    cannot be in the group's first ``n``, so the second ranking sees at most ``n * salts`` rows per group.
+    Each task keeps the first ``n`` rows of every group it meets and lets go of all others before anything is shuffled, so at
+    most tasks x groups x ``n`` rows move; a row outside them cannot be among the group's first ``n``. Those left are ranked inside
+    ``salts`` slices of each group, and the last ranking sees at most ``n * salts`` rows per group.
     """
-    salted = df.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    in_slice = Window.partitionBy(*by, "salt").orderBy(*order)
+    keys = [*by, *order]
+
+    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: pa.Table | None = None
+        held = 0
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            kept = new if kept is None else pa.concat_tables([kept, new])
+            if kept.num_rows > 2 * held + PRUNE_ROWS:
+                kept = first_of_each(kept, by, keys, n)
+                held = kept.num_rows
+        if kept is not None:
+            yield from first_of_each(kept, by, keys, n).to_batches(max_chunksize=PRUNE_ROWS)
+
+    pruned = df.mapInArrow(prune, df.schema).withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+    in_slice = Window.partitionBy(*by, "_salt").orderBy(*order)
     in_group = Window.partitionBy(*by).orderBy(*order)
     return (
-        salted.withColumn("position", F.row_number().over(in_slice))
+        pruned.withColumn("position", F.row_number().over(in_slice))
         .where(F.col("position") <= n)
         .withColumn("position", F.row_number().over(in_group))
         .where(F.col("position") <= n)
-        .drop("salt")
+        .drop("_salt")
     )
+
+
+def first_of_each(rows: pa.Table, by: Sequence[str], keys: Sequence[str], n: int) -> pa.Table:
+    """The first ``n`` rows of each group of an Arrow table, nulls first as Spark sorts them."""
+    ranked = rows.take(pc.sort_indices(rows, sort_keys=[(k, "ascending") for k in keys], null_placement="at_start"))
+    new = np.zeros(ranked.num_rows, dtype=bool)
+    new[:1] = True
+    for name in by:
+        codes = ranked.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        new[1:] |= codes[1:] != codes[:-1]
+    begins = np.flatnonzero(new)
+    place = np.arange(ranked.num_rows) - np.repeat(begins, np.diff(np.append(begins, ranked.num_rows)))
+    return ranked.filter(pa.array(place < n))

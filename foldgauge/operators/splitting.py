@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from foldgauge.fixed_values import N_FOLDS, SAMPLE_SIZE, SEED, VAL_RATIO
 from foldgauge.functions.labels import label_set, seeded_hash
-from foldgauge.operators.ranking import BROADCAST_ROWS, CELL_ROWS, first_n_salted, first_rows, refined_cells, running_positions, totals_before
+from foldgauge.operators.ranking import BROADCAST_ROWS, CELL_ROWS, first_n_pruned, first_rows, refined_cells, running_positions, totals_before
 from foldgauge.schema import CorpusSchema
 from foldgauge.session import materialize
 
@@ -144,7 +144,7 @@ def fold_rows(df: DataFrame, roles: DataFrame, schema: CorpusSchema, role: str |
 
 def limit_per_fold(rows: DataFrame, schema: CorpusSchema, n: int, by: Sequence[str] = ("fold",)) -> DataFrame:
     """The first ``n`` rows of each fold by id: the smoke-run switch."""
-    return first_n_salted(rows, by, [schema.id], n, spread=schema.id).drop("position")
+    return first_n_pruned(rows, by, [schema.id], n, spread=schema.id).drop("position")
 
 
 def leakage_check(roles: DataFrame, exemplars: DataFrame, schema: CorpusSchema) -> DataFrame:

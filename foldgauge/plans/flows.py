@@ -131,6 +131,12 @@ def chat_run_facts(predictions: DataFrame) -> DataFrame:
     return parse_failure_stats(predictions, by).join(latency_stats(predictions, by).drop("n_calls"), by)
 
 
+def with_run_facts(metrics: DataFrame, facts: DataFrame) -> DataFrame:
+    """Metrics of every run and fold with the facts that some runs have, ready for ``write_fold_metrics``."""
+    by = [*M.RUN, "fold"]
+    return metrics.join(facts.drop("n_test"), by, "left")
+
+
 @dataclass(frozen=True)
 class Comparison:
     per_fold: DataFrame

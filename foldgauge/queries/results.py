@@ -17,7 +17,7 @@ from foldgauge.queries.metrics import (
     doc_metrics,
     encoder_predictions,
 )
-from foldgauge.queries.prompts import COMMENTS_SQL, EXEMPLARS_SQL, K
+from foldgauge.queries.prompts import COMMENTS_SQL, EXEMPLARS_SQL, TEMPLATES_SQL, K
 from foldgauge.session import scratch_dir
 from foldgauge.sources import corpus as corpus_io
 from foldgauge.sources import folds as folds_io
@@ -114,13 +114,11 @@ def exemplar_table(spark, sf_dir):
 
 @query(
     "first_template",
-    f"""WITH {CORPUS_SQL}, {roles_sql(DOCS, 'corpus')}
-SELECT mode, CAST(0 AS INTEGER) AS fold, true AS has_hole FROM (VALUES ('zero_shot'), ('few_shot')) AS m(mode)""",
+    f"{TEMPLATES_SQL} SELECT mode, fold, template FROM templates WHERE fold = 0",
 )
 def first_template(spark, sf_dir):
     """Templates written per mode and fold; the first one of each mode is what a report shows."""
-    corpus = labelled_corpus(spark, sf_dir)
-    path = scratch_dir(spark)
-    runs_io.write_templates(prompt_templates(few_shot_exemplars(corpus, written_roles(spark, sf_dir), DOCS, K, texts=table(spark, sf_dir, "documents")), DOCS), path)
-    first = M.first_path(runs_io.read_templates(spark, path), "fold", "template", ["mode"])
-    return first.select("mode", "fold", F.contains("template", F.lit("<<COMMENT_TEXT>>")).alias("has_hole"))
+    path, roles = scratch_dir(spark), written_roles(spark, sf_dir)
+    exemplars = few_shot_exemplars(labelled_corpus(spark, sf_dir), roles, DOCS, K, texts=table(spark, sf_dir, "documents"))
+    runs_io.write_templates(prompt_templates(exemplars, roles, DOCS), path)
+    return M.first_path(runs_io.read_templates(spark, path), "fold", "template", ["mode"]).select("mode", "fold", "template")

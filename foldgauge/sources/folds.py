@@ -10,6 +10,8 @@ from foldgauge.operators.ranking import running_positions
 from foldgauge.schema import CorpusSchema
 from foldgauge.session import rebalanced
 
+ROLES = ("train", "val", "test")
+
 
 def write_fold_roles(roles: DataFrame, path: str) -> None:
     """Partitioned by fold, so one fold is read without the others."""
@@ -34,14 +36,24 @@ def with_row_positions(df: DataFrame, out: str = "row_position") -> DataFrame:
     return placed.select(*df.columns, (F.col("position") - 1).alias(out))
 
 
+def write_positional_folds(roles: DataFrame, corpus: DataFrame, schema: CorpusSchema, path: str) -> None:
+    """Folds as one JSON object of position lists: the exchange form, as long as all folds together. Keep folds as a table
+    (``write_fold_roles``) otherwise."""
+    placed = roles.join(with_row_positions(corpus.select(schema.id)), schema.id)
+    lists = [F.array_sort(F.collect_list(F.when(F.col("role") == role, F.col("row_position")))).alias(f"{role}_idx") for role in ROLES]
+    folds = placed.groupBy("fold").agg(*lists)
+    entries = F.collect_list(F.struct(F.col("fold").cast("string"), F.struct(*(f"{role}_idx" for role in ROLES))))
+    folds.agg(F.to_json(F.map_from_entries(entries)).alias("value")).write.text(path)
+
+
 def read_positional_folds(spark: SparkSession, path: str) -> DataFrame:
     """``(fold, role, row_position)`` from a JSON object of folds with train, val and test position lists."""
     positions = T.ArrayType(T.LongType())
-    parts = T.StructType([T.StructField(f"{role}_idx", positions) for role in ("train", "val", "test")])
+    parts = T.StructType([T.StructField(f"{role}_idx", positions) for role in ROLES])
     text = spark.read.text(path, wholetext=True)
     folds = text.select(F.explode(F.from_json("value", T.MapType(T.StringType(), parts))).alias("fold", "parts"))
     roles = F.array(
-        *[F.struct(F.lit(role).alias("role"), F.col(f"parts.{role}_idx").alias("rows")) for role in ("train", "val", "test")]
+        *[F.struct(F.lit(role).alias("role"), F.col(f"parts.{role}_idx").alias("rows")) for role in ROLES]
     )
     return folds.select(F.col("fold").cast("int").alias("fold"), F.inline(roles)).select(
         "fold", "role", F.explode("rows").alias("row_position")

@@ -115,6 +115,25 @@ def read_fold_metrics(spark: SparkSession, path: str, schema: CorpusSchema) -> D
     return raw.withColumn("per_label", _per_label_array(schema))
 
 
+def export_run_tree(metrics: DataFrame, root: str, schema: CorpusSchema) -> None:
+    """A tree of run folders with one document per run and fold, as ``import_run_tree`` reads it.
+
+    The documents are written by one job below partition folders, whose few paths (one for each run and fold) are then renamed.
+    """
+    spark = metrics.sparkSession
+    work = f"{root}/_written"
+    write_fold_metrics(metrics.repartition(*RUN_AND_FOLD), work, schema)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for model, mode, think, fold in spark.read.schema(", ".join(f"{n} string" for n in RUN) + ", fold int").json(work).select(*RUN_AND_FOLD).distinct().collect():
+        run = model if mode == V.MODES[0] else f"{model}/{mode}/{think}"
+        target = hadoop.Path(f"{root}/{run}/fold_{fold}")
+        files.mkdirs(target)
+        for written in files.globStatus(hadoop.Path(f"{work}/model={model}/mode={mode}/think={think}/fold={fold}/part-*")):
+            files.rename(written.getPath(), hadoop.Path(target, "metrics.json"))
+    files.delete(hadoop.Path(work), True)
+
+
 def import_run_tree(spark: SparkSession, root: str, schema: CorpusSchema) -> DataFrame:
     """Metrics from a tree of run folders, all runs and folds in one scan.
 
@@ -177,7 +196,7 @@ def write_markdown(table: DataFrame, path: str) -> None:
     table.repartition(1).sortWithinPartitions("section", "place").select("line").write.text(path)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet") -> DataFrame:
     """A table that may not exist yet: its rows, or none."""
     try:
         return spark.read.schema(schema).format(fmt).load(path)

@@ -71,7 +71,7 @@ def test_six_label_prompts(spark):
         '{"toxic":1,"severe_toxic":0,"obscene":0,"threat":0,"insult":1,"identity_hate":0}\n\n'
         "Now classify this comment.\n\nComment: hello world & more\n\nJSON:"
     )
-    template = {r["mode"]: r["template"] for r in P.prompt_templates(exemplars, schema).collect()}
+    template = {r["mode"]: r["template"] for r in P.prompt_templates(exemplars, exemplars.select('fold').distinct(), schema).collect()}
     assert template["zero_shot"].endswith("[USER]\nClassify the following comment.\n\nComment: <<COMMENT_TEXT>>\n\nJSON:")
     assert "<<COMMENT_TEXT>>" in template["few_shot"] and "Comment: ex" in template["few_shot"]
 

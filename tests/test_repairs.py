@@ -36,7 +36,7 @@ def test_templates_without_exemplars(spark, corpus, schema):
     roles = S.fold_roles(corpus, schema, 3)
     none = P.few_shot_exemplars(corpus.limit(0), roles, schema)
     assert {r["fold"] for r in P.folds_without_exemplars(roles, none).collect()} == {0, 1, 2}
-    got = P.prompt_templates(none, schema, roles=roles).collect()
+    got = P.prompt_templates(none, roles, schema).collect()
     assert sorted((r["mode"], r["fold"]) for r in got) == sorted((m, f) for m in ("zero_shot", "few_shot") for f in range(3))
 
 

@@ -101,8 +101,20 @@ def test_first_rows_equal_brute_force(spark):
         expected = {(g, v, i) for g in range(3) for g_, v, i in sorted(r for r in rows if r[0] == g)[:n]}
         picked = R.first_rows(frame, ["g"], "cell", ["v", "i"], F.lit(n), most=3 * n)
         assert {(r["g"], r["v"], r["i"]) for r in picked.collect()} == expected
-        salted = R.first_n_salted(frame, ["g"], ["v", "i"], n, spread="i", salts=8)
-        assert {(r["g"], r["v"], r["i"]) for r in salted.collect()} == expected
+        pruned = R.first_n_pruned(frame.repartition(3), ["g"], ["v", "i"], n, spread="i", salts=8)
+        assert {(r["g"], r["v"], r["i"]) for r in pruned.collect()} == expected
+
+
+def test_pruning_keeps_nulls_and_ties(spark, monkeypatch):
+    monkeypatch.setattr(R, "PRUNE_ROWS", 10)
+    rows = [(i % 4 or None, f"k{i % 9}" if i % 10 else None, i) for i in range(500)]
+    frame = spark.createDataFrame(rows, "g int, k string, i int").repartition(3)
+    for n in (1, 40, 2000):
+        want = sorted((g or -1, k or "", i) for g in {r[0] for r in rows} for _, k, i in sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] or "", r[2]))[:n])
+        got = sorted((r["g"] or -1, r["k"] or "", r["i"]) for r in R.first_n_pruned(frame, ["g"], ["k", "i"], n, spread="i").collect())
+        assert got == want
+    plan = R.first_n_pruned(frame, ["g"], ["k", "i"], 2000, spread="i")._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("MapInArrow") > plan.rindex("Exchange hashpartitioning(g")  # pruned before the shuffle
 
 
 def test_statistics(corpus, schema):
