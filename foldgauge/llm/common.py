@@ -182,10 +182,11 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType | None
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values, type=kind))
 
 
-def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (a written table of narrow rows) with a broadcast hint if its counted rows stay within the
-    bound; beyond it Spark joins by shuffle, with the same result."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small_enough(df: DataFrame, rows: int = BROADCAST_ROWS, cells: Column | None = None) -> DataFrame:
+    """``df`` (a written table of narrow rows) with a broadcast hint if its counted rows, and the ``cells`` of their lists all
+    together, stay within the bound; beyond it Spark joins by shuffle, with the same result."""
+    n, most = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.lit(0) if cells is None else cells), F.lit(0))).first()
+    return F.broadcast(df) if max(n, most) <= rows else df
 
 
 def free_memory() -> None:
@@ -209,16 +210,26 @@ def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     return run
 
 
+BATCH_ROWS = 500
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def short_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """At most ``rows`` rows an Arrow batch from here on in this session. For jobs that own their session: both sides of the
+    exchange with Python hold whole batches, and rows are whole texts."""
+    before = int(spark.conf.get(_ROWS_KEY))
+    spark.conf.set(_ROWS_KEY, str(min(before, rows) if before > 0 else rows))
+
+
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+def arrow_rows(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
     """Smaller Arrow batches for the jobs run inside, where rows are long; the session's setting comes back."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(int(before), rows) if int(before) > 0 else rows))
+    before = spark.conf.get(_ROWS_KEY)
+    short_batches(spark, rows)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        spark.conf.set(_ROWS_KEY, before)
 
 
 def whole_row(df: DataFrame) -> Column:
