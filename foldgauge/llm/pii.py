@@ -1,8 +1,9 @@
 """Personal data: base patterns plus bootstrapped contextual extraction (operator 2).
 
 One pass over the texts finds the base spans (email, ip, card, phone) and, beside them, *candidates*: blank-separated
-tokens holding a digit or an at sign that no base span touches. For base spans and candidates it notes the
-lexical pattern to the left: the two tokens before, lower-cased, digits as 0, taken from the CONTEXT characters before the span.
+tokens holding a digit or an at sign, and runs of digit groups parted by single blanks, that no base span touches. For base spans and candidates
+it notes the lexical pattern to the left: the two tokens before, lower-cased, digits as 0; a start mark stands for a token that is
+missing, and of one longer than LONG_TOKEN its last characters count.
 
 The graph of patterns and instances is then scored in rounds of Spark joins. Known instances start as the seeds
 (base spans). A pattern's confidence for a kind is the share of known instances of that kind among all its distinct
@@ -19,19 +20,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import small_enough, whole_row
+from foldgauge.llm.common import small_enough, trimmed, whole_row
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 64
-ROUNDS = 3
+LONG_TOKEN = 64
 SUPPORT = 3
 CONFIDENCE = 0.5
 
@@ -43,6 +44,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"[0-9@]")
 _BLANK = re.compile(r"\s")
+_TOKEN = re.compile(r"\S+")
+_GROUPS = re.compile(r"[0-9(][0-9()./-]*(?:\x20[0-9(][0-9()./-]*)+")
+_START = "^"
 _EDGE = " \t\"'()[]{}<>,;:.!?*#$%&|"
 
 Span = tuple[int, int, int]  # start, kind, end
@@ -102,10 +106,25 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-def _pattern(text: str, start: int) -> str | None:
-    """The two tokens before ``start``; None if there are fewer inside the context."""
-    before = text[max(0, start - CONTEXT) : start].lower().split()[-2:]
-    return _DIGIT.sub("0", " ".join(before)) if len(before) == 2 else None
+class _Tokens:
+    """The blank-separated tokens of a text, found once and only if asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.starts, self.ends = text, None, None
+
+    def pattern(self, at: int) -> str:
+        """The two tokens before ``at`` (the nearer one may be the begun part of a token), lower-cased, digits as 0. A start mark stands
+        for each that is missing, and of a long one its end counts."""
+        if self.starts is None:
+            found = [m.span() for m in _TOKEN.finditer(self.text)]
+            self.starts, self.ends = [s for s, _ in found], [e for _, e in found]
+        upto = bisect_left(self.starts, at)
+        parts = [_START] * (2 - upto)
+        for k in range(max(0, upto - 2), upto):
+            end = min(self.ends[k], at)
+            part = self.text[max(self.starts[k], end - LONG_TOKEN - 1) : end]
+            parts.append(part if len(part) <= LONG_TOKEN else "…" + part[-LONG_TOKEN // 2 :])
+        return _DIGIT.sub("0", " ".join(parts).lower())
 
 
 def _instance(token: str) -> str:
@@ -113,7 +132,8 @@ def _instance(token: str) -> str:
 
 
 def candidates(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """Spans of tokens with a digit or an at sign, stripped of marks at their edges, that touch no taken span."""
+    """Spans of tokens with a digit or an at sign, and of runs of digit groups parted by single blanks, stripped of marks at
+    their edges, that touch no taken span."""
     cursor, k = 0, 0
     covered: list[list[int]] = []
     for start, _, end in taken:
@@ -132,6 +152,9 @@ def candidates(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
         while start < end and text[start] in _EDGE:
             start += 1
         last = end
+        run = _GROUPS.match(text, start)
+        if run and run.end() > end and (run.end() == len(text) or text[run.end()].isspace() or text[run.end()] in _EDGE):
+            last = end = cursor = run.end()  # digit groups with a single blank between them are one number
         while last > start and text[last - 1] in _EDGE:
             last -= 1
         while k < len(covered) and covered[k][1] <= start:
@@ -179,29 +202,25 @@ def _scanned(narrow: DataFrame, position: int, kept: list[str]) -> DataFrame:
             for text in batch.column(position):
                 spans = base_spans(body) if (body := text.as_py()) else []
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                own = []
-                for start, kind, end in spans:
-                    pattern = _pattern(body, start)
-                    if pattern is not None:
-                        own.append((start, end, pattern, _instance(body[start:end]), kind, 0))
+                tokens = _Tokens(body or "")
+                own = [(start, end, tokens.pattern(start), _instance(body[start:end]), kind, 0) for start, kind, end in spans]
                 if body and _MARK.search(body):
                     for start, end in candidates(body, spans):
                         shape = shape_kinds(body[start:end])
-                        pattern = _pattern(body, start) if shape else None
-                        if pattern is not None:
-                            own.append((start, end, pattern, _instance(body[start:end]), None, shape))
+                        if shape:
+                            own.append((start, end, tokens.pattern(start), _instance(body[start:end]), None, shape))
                 noted.append([dict(zip(("start", "end", "pattern", "instance", "kind", "shape"), x, strict=True)) for x in own])
             columns = [*(batch.column(p) for p in places), pa.array(base, type=_BASE), pa.array(noted, type=_NOTED)]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "base", "noted"])
 
-    return narrow.mapInArrow(look, f"{fields}, {_SCANNED}")
+    return narrow.mapInArrow(trimmed(look), f"{fields}, {_SCANNED}")
 
 
-def bootstrap(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+def bootstrap(edges: DataFrame, support: int = SUPPORT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
     """(trusted patterns: pattern, kind, confidence; known instances: instance, kind).
 
     ``edges``: distinct (pattern, instance, kind or null, shape). Every round joins the graph with what is known so far, scores
-    the patterns and lets trusted ones name new instances; it ends early if a round names none.
+    the patterns and lets trusted ones name new instances; rounds go on until one names none.
     """
     graph = edges.select("pattern", "instance").distinct()
     known = edges.where(F.col("kind").isNotNull()).select("instance", "kind").distinct()
@@ -216,7 +235,7 @@ def bootstrap(edges: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, co
         return materialize(share.where(F.col("confidence") >= confidence).select("pattern", "kind", "confidence"))
 
     trusted = score()
-    for _ in range(rounds):
+    while True:
         fits = F.expr("(shape & shiftleft(1, kind)) <> 0")
         named = unknown.join(trusted, "pattern").where(fits).groupBy("instance", "kind").agg(F.sum("confidence").alias("weight"))
         best = named.groupBy("instance").agg(F.max(F.struct("weight", (-F.col("kind")).alias("order"))).alias("best"))
@@ -236,11 +255,11 @@ def _listed(spans: str | Column) -> Column:
     )
 
 
-def _all_spans(scanned: DataFrame, rounds: int, support: int, confidence: float) -> DataFrame:
+def _all_spans(scanned: DataFrame, support: int, confidence: float) -> DataFrame:
     """(_row, extra) for rows where trusted patterns found more."""
     noted = scanned.select("_row", F.explode("noted").alias("x")).select("_row", "x.*")
     edges = materialize(noted.groupBy("pattern", "instance", "kind").agg(F.max("shape").alias("shape")))
-    trusted, known = bootstrap(edges, rounds, support, confidence)
+    trusted, known = bootstrap(edges, support, confidence)
     spots = noted.where(F.col("kind").isNull()).drop("kind", "shape")
     found = spots.join(trusted.select("pattern", "kind"), "pattern").join(known, ["instance", "kind"])
     spans = F.array_sort(F.collect_set(F.struct("start", "kind", "end")))
@@ -251,15 +270,14 @@ def find_personal_data(
     docs: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
-    rounds: int = ROUNDS,
     support: int = SUPPORT,
     confidence: float = CONFIDENCE,
 ) -> DataFrame:
     """(_row, id, base, extra) of every text: arrays of (start, kind number, end), in order."""
     scanned = materialize(scan(docs, id_column, text_column))
-    more = materialize(_all_spans(scanned, rounds, support, confidence))
+    more = materialize(_all_spans(scanned, support, confidence))
     none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
-    both = scanned.select("_row", "id", "base").join(small_enough(more), "_row", "left")
+    both = scanned.select("_row", "id", "base").join(small_enough(more, cells=F.size("extra")), "_row", "left")
     return both.select("_row", F.col("id").alias(id_column), "base", F.coalesce("extra", none).alias("extra"))
 
 
@@ -269,7 +287,7 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text", length_column
     whole = materialize(docs.select(F.monotonically_increasing_id().alias("_row"), whole_row(docs)))
     narrow = whole.select("_row", F.col("whole")[text_column].alias("body"))
     scanned = materialize(_scanned(narrow, 1, ["_row"]))
-    more = _all_spans(scanned, options.get("rounds", ROUNDS), options.get("support", SUPPORT), options.get("confidence", CONFIDENCE))
+    more = _all_spans(scanned, options.get("support", SUPPORT), options.get("confidence", CONFIDENCE))
     none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
     marks = scanned.select("_row", "base").join(more, "_row", "left")
     marks = marks.select("_row", F.array_sort(F.concat("base", F.coalesce("extra", none))).alias("spans")).where(F.size("spans") > 0)
@@ -286,7 +304,7 @@ def mask_personal_data(docs: DataFrame, text_column: str = "text", length_column
             cursor = max(cursor, span["end"])
         return "".join([*out, text[cursor:]])
 
-    joined = whole.join(small_enough(marks), "_row", "left")
+    joined = whole.join(small_enough(marks, cells=F.size("spans")), "_row", "left")
     marked = F.col("spans").isNotNull()
     body = F.col("whole")[text_column]
     joined = joined.withColumn("masked", masked(F.when(marked, body), "spans")).withColumn("masked", F.when(marked, F.col("masked")).otherwise(body))
