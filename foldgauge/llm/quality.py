@@ -3,10 +3,10 @@
 Overlapping heuristic labellers vote bad, good or nothing on every document, for two questions: is it poor text, is it toxic. Known
 labels are one more labeller where they exist. Expectation-maximisation estimates each labeller's accuracy from the
 counts of vote patterns over all documents (at most 3 to the number of labellers of them, whatever the corpus size) and gives
-each pattern a posterior. Posterior labels of a hash-drawn, bounded sample (``train_rows``) then fit a hashed linear scorer (words and
-binned text statistics as features, follow-the-regularised-leader with an L1 term, so that chance words
-weigh nothing), and the scorer judges every document in one pass over whole texts. For the fit a row counts if its posterior is sure
-(``sure``): a row that only abstaining or weak labellers saw teaches nothing.
+each pattern a posterior. Posterior labels of a bounded sample, drawn by a hash of the row (``train_rows``), then fit a hashed linear scorer (words,
+beginnings of words, also those that come twice or four times, and binned text statistics as features, follow-the-regularised-leader with an L1 term, so that chance words
+weigh nothing), and the scorer judges every document in one pass over whole texts. For the fit a row counts if its votes changed the odds of its
+class by ``sure`` or more either way: a row that only abstaining or weak labellers saw teaches nothing, however rare its class is.
 
 A document is rejected if either score is 0.5 or more. Null and empty texts have no words and are scored by their statistics; repeated rows each give a
 row; null ids have no known labels and stay null; repeated label rows count as bad if any says so; an empty table gives no rows; other columns
@@ -27,15 +27,19 @@ from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
 BUCKET_BITS = 20
-TRAIN_ROWS = 40_000
-SURE = 0.98
+TRAIN_ROWS = 60_000
+SURE = 50.0
+PREFIX_BYTES = (4, 6)
+OFTEN = (2, 4)
 TRUST = 0.9999
 ROUNDS = 50
 EPOCHS = 3
 QUESTIONS = ("poor", "toxic")
+FORM = ("poor",)
+STATISTICS = 6
 #: Common insults, a heuristic labeller.
 INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "trash", "clown", "dumb", "worthless", "pathetic", "disgusting", "imbecile", "bastard", "retard", "jerk")
-LABELLERS = {"poor": ("capitals", "symbols", "repeats", "variety", "stutter", "known"), "toxic": ("insult", "insults", "shouting", "known")}
+LABELLERS = {"poor": ("capitals", "symbols", "repeats", "variety", "stutter", "known"), "toxic": ("insult", "shouting", "known")}
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[[ord(c) for c in "#$%&*|!<>{}[]\\^~_=+@"]] = True
@@ -60,6 +64,14 @@ def _three_way(value: np.ndarray, good: float, bad: float, on: np.ndarray) -> np
     return np.where(on, np.where(value >= bad, 1, np.where(value <= good, -1, 0)), 0)
 
 
+def _beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
+    """For each word a hash of its first ``size`` bytes, of which compounds and inflected forms share theirs; of a shorter word its own."""
+    longer = np.flatnonzero(ends - starts > size)
+    out = words.copy()
+    out[longer] = mix(span_hashes(data, starts[longer], starts[longer] + size) + np.uint64(size))
+    return out
+
+
 def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """Heuristic votes (rows, labellers without the known label) and the features of each row as bucket numbers."""
     starts, ends, first = word_spans(data, bounds, ALNUM)
@@ -73,8 +85,10 @@ def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, li
     repeated, variety, stutter = np.zeros(rows), np.ones(rows), np.zeros(rows)
     features: list[np.ndarray] = []
     buckets = np.uint64(64 - BUCKET_BITS)
+    beginnings = [_beginnings(data, starts, ends, words, size) for size in PREFIX_BYTES]
     for row in range(rows):
-        own = words[first[row] : first[row + 1]]
+        mine = slice(first[row], first[row + 1])
+        own = words[mine]
         distinct = np.unique(own)
         if len(own) > 1:
             stutter[row] = (own[1:] == own[:-1]).mean()
@@ -82,7 +96,11 @@ def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, li
             grams = own[:-2] + own[1:-1] * np.uint64(3) + own[2:] * np.uint64(5)
             repeated[row] = 1 - len(np.unique(grams)) / len(grams)
             variety[row] = len(distinct) / len(own)
-        features.append((mix(distinct) >> buckets).astype(np.int32))
+        parts = [distinct]
+        for b in beginnings:
+            begun, often = np.unique(b[mine], return_counts=True)
+            parts += [begun, *(mix(begun[often >= n] + np.uint64(n)) for n in OFTEN)]
+        features.append((mix(np.concatenate(parts)) >> buckets).astype(np.int32))
     cap_share, symbol_share = capitals / letters, symbols / size
     long_enough = count >= 10
     votes = np.stack(
@@ -93,27 +111,44 @@ def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, li
             _three_way(-variety, -0.5, -0.25, long_enough),
             _three_way(stutter, 0.05, 0.25, count >= 4),
             _three_way(insult.astype(float), 0, 1, count > 0),
-            np.where(insult >= 2, 1, 0),
             np.where(cap_share >= 0.4, 1, 0),
         ],
         axis=1,
     ).astype(np.int8)
+    unknown = np.where(long_enough, 0, 20)  # too few words to tell: a bin of its own
     bins = np.stack(
-        [np.minimum(19, (cap_share * 20)), np.minimum(19, symbol_share * 200), np.minimum(19, repeated * 20), np.minimum(19, variety * 20), np.minimum(19, stutter * 20), np.minimum(19, np.log2(count + 1))],
+        [
+            np.minimum(19, cap_share * 20),
+            np.minimum(19, symbol_share * 200),
+            np.maximum(unknown, np.minimum(19, repeated * 20)),
+            np.maximum(unknown, np.minimum(19, variety * 20)),
+            np.where(count >= 4, np.minimum(19, stutter * 20), 20),
+            np.minimum(19, np.log2(count + 1)),
+        ],
         axis=1,
     ).astype(np.uint64)
     names = np.arange(1, bins.shape[1] + 1, dtype=np.uint64) * np.uint64(1_000_003)
     extra = (mix(mix(bins + names)) >> buckets).astype(np.int32)
-    return votes, [np.unique(np.concatenate([f, e])) for f, e in zip(features, extra, strict=True)]
+    return votes, [np.concatenate([np.unique(f), e]) for f, e in zip(features, extra, strict=True)]
+
+
+def _values(lengths: np.ndarray, question: str) -> np.ndarray:
+    """The values of the features of rows one after another: 1, but where form and not words decide, the words of a row share a length of 1."""
+    share = 1 / np.sqrt(np.maximum(lengths - STATISTICS, 1)) if question in FORM else np.ones(len(lengths))
+    out = np.repeat(share, lengths)
+    ends = np.cumsum(lengths)
+    for k in range(1, STATISTICS + 1):
+        out[ends[lengths >= k] - k] = 1.0
+    return out
 
 
-_HEURISTICS = ("capitals", "symbols", "repeats", "variety", "stutter", "insult", "insults", "shouting")
+_HEURISTICS = ("capitals", "symbols", "repeats", "variety", "stutter", "insult", "shouting")
 
 
 def cast_votes(docs: DataFrame, id_column: str, text_column: str, share: int) -> DataFrame:
     """(_row, id, votes, features): features only for rows drawn into the sample (``share`` of a million)."""
     body = F.col(text_column)
-    drawn = F.pmod(F.xxhash64(body, F.col(id_column).cast("string")), F.lit(1_000_000)) < share
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1_000_000)) < share
     narrow = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_column).alias("id"), body.alias("body"), drawn.alias("drawn"))
     kind = narrow.schema["id"].dataType.simpleString()
 
@@ -125,14 +160,13 @@ def cast_votes(docs: DataFrame, id_column: str, text_column: str, share: int) ->
                 votes, features = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
                 chosen = part.column(3).to_numpy(zero_copy_only=False)
                 kept = [f if on else f[:0] for f, on in zip(features, chosen, strict=True)]
-                flat = np.concatenate([*kept, np.zeros(0, dtype=np.int32)])
                 lists = [
                     list_array(votes.reshape(-1), np.full(len(votes), votes.shape[1])),
-                    list_array(flat, np.array([len(f) for f in kept], dtype=np.int64)),
+                    pa.array([f.tobytes() for f in kept], type=pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists, part.column(3)], names=["_row", "id", "votes", "features", "drawn"])
 
-    return narrow.mapInArrow(trimmed(vote), f"_row long, id {kind}, votes array<tinyint>, features array<int>, drawn boolean")
+    return narrow.mapInArrow(trimmed(vote), f"_row long, id {kind}, votes array<tinyint>, features binary, drawn boolean")
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, trust: float = TRUST) -> tuple[float, np.ndarray, np.ndarray]:
@@ -158,11 +192,14 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, tru
         for side in (0, 1):
             cast = tables[-1, side, 0] + tables[-1, side, 2]
             tables[-1, side, wrong[side]] = min(tables[-1, side, wrong[side]], (1 - trust) * cast)
+        cast = tables[:, :, (0, 2)].sum(axis=2, keepdims=True)
+        given = np.log(tables / cast)
+        given[:, :, 1] = 0  # that a labeller abstains says nothing: short texts make several do so at once
         tables /= tables.sum(axis=2, keepdims=True)
         sides = [np.log(1 - prior) + np.zeros(len(patterns)), np.log(prior) + np.zeros(len(patterns))]
         for k in range(patterns.shape[1]):
             for side in (0, 1):
-                sides[side] = sides[side] + np.log(tables[k, side, patterns[:, k] + 1])
+                sides[side] = sides[side] + given[k, side, patterns[:, k] + 1]
         new = 1 / (1 + np.exp(np.clip(sides[0] - sides[1], -500, 500)))
         if np.abs(new - posterior).max(initial=0) < 1e-9:
             posterior = new
@@ -184,15 +221,15 @@ class LinearScorer:
         l1 = np.where(at == len(self.z) - 1, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
-    def fit(self, rows: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
+    def fit(self, rows: list[np.ndarray], values: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
         """Learns and returns the weights, the bias last."""
         bias = np.array([len(self.z) - 1])
         for epoch in range(epochs):
             for k in np.random.default_rng(seed + epoch).permutation(len(rows)).tolist():
                 at = np.concatenate([rows[k], bias])
-                weight = self._weights(at)
-                p = 1 / (1 + np.exp(-np.clip(weight.sum(), -30, 30)))
-                g = p - targets[k]
+                weight, value = self._weights(at), np.append(values[k], 1.0)
+                p = 1 / (1 + np.exp(-np.clip(weight @ value, -30, 30)))
+                g = (p - targets[k]) * value
                 sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
                 self.z[at] += g - sigma * weight
                 self.n[at] += g * g
@@ -222,10 +259,13 @@ def fit_scorers(
     columns = [F.col("votes")[k].alias(name) for k, name in enumerate(_HEURISTICS)]
     known = [F.coalesce(F.col(f"known_{q}"), F.lit(0).cast("tinyint")).alias(f"known_{q}") for q in QUESTIONS]
     flat = rows.select(*columns, *known, "features", "drawn")
-    # bounded by train_rows, as flat Arrow arrays
-    sample = flat.where("drawn").drop("drawn").toArrow()
-    listed = sample.column("features").combine_chunks()
-    values, ends = listed.values.to_numpy(), listed.offsets.to_numpy()
+    # bounded by train_rows; one partition of the written table at a time, features as bytes
+    cast, features = [], []
+    for row in flat.where("drawn").drop("drawn").toLocalIterator():
+        cast.append(row[:-1])
+        features.append(np.frombuffer(row[-1], dtype=np.int32))
+    sample = np.array(cast, dtype=np.int8).reshape(-1, len(columns) + len(known))
+    place = {name: k for k, name in enumerate([*_HEURISTICS, *(f"known_{q}" for q in QUESTIONS)])}
     weights, facts = {}, {}
     for question in QUESTIONS:
         names = [n if n != "known" else f"known_{question}" for n in LABELLERS[question]]
@@ -235,10 +275,13 @@ def fit_scorers(
         prior, tables, posterior = estimate(patterns, counts)
         facts[question] = {"prior": prior, "accuracy": {n: tables[k].tolist() for k, n in enumerate(names)}}
         belief = {tuple(p): float(x) for p, x in zip(patterns.tolist(), posterior, strict=True)}
-        votes = np.stack([sample.column(n).to_numpy() for n in names], axis=1).tolist()
-        target = np.array([belief[tuple(row)] for row in votes])
-        use = np.flatnonzero((target >= sure) | (target <= 1 - sure))
-        weights[question] = LinearScorer().fit([values[ends[k] : ends[k + 1]] for k in use.tolist()], target[use])
+        target = np.array([belief[tuple(row)] for row in sample[:, [place[n] for n in names]].tolist()])
+        odds = target / np.maximum(1 - target, 1e-12) * (1 - prior) / prior
+        use = np.flatnonzero((odds >= sure) | (odds <= 1 / sure))
+        rows_in = [features[k] for k in use.tolist()]
+        lengths = np.array([len(f) for f in rows_in], dtype=np.int64)
+        values = np.split(_values(lengths, question), np.cumsum(lengths)[:-1]) if len(use) else []
+        weights[question] = LinearScorer().fit(rows_in, values, target[use])
     return weights, facts
 
 
@@ -263,7 +306,7 @@ def _batch_scores(texts: pa.Array, scorers: dict[str, tuple[np.ndarray, np.ndarr
         flat = np.concatenate(features)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         for question, (w, bias) in dense.items():
-            total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat])])[ends]) + bias
+            total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat] * _values(lengths, question))])[ends]) + bias
             scores[question][low:high] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
     return scores
 

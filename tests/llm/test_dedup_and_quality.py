@@ -126,6 +126,62 @@ def test_masking(tricky, nothing):
     assert pii.mask_personal_data(tricky).columns == tricky.columns and pii.mask_personal_data(nothing).count() == 0
 
 
+def brute_personal_data(texts, support=3, confidence=0.5):
+    """The whole bootstrapping over plain sets: added spans of each text."""
+
+    def pattern(text, at):
+        parts = (["^", "^"] + text[:at].split())[-2:]
+        return re.sub("[0-9]", "0", " ".join(x if len(x) <= 64 else "…" + x[-32:] for x in parts).lower())
+
+    base = [pii.base_spans(t or "") for t in texts]
+    spots = [[(a, b, pattern(t, a), t[a:b], pii.shape_kinds(t[a:b])) for a, b in pii.candidates(t, own)] if t else [] for t, own in zip(texts, base, strict=True)]
+    spots = [[x for x in own if x[4]] for own in spots]
+    known = {(t[a:b], k) for t, own in zip(texts, base, strict=True) for a, k, b in own}
+    named = {i for i, _ in known}
+    graph = {(pattern(t, a), t[a:b]) for t, own in zip(texts, base, strict=True) for a, _, b in own} | {(x[2], x[3]) for own in spots for x in own}
+    while True:
+        trusted = {}
+        for p in {p for p, _ in graph}:
+            mine = {i for q, i in graph if q == p}
+            for k in range(4):
+                hits = sum((i, k) in known for i in mine)
+                if hits >= support and hits / len(mine) >= confidence:
+                    trusted[p, k] = hits / len(mine)
+        new = {}
+        for p, i, shape in {(x[2], x[3], x[4]) for own in spots for x in own if x[3] not in named}:
+            for k in range(4):
+                if (p, k) in trusted and shape >> k & 1:
+                    new.setdefault(i, {}).setdefault(k, []).append(trusted[p, k])
+        if not new:
+            break
+        for i, kinds in new.items():
+            known.add((i, max(kinds, key=lambda k: (round(sum(kinds[k]), 9), -k))))
+            named.add(i)
+    return [sorted({(x[0], k, x[1]) for x in own for k in range(4) if (x[2], k) in trusted and (x[3], k) in known}) for own in spots]
+
+
+def test_personal_data_equals_brute_force(spark):
+    """Long chains from pattern to pattern, numbers with blanks, starts of texts, long tokens to the left, and clean texts."""
+    phones = [f"+49 30 55512{k}0" for k in range(6)]
+    texts = [f"please call phone {p} now" for p in phones] + ["please call phone 030 1234 5678", "call phone 555-0199-234 or not"]
+    for level in range(7):  # six numbers of a level stand behind its own words and those of the next
+        before, after = (f"dial line{'abcdefghi'[level + k]} " if level + k else "call phone " for k in (0, 1))
+        for k in range(4):
+            number = f"07{level}{k} 555 {level}{k}9"
+            texts += [f"x {before}{number} y", f"z {after}{number}, w"]
+    mails = [f"person{k}@mail.example.com" for k in range(4)]
+    texts += [f"{m} wrote this" for m in mails] + ["hidden9(at)example.com wrote that", "x" * 70 + " hidden8(at)example.com"]
+    texts += ["y" * 40 + "x" * 40 + f" {m} at its end" for m in mails] + [None, "", "page 12345678 of 99999999", "room 7777777", "room 8888888 is"] * 3
+    texts += [f"1 {m},{m}" for m in mails]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: [(x.start, x.kind, x.end) for x in r.extra] for r in pii.find_personal_data(rows).collect()}
+    want = brute_personal_data(texts)
+    assert [got[k] for k in range(len(texts))] == want
+    added = {texts[k][a:b] for k, own in enumerate(want) for a, _, b in own}
+    assert {"030 1234 5678", "hidden9(at)example.com", "hidden8(at)example.com", "0763 555 639"} <= added
+    assert not any("page" in (texts[k] or "") or "room" in (texts[k] or "") for k, own in enumerate(want) if own)
+
+
 def test_personal_data_of_documents(documents, tricky, nothing):
     both = documents.select("doc_id", "text").unionByName(tricky.select("doc_id", "text"))
     want = Counter((r.doc_id, tuple(base_pii(r.text or ""))) for r in both.collect())
@@ -204,6 +260,32 @@ def test_quality(spark, documents, labels, tricky, nothing):
     assert quality.judge_documents(nothing, labels.limit(0)).count() == 0
 
 
+def test_quality_of_labels_that_were_held_out(spark):
+    """Half of the labels of a larger table teach, the other half measures."""
+    from pyspark.sql import functions as F
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    held = F.crc32(F.concat(F.lit("h"), F.col("doc_id").cast("string"))) % 2 == 1
+    judged = quality.judge_documents(docs, labels.where(~held)).join(labels.where(held), "doc_id")
+    for name, truth, least in (("p_poor", F.col("quality") == 0, 0.9), ("p_toxic", F.col("toxic") == 1, 0.7)):
+        said = F.col(name) >= 0.5
+        hits, all_, claimed = judged.agg(F.count_if(said & truth), F.count_if(truth), F.count_if(said)).first()
+        assert hits >= least * all_ and hits >= 0.95 * claimed, (name, hits, all_, claimed)
+    wrong, clean = judged.where("quality = 1 AND toxic = 0").agg(F.count_if("rejected"), F.count("*")).first()
+    assert wrong <= 0.005 * clean
+
+
+def test_repeated_rows_do_not_break_the_sample(spark, documents, labels):
+    """A third of all rows are one document: the sample takes its share of them, not all or none."""
+    from pyspark.sql import functions as F
+
+    one = documents.where("doc_id = 1")
+    many = documents.unionByName(one.join(spark.range(100).select(F.lit(1).alias("x")), F.lit(True)).drop("x"))
+    drawn = quality.cast_votes(many, "doc_id", "text", 300_000).where("drawn").groupBy("id").count().collect()
+    copies = {r["id"]: r["count"] for r in drawn}
+    assert 15 <= copies[1] <= 50 and 50 <= sum(copies.values()) - copies[1] <= 100
+
+
 def test_em_recovers_accuracies():
     draw = np.random.default_rng(5)
     truth = draw.random(20000) < 0.3
