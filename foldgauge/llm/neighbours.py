@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search (operator 10).
 
 Index: every distinct vector becomes a node. A few random-projection trees cut the nodes into leaves of bounded size
-(larger ones are cut again by a hash), whose inner neighbours start the graph. NN-descent then runs rounds of Spark joins: a node's
-neighbours and a sample of those that name it meet (the neighbours of neighbours), every pair of them is compared, and a pair counts
+(larger ones are cut again by a hash), whose inner neighbours start the graph. NN-descent then runs rounds of Spark joins until few edges change: a node's
+neighbours and a sample of those that name it, drawn anew each round, meet (the neighbours of neighbours), every pair of them is compared, and a pair counts
 only if it beats the worst neighbour that one of the two has; each node keeps its best ``degree``. For this the vectors travel as bytes
 (8 bits a component); only the graph is approximate, never a returned score.
 
@@ -33,10 +33,9 @@ EVERY = 50
 DEGREE = 24
 TREES = 4
 LEAF = 512
-ROUNDS = 4
+SETTLED = 0.05
 BEAM = 224
 BLOCK = 512
-MAX_STEPS = 12
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, kind: type) -> np.ndarray:
@@ -120,10 +119,10 @@ def first_graph(nodes: DataFrame, degree: int, trees: int, leaf: int, seed: int
     return _best(keyed.groupBy("tree", "key", "part").applyInArrow(inner, "node long, near long, score float"), degree)
 
 
-def descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
+def descend(graph: DataFrame, nodes: DataFrame, degree: int, turn: int = 0) -> DataFrame:
     """One round: the pairs among each node's neighbours that improve one of the two, merged into the graph."""
     named = graph.select(F.col("near").alias("centre"), F.col("node").alias("member"))
-    sample = Window.partitionBy("centre").orderBy(F.xxhash64("centre", "member"))
+    sample = Window.partitionBy("centre").orderBy(F.xxhash64("centre", "member", F.lit(turn)))
     named = named.withColumn("place", F.row_number().over(sample)).where(F.col("place") <= degree).drop("place")
     meets = graph.select(F.col("node").alias("centre"), F.col("near").alias("member")).union(named).distinct()
     worst = graph.groupBy("node").agg(F.min("score").alias("worst"), F.count("*").alias("held"))
@@ -150,15 +149,21 @@ def descend(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     return _best(graph.unionByName(better), degree)
 
 
-def build_graph(nodes: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF, rounds: int = ROUNDS) -> DataFrame:
-    """(node, near, score): the neighbour graph after ``rounds`` rounds of NN-descent."""
-    graph = materialize(first_graph(nodes, degree, trees, leaf))
-    for _ in range(rounds):
-        graph = materialize(descend(graph, nodes, degree))
-    return graph
+def build_graph(nodes: DataFrame, degree: int = DEGREE, trees: int = TREES, leaf: int = LEAF, settled: float = SETTLED) -> DataFrame:
+    """(node, near, score): the neighbour graph, after rounds of NN-descent until one changes no more than the share ``settled`` of its edges.
+
+    Each round draws its sample of reverse neighbours anew, so a node that many name meets other ones of them every time.
+    """
+    graph, turn = materialize(first_graph(nodes, degree, trees, leaf)), 0
+    while True:
+        before, turn = graph, turn + 1
+        graph = materialize(descend(before, nodes, degree, turn))
+        changed = graph.join(before, ["node", "near"], "left_anti").count()
+        if changed <= settled * graph.count():
+            return graph
 
 
-def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, block: int = BLOCK, max_steps: int = MAX_STEPS) -> DataFrame:
+def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = BEAM, block: int = BLOCK) -> DataFrame:
     """(query, node, score) of the best nodes of each query; ``queries``: query, node (its own), vec."""
     spark = nodes.sparkSession
     both = graph.select("node", "near").union(graph.select(F.col("near").alias("node"), F.col("node").alias("near")))
@@ -190,7 +195,7 @@ def search(queries: DataFrame, graph: DataFrame, nodes: DataFrame, beam: int = B
     fresh = queries.select("query", "node")
     seen = None
     held = spark.createDataFrame([], "query long, node long, score double, open boolean")
-    for _ in range(max_steps):
+    while True:
         asks = fresh.select("query", "node", place.alias("block")).groupBy("query", "block").agg(F.collect_list("node").alias("nodes"))  # at most a block
         full = held.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("worst"))
         full = full.select("query", F.when(F.col("n") >= beam, F.col("worst")).otherwise(-2.0).alias("worst"))
@@ -216,7 +221,7 @@ def nearest(
     degree: int = DEGREE,
     trees: int = TREES,
     leaf: int = LEAF,
-    rounds: int = ROUNDS,
+    settled: float = SETTLED,
     beam: int = BEAM,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` nearest rows found for every row whose id is divisible by ``every``."""
@@ -236,7 +241,7 @@ def nearest(
     for row in queries.select(F.length("vec").alias("width")).distinct().collect():  # vectors of each width have an index of their own
         own = F.length("vec") == row["width"]
         part = materialize(nodes.where(own))
-        graph = build_graph(part, degree, trees, leaf, rounds)
+        graph = build_graph(part, degree, trees, leaf, settled)
         found = found.unionByName(search(queries.where(own), graph, part, beam))
     named = found.join(members, "node").where(F.col("vec_id") != F.col("query"))
     best = named.groupBy("query", "vec_id").agg(F.max("score").alias("score"))
