@@ -4,7 +4,8 @@ Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-ca
 (``host/path``) fits its host and all subdomains if the url's path starts with its path; the longest rule wins. URLs that a rule
 decides are the labelled ones: a hash-drawn sample of at most ``train_rows`` of them (the parameter bounds the fit, not the
 result) trains the trees, which judge all others by length, depth, digit ratio, entropy, parameter count and suffix
-statistics (how common the host's last label is, and how its labelled urls were judged), counted over all rows.
+statistics (how common the host's last label is, and how its labelled urls were judged), counted over all rows. Of a labelled url's own part,
+a fifth of all urls by a hash of their text, no judgement enters its statistic, so the trees cannot read its label there.
 
 Null urls and urls without ``://`` have an empty host and path and go to the trees like any other. If the labelled urls all
 agree, their verdict is the method's; without any it is allow. Repeated rows each give a row; null ids stay null; an empty table gives no rows;
@@ -34,6 +35,7 @@ TRAIN_ROWS = 100_000
 TREES = 10
 DEPTH = 4
 SEED = 5
+PARTS = 5
 FEATURES = ("url_length", "depth", "digit_ratio", "entropy", "parameters", "suffix_log_rows", "suffix_block_rate")
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -101,22 +103,34 @@ def judge_urls(
     blocked = [rule for verdict, rule in rules if verdict == "block"]
     raw = raw.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     label = F.when(F.col("rule").isNotNull(), F.col("rule").isin(blocked).cast("double"))
-    urls = materialize(lexical_features(raw).withColumn("label", label).drop("url"))
+    part = F.pmod(F.xxhash64("host", "path", "url_length"), F.lit(PARTS)).cast("int").alias("part")
+    urls = lexical_features(raw).withColumn("label", label).select("*", part, F.monotonically_increasing_id().alias("number"))
+    urls = materialize(urls.drop("url"))
 
-    by_suffix = urls.groupBy("suffix").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked"))
-    by_suffix = materialize(by_suffix)
-    labelled, n_blocked = by_suffix.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
+    by_part = materialize(
+        urls.groupBy("suffix", "part").agg(F.count("*").alias("n"), F.count("label").alias("labelled"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked"))
+    )
+    labelled, n_blocked = by_part.agg(F.coalesce(F.sum("labelled"), F.lit(0)), F.coalesce(F.sum("blocked"), F.lit(0.0))).first()
     prior = n_blocked / labelled if labelled else 0.0
-    statistics = by_suffix.select(
+    totals = by_part.groupBy("suffix").agg(F.sum("n").alias("rows"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"))
+
+    def rate(blocked: Column, of: Column) -> Column:
+        return (blocked + 10 * F.lit(prior)) / (of + 10)
+
+    statistics = by_part.join(totals, "suffix").select(
         "suffix",
-        F.log1p(F.col("n").cast("double")).alias("suffix_log_rows"),
-        ((F.col("blocked") + 10 * F.lit(prior)) / (F.col("labelled") + 10)).alias("suffix_block_rate"),
+        "part",
+        F.log1p(F.col("rows").cast("double")).alias("suffix_log_rows"),
+        rate(F.col("all_blocked"), F.col("all_labelled")).alias("whole_rate"),
+        rate(F.col("all_blocked") - F.col("blocked"), F.col("all_labelled") - F.col("labelled")).alias("other_rate"),
     )
-    known = urls.join(small_enough(statistics, 100_000), "suffix")
+    statistics = materialize(statistics)
+    seen = F.when(F.col("label").isNull(), F.col("whole_rate")).otherwise(F.col("other_rate")).alias("suffix_block_rate")
+    known = urls.join(small_enough(statistics, 100_000), ["suffix", "part"]).select("*", seen)
     if 0 < n_blocked < labelled:
         ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
         share = int(min(1.0, train_rows / labelled) * 1_000_000)
-        drawn = ready.where(F.col("label").isNotNull() & (F.pmod(F.xxhash64("host", "path", "url_length"), F.lit(1_000_000)) < share))
+        drawn = ready.where(F.col("label").isNotNull() & (F.pmod(F.xxhash64("number"), F.lit(1_000_000)) < share))
         model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, checkpointInterval=-1).fit(
             materialize(drawn.select("features", "label"))
         )
