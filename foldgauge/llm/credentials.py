@@ -5,7 +5,7 @@ Base kinds (assign, access, hex) stand alone. Weak parts are reported only when
 identifier near, *identifier* parts (user, client or key names; access keys count as identifiers too) need a secret near,
 and *endpoint* parts (URLs, host assignments) need both. "Near" is an interval join: the scopes of all anchors of a text
 are merged to disjoint intervals, cut into bins of ``scope`` characters, and joined to the parts by text and bin, so each part
-meets at most one interval in a bin and no pairs of parts are formed.
+meets at most one interval in a bin and no pairs of parts are formed. A part that is reported names the nearest span of each kind it was linked with.
 
 Positions come without a user function: the text is split by the same pattern that extracts the matches, and a running sum of the
 lengths of gaps and matches gives every start. That sum and the joins carry lengths, never texts.
@@ -118,8 +118,24 @@ def _apart(parts: DataFrame, base: DataFrame, scope: int) -> DataFrame:
     return parts.join(overlap.select(*parts.columns).distinct(), parts.columns, "left_anti")
 
 
+def nearest_anchor(parts: DataFrame, anchors: DataFrame) -> DataFrame:
+    """``parts`` with ``partner``: the anchor (start, kind, end) of the same text that begins nearest, the earlier one if two do.
+
+    Two running windows over the spans of a text, last anchor before and first one behind: no pairs are formed.
+    """
+    both = parts.select("*", F.lit(False).alias("anchor")).unionByName(anchors.select(*parts.columns, F.lit(True).alias("anchor")))
+    order = Window.partitionBy("_row").orderBy("start", "end", "kind", "anchor")
+    span = F.when(F.col("anchor"), F.struct("start", "kind", "end"))
+    before = F.last(span, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    behind = F.first(span, ignorenulls=True).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    placed = both.withColumns({"before": before, "behind": behind}).where("NOT anchor")
+    closer = F.col("behind.start") - F.col("start") < F.col("start") - F.col("before.start")
+    partner = F.when(F.col("before").isNull() | closer, F.coalesce("behind", "before")).otherwise(F.col("before"))
+    return placed.select(*parts.columns, partner.alias("partner"))
+
+
 def linked_parts(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The weak parts to report: (_row, kind, start, end)."""
+    """The weak parts to report, (_row, kind, start, end, partners): each with the nearest span of every kind of part it needs."""
 
     def of(*names: str) -> DataFrame:
         return spans.where(F.col("kind").isin([KINDS.index(n) for n in names]))
@@ -128,26 +144,43 @@ def linked_parts(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak, identifier, endpoint = (_apart(of(n), base, scope) for n in ("weak", "identifier", "endpoint"))
     keys = of("access").unionByName(identifier)
     secret = of("assign", "hex").unionByName(weak)
-    linked_weak = near(weak, keys, scope)
-    linked_names = near(identifier, secret, scope)
-    linked_ends = near(near(endpoint, keys, scope), secret, scope)
-    return linked_weak.unionByName(linked_names).unionByName(linked_ends)
+    linked = [
+        (near(weak, keys, scope), (keys,)),
+        (near(identifier, secret, scope), (secret,)),
+        (near(near(endpoint, keys, scope), secret, scope), (keys, secret)),
+    ]
+    out = []
+    for found, needs in linked:
+        each = [nearest_anchor(found, anchors).withColumn("partners", F.array("partner")).drop("partner") for anchors in needs]
+        together = reduce(DataFrame.unionByName, each).groupBy(*found.columns)
+        out.append(together.agg(F.array_sort(F.flatten(F.collect_set("partners"))).alias("partners")))  # two at most
+    return reduce(DataFrame.unionByName, out)
 
 
 def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", scope: int = SCOPE) -> DataFrame:
-    """(_row, id, base, linked): arrays of (start, kind number, end), in order."""
+    """(_row, id, base, all, links) of every text: arrays of (start, kind number, end), in order; ``links`` tells for each weak part that is
+    reported which spans it was linked with."""
     parts = _parts(docs, id_column, text_column)
     spans = materialize(_spans(parts))
     listed = F.array_sort(F.collect_list(F.struct("start", "kind", "end")))
-    strong = spans.where(F.col("kind") < 3).select("*", F.lit(True).alias("strong"))
-    both = strong.unionByName(linked_parts(spans, scope).withColumn("strong", F.lit(False)))
-    found = materialize(both.groupBy("_row").agg(listed.alias("all"), F.array_sort(F.collect_list(F.when(F.col("strong"), F.struct("start", "kind", "end")))).alias("base")))
+    linked = linked_parts(spans, scope)
+    strong = spans.where(F.col("kind") < 3).select("*", F.lit(None).cast(linked.schema["partners"].dataType).alias("partners"))
+    both = strong.unionByName(linked)
+    span, partners = F.struct("start", "kind", "end"), F.col("partners")
+    found = materialize(
+        both.groupBy("_row").agg(
+            listed.alias("all"),
+            F.array_sort(F.collect_list(F.when(partners.isNull(), span))).alias("base"),
+            F.array_sort(F.collect_list(F.when(partners.isNotNull(), F.struct("start", "kind", "end", "partners")))).alias("links"),
+        )
+    )
     none = F.expr("cast(array() as array<struct<start:bigint,kind:int,end:bigint>>)")
-    rows = parts.select("_row", "id").join(small_enough(found), "_row", "left")
-    return rows.select("_row", F.col("id").alias(id_column), F.coalesce("base", none).alias("base"), F.coalesce("all", none).alias("all"))
+    unlinked = F.array().cast(found.schema["links"].dataType)
+    rows = parts.select("_row", "id").join(small_enough(found, cells=F.size("all")), "_row", "left")
+    return rows.select("_row", F.col("id").alias(id_column), *(F.coalesce(c, e).alias(c) for c, e in (("base", none), ("all", none), ("links", unlinked))))
 
 
-def _listed(spans: str) -> Column:
+def _listed(spans: str | Column) -> Column:
     names = F.array(*(F.lit(k) for k in KINDS))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])), ",")
 
@@ -160,4 +193,5 @@ def _number(spans: str, kind: int) -> Column:
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     counts = [_number("base", k).alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
-    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"))
+    linked = F.array_join(F.transform("links", lambda x: F.concat(_listed(F.array(x)), F.lit(">"), F.replace(_listed(x["partners"]), F.lit(","), F.lit("+")))), ",")
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("all").alias("spans"), linked.alias("links"))
