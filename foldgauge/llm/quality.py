@@ -16,6 +16,7 @@ are ignored or, in ``good_documents``, kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ ROUNDS = 50
 EPOCHS = 3
 QUESTIONS = ("poor", "toxic")
 FORM = ("poor",)
+NEVER = -30.0
 STATISTICS = 6
 #: Common insults, a heuristic labeller.
 INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "trash", "clown", "dumb", "worthless", "pathetic", "disgusting", "imbecile", "bastard", "retard", "jerk")
@@ -132,10 +134,14 @@ def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, li
     return votes, [np.concatenate([np.unique(f), e]) for f, e in zip(features, extra, strict=True)]
 
 
+def _share(words: np.ndarray | int, question: str) -> np.ndarray:
+    """The value of each word feature of a row: 1, but where form and not words decide, the words share a length of 1."""
+    return 1 / np.sqrt(np.maximum(words, 1)) if question in FORM else np.ones_like(words, dtype=np.float64)
+
+
 def _values(lengths: np.ndarray, question: str) -> np.ndarray:
-    """The values of the features of rows one after another: 1, but where form and not words decide, the words of a row share a length of 1."""
-    share = 1 / np.sqrt(np.maximum(lengths - STATISTICS, 1)) if question in FORM else np.ones(len(lengths))
-    out = np.repeat(share, lengths)
+    """The values of the features of rows one after another; a row ends in its statistics, which count 1."""
+    out = np.repeat(_share(lengths - STATISTICS, question), lengths)
     ends = np.cumsum(lengths)
     for k in range(1, STATISTICS + 1):
         out[ends[lengths >= k] - k] = 1.0
@@ -221,13 +227,13 @@ class LinearScorer:
         l1 = np.where(at == len(self.z) - 1, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
-    def fit(self, rows: list[np.ndarray], values: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
+    def fit(self, rows: list[np.ndarray], question: str, targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
         """Learns and returns the weights, the bias last."""
         bias = np.array([len(self.z) - 1])
         for epoch in range(epochs):
             for k in np.random.default_rng(seed + epoch).permutation(len(rows)).tolist():
                 at = np.concatenate([rows[k], bias])
-                weight, value = self._weights(at), np.append(values[k], 1.0)
+                weight, value = self._weights(at), np.append(_values(np.array([len(rows[k])]), question), 1.0)
                 p = 1 / (1 + np.exp(-np.clip(weight @ value, -30, 30)))
                 g = (p - targets[k]) * value
                 sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
@@ -258,15 +264,8 @@ def fit_scorers(
     rows = materialize(voted.join(known_labels(labels, id_column), "id", "left"))
     columns = [F.col("votes")[k].alias(name) for k, name in enumerate(_HEURISTICS)]
     known = [F.coalesce(F.col(f"known_{q}"), F.lit(0).cast("tinyint")).alias(f"known_{q}") for q in QUESTIONS]
-    flat = rows.select(*columns, *known, "features", "drawn")
-    # bounded by train_rows; one partition of the written table at a time, features as bytes
-    cast, features = [], []
-    for row in flat.where("drawn").drop("drawn").toLocalIterator():
-        cast.append(row[:-1])
-        features.append(np.frombuffer(row[-1], dtype=np.int32))
-    sample = np.array(cast, dtype=np.int8).reshape(-1, len(columns) + len(known))
-    place = {name: k for k, name in enumerate([*_HEURISTICS, *(f"known_{q}" for q in QUESTIONS)])}
-    weights, facts = {}, {}
+    flat = rows.select("_row", *columns, *known, "features", "drawn")
+    spark, lessons, facts = docs.sparkSession, [], {}
     for question in QUESTIONS:
         names = [n if n != "known" else f"known_{question}" for n in LABELLERS[question]]
         seen = flat.groupBy(*names).count().collect()  # at most 3 ** labellers rows
@@ -274,14 +273,30 @@ def fit_scorers(
         counts = np.array([r["count"] for r in seen], dtype=np.float64)
         prior, tables, posterior = estimate(patterns, counts)
         facts[question] = {"prior": prior, "accuracy": {n: tables[k].tolist() for k, n in enumerate(names)}}
-        belief = {tuple(p): float(x) for p, x in zip(patterns.tolist(), posterior, strict=True)}
-        target = np.array([belief[tuple(row)] for row in sample[:, [place[n] for n in names]].tolist()])
-        odds = target / np.maximum(1 - target, 1e-12) * (1 - prior) / prior
-        use = np.flatnonzero((odds >= sure) | (odds <= 1 / sure))
-        rows_in = [features[k] for k in use.tolist()]
-        lengths = np.array([len(f) for f in rows_in], dtype=np.int64)
-        values = np.split(_values(lengths, question), np.cumsum(lengths)[:-1]) if len(use) else []
-        weights[question] = LinearScorer().fit(rows_in, values, target[use])
+        odds = posterior / np.maximum(1 - posterior, 1e-12) * (1 - prior) / prior
+        taught = [(*map(int, p), float(x)) for p, x, o in zip(patterns, posterior, odds, strict=True) if o >= sure or o <= 1 / sure]
+        belief = spark.createDataFrame(taught, ", ".join([*(f"{n} tinyint" for n in names), "target double"]))
+        mine = flat.where("drawn").join(F.broadcast(belief), names)  # as few rows as there are patterns
+        lessons.append(mine.select(F.lit(question).alias("question"), "_row", "target", "features"))
+
+    def fit(group: pa.Table) -> pa.Table:
+        """One scorer from the sample, whose size is bounded by ``train_rows``; rows in the order of their numbers."""
+        group = group.take(pa.array(np.argsort(group.column("_row").to_numpy())))
+        question = group.column("question")[0].as_py()
+        features = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in group.column("features")]
+        w = LinearScorer().fit(features, question, group.column("target").to_numpy())
+        at = np.flatnonzero(w)
+        return pa.table({"question": [question] * len(at), "at": at, "weight": w[at]})
+
+    learnt = reduce(DataFrame.unionByName, lessons).groupBy("question").applyInArrow(fit, "question string, at long, weight double")
+    weights = {question: np.zeros((1 << BUCKET_BITS) + 1) for question in QUESTIONS}
+    for question in QUESTIONS:
+        weights[question][-1] = NEVER  # what no sure row teaches is not rejected
+    rows_ = learnt.collect()  # the weights that are not zero
+    for question in {row.question for row in rows_}:
+        weights[question][-1] = 0.0
+    for row in rows_:
+        weights[row.question][row.at] = row.weight
     return weights, facts
 
 
