@@ -4,7 +4,7 @@ Overlapping heuristic labellers vote bad, good or nothing on every document, for
 labels are one more labeller where they exist. Expectation-maximisation estimates each labeller's accuracy from the
 counts of vote patterns over all documents (at most 3 to the number of labellers of them, whatever the corpus size) and gives
 each pattern a posterior. Posterior labels of a bounded sample, drawn by a hash of the row (``train_rows``), then fit a hashed linear scorer (words,
-beginnings of words, also those that come twice or four times, and binned text statistics as features, follow-the-regularised-leader with an L1 term, so that chance words
+binned text statistics for form, words, beginnings of words and those that come twice or four times for content, follow-the-regularised-leader with an L1 term, so that chance words
 weigh nothing), and the scorer judges every document in one pass over whole texts. For the fit a row counts if its votes changed the odds of its
 class by ``sure`` or more either way: a row that only abstaining or weak labellers saw teaches nothing, however rare its class is.
 
@@ -36,6 +36,7 @@ TRUST = 0.9999
 ROUNDS = 50
 EPOCHS = 3
 QUESTIONS = ("poor", "toxic")
+#: Questions that the statistics alone decide.
 FORM = ("poor",)
 NEVER = -30.0
 STATISTICS = 6
@@ -66,45 +67,50 @@ def _three_way(value: np.ndarray, good: float, bad: float, on: np.ndarray) -> np
     return np.where(on, np.where(value >= bad, 1, np.where(value <= good, -1, 0)), 0)
 
 
-def _beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, size: int) -> np.ndarray:
-    """For each word a hash of its first ``size`` bytes, of which compounds and inflected forms share theirs; of a shorter word its own."""
-    longer = np.flatnonzero(ends - starts > size)
-    out = words.copy()
-    out[longer] = mix(span_hashes(data, starts[longer], starts[longer] + size) + np.uint64(size))
-    return out
+def _distinct(values: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the first of each row's equal values, in order, and how many there are; ``salt`` tells rows apart."""
+    _, at, count = np.unique(values ^ salt, return_index=True, return_counts=True)
+    often = np.zeros(len(values), dtype=np.int64)
+    often[at] = count
+    places = np.flatnonzero(often)
+    return places, often[places]
 
 
-def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Heuristic votes (rows, labellers without the known label) and the features of each row as bucket numbers."""
+def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Heuristic votes (rows, labellers without the known label), the features of all rows as bucket numbers, one row after
+    another and each ending in its statistics, and how many each row has."""
     starts, ends, first = word_spans(data, bounds, ALNUM)
     words = span_hashes(data, starts, ends)
     rows = len(bounds) - 1
     count = np.diff(first)
+    owner = np.repeat(np.arange(rows), count)
+    salt = mix(owner.astype(np.uint64) + np.uint64(1))
     capitals, small, symbols = (_per_row(t[data], bounds) for t in (_CAPITAL, _SMALL, _SYMBOLS))
     letters = np.maximum(1, capitals + small)
     size = np.maximum(1, np.diff(bounds))
     insult = _per_row(np.isin(words, _insult_hashes()), first)
-    repeated, variety, stutter = np.zeros(rows), np.ones(rows), np.zeros(rows)
-    features: list[np.ndarray] = []
-    buckets = np.uint64(64 - BUCKET_BITS)
-    beginnings = [_beginnings(data, starts, ends, words, size) for size in PREFIX_BYTES]
-    for row in range(rows):
-        mine = slice(first[row], first[row + 1])
-        own = words[mine]
-        distinct = np.unique(own)
-        if len(own) > 1:
-            stutter[row] = (own[1:] == own[:-1]).mean()
-        if len(own) >= 10:
-            grams = own[:-2] + own[1:-1] * np.uint64(3) + own[2:] * np.uint64(5)
-            repeated[row] = 1 - len(np.unique(grams)) / len(grams)
-            variety[row] = len(distinct) / len(own)
-        parts = [distinct]
-        for b in beginnings:
-            begun, often = np.unique(b[mine], return_counts=True)
-            parts += [begun, *(mix(begun[often >= n] + np.uint64(n)) for n in OFTEN)]
-        features.append((mix(np.concatenate(parts)) >> buckets).astype(np.int32))
-    cap_share, symbol_share = capitals / letters, symbols / size
     long_enough = count >= 10
+
+    def share(at: np.ndarray, of: np.ndarray, where: np.ndarray, otherwise: float) -> np.ndarray:
+        return np.where(where, np.bincount(owner[at], minlength=rows) / np.maximum(of, 1), otherwise)
+
+    inside = np.flatnonzero(owner[1:] == owner[:-1])
+    stutter = share(inside[words[inside] == words[inside + 1]], count - 1, count > 1, 0.0)
+    gram = np.flatnonzero(owner[2:] == owner[:-2])
+    grams = words[gram] + words[gram + 1] * np.uint64(3) + words[gram + 2] * np.uint64(5)
+    repeated = 1 - share(gram[_distinct(grams, salt[gram])[0]], count - 2, long_enough, 1.0)
+    distinct, _ = _distinct(words, salt)
+    variety = share(distinct, count, long_enough, 1.0)
+    found, values = [owner[distinct]], [words[distinct]]
+    for width in PREFIX_BYTES:
+        longer = np.flatnonzero(ends - starts > width)  # their first bytes are shared by compounds and inflected forms
+        begun = mix(span_hashes(data, starts[longer], starts[longer] + width) + np.uint64(width))
+        at, often = _distinct(begun, salt[longer])
+        for n in (1, *OFTEN):
+            few = at[often >= n]
+            found.append(owner[longer[few]])
+            values.append(mix(begun[few] + np.uint64(n)))
+    cap_share, symbol_share = capitals / letters, symbols / size
     votes = np.stack(
         [
             _three_way(cap_share, 0.15, 0.4, letters >= 20),
@@ -129,23 +135,12 @@ def block_features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, li
         ],
         axis=1,
     ).astype(np.uint64)
-    names = np.arange(1, bins.shape[1] + 1, dtype=np.uint64) * np.uint64(1_000_003)
-    extra = (mix(mix(bins + names)) >> buckets).astype(np.int32)
-    return votes, [np.concatenate([np.unique(f), e]) for f, e in zip(features, extra, strict=True)]
-
-
-def _share(words: np.ndarray | int, question: str) -> np.ndarray:
-    """The value of each word feature of a row: 1, but where form and not words decide, the words share a length of 1."""
-    return 1 / np.sqrt(np.maximum(words, 1)) if question in FORM else np.ones_like(words, dtype=np.float64)
-
-
-def _values(lengths: np.ndarray, question: str) -> np.ndarray:
-    """The values of the features of rows one after another; a row ends in its statistics, which count 1."""
-    out = np.repeat(_share(lengths - STATISTICS, question), lengths)
-    ends = np.cumsum(lengths)
-    for k in range(1, STATISTICS + 1):
-        out[ends[lengths >= k] - k] = 1.0
-    return out
+    names = np.arange(1, STATISTICS + 1, dtype=np.uint64) * np.uint64(1_000_003)
+    found.append(np.repeat(np.arange(rows), STATISTICS))
+    values.append(mix(bins + names).reshape(-1))
+    of = np.concatenate(found).astype(np.uint16 if rows < 1 << 16 else np.int64)
+    flat = mix(np.concatenate(values)[np.argsort(of, kind="stable")]) >> np.uint64(64 - BUCKET_BITS)
+    return votes, flat.astype(np.int32), np.bincount(of, minlength=rows)
 
 
 _HEURISTICS = ("capitals", "symbols", "repeats", "variety", "stutter", "insult", "shouting")
@@ -163,9 +158,9 @@ def cast_votes(docs: DataFrame, id_column: str, text_column: str, share: int) ->
             data, bounds = text_bytes(batch.column(2))
             for low, high in row_blocks(bounds):
                 part = batch.slice(low, high - low)
-                votes, features = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
+                votes, flat, lengths = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
                 chosen = part.column(3).to_numpy(zero_copy_only=False)
-                kept = [f if on else f[:0] for f, on in zip(features, chosen, strict=True)]
+                kept = [f if on else f[:0] for f, on in zip(np.split(flat, np.cumsum(lengths)[:-1]), chosen, strict=True)]
                 lists = [
                     list_array(votes.reshape(-1), np.full(len(votes), votes.shape[1])),
                     pa.array([f.tobytes() for f in kept], type=pa.binary()),
@@ -227,15 +222,15 @@ class LinearScorer:
         l1 = np.where(at == len(self.z) - 1, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
-    def fit(self, rows: list[np.ndarray], question: str, targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
+    def fit(self, rows: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
         """Learns and returns the weights, the bias last."""
         bias = np.array([len(self.z) - 1])
         for epoch in range(epochs):
             for k in np.random.default_rng(seed + epoch).permutation(len(rows)).tolist():
                 at = np.concatenate([rows[k], bias])
-                weight, value = self._weights(at), np.append(_values(np.array([len(rows[k])]), question), 1.0)
-                p = 1 / (1 + np.exp(-np.clip(weight @ value, -30, 30)))
-                g = (p - targets[k]) * value
+                weight = self._weights(at)
+                p = 1 / (1 + np.exp(-np.clip(weight.sum(), -30, 30)))
+                g = p - targets[k]
                 sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
                 self.z[at] += g - sigma * weight
                 self.n[at] += g * g
@@ -277,16 +272,16 @@ def fit_scorers(
         taught = [(*map(int, p), float(x)) for p, x, o in zip(patterns, posterior, odds, strict=True) if o >= sure or o <= 1 / sure]
         belief = spark.createDataFrame(taught, ", ".join([*(f"{n} tinyint" for n in names), "target double"]))
         mine = flat.where("drawn").join(F.broadcast(belief), names)  # as few rows as there are patterns
-        lessons.append(mine.select(F.lit(question).alias("question"), "_row", "target", "features"))
+        shown = F.expr(f"substring(features, -{4 * STATISTICS}, {4 * STATISTICS})") if question in FORM else F.col("features")
+        lessons.append(mine.select(F.lit(question).alias("question"), "_row", "target", shown.alias("features")))
 
     def fit(group: pa.Table) -> pa.Table:
         """One scorer from the sample, whose size is bounded by ``train_rows``; rows in the order of their numbers."""
-        group = group.take(pa.array(np.argsort(group.column("_row").to_numpy())))
-        question = group.column("question")[0].as_py()
+        order = np.argsort(group.column("_row").to_numpy())
         features = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in group.column("features")]
-        w = LinearScorer().fit(features, question, group.column("target").to_numpy())
+        w = LinearScorer().fit([features[k] for k in order.tolist()], group.column("target").to_numpy()[order])
         at = np.flatnonzero(w)
-        return pa.table({"question": [question] * len(at), "at": at, "weight": w[at]})
+        return pa.table({"question": [group.column("question")[0].as_py()] * len(at), "at": at, "weight": w[at]})
 
     learnt = reduce(DataFrame.unionByName, lessons).groupBy("question").applyInArrow(fit, "question string, at long, weight double")
     weights = {question: np.zeros((1 << BUCKET_BITS) + 1) for question in QUESTIONS}
@@ -316,12 +311,13 @@ def _batch_scores(texts: pa.Array, scorers: dict[str, tuple[np.ndarray, np.ndarr
         dense[question][0][at] = w
     scores = {question: np.zeros(len(bounds) - 1) for question in scorers}
     for low, high in row_blocks(bounds):
-        _, features = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
-        lengths = np.array([len(f) for f in features], dtype=np.int64)
-        flat = np.concatenate(features)
+        _, flat, lengths = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
         ends = np.concatenate([[0], np.cumsum(lengths)])
         for question, (w, bias) in dense.items():
-            total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat] * _values(lengths, question))])[ends]) + bias
+            if question in FORM:
+                total = w[flat[(ends[1:, None] - np.arange(1, STATISTICS + 1))]].sum(axis=1) + bias
+            else:
+                total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat])])[ends]) + bias
             scores[question][low:high] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
     return scores
 
