@@ -199,9 +199,10 @@ def free_memory() -> None:
 
 
 def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``function`` of mapInArrow, with its memory freed behind each batch."""
+    """``function`` of mapInArrow, with its memory freed behind each batch, and before what an earlier task of the worker left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         for batch in function(batches):
             yield batch
             free_memory()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, word_spans
+from foldgauge.llm.common import ALNUM, free_memory, list_array, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
@@ -281,7 +281,10 @@ def fit_scorers(
         features = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in group.column("features")]
         w = LinearScorer().fit([features[k] for k in order.tolist()], group.column("target").to_numpy()[order])
         at = np.flatnonzero(w)
-        return pa.table({"question": [group.column("question")[0].as_py()] * len(at), "at": at, "weight": w[at]})
+        learnt = pa.table({"question": [group.column("question")[0].as_py()] * len(at), "at": at, "weight": w[at]})
+        del features, order, w, group
+        free_memory()
+        return learnt
 
     learnt = reduce(DataFrame.unionByName, lessons).groupBy("question").applyInArrow(fit, "question string, at long, weight double")
     weights = {question: np.zeros((1 << BUCKET_BITS) + 1) for question in QUESTIONS}
@@ -303,13 +306,18 @@ def _sparse(weights: dict[str, np.ndarray]) -> dict[str, tuple[np.ndarray, np.nd
     return out
 
 
-def _batch_scores(texts: pa.Array, scorers: dict[str, tuple[np.ndarray, np.ndarray, float]]) -> dict[str, np.ndarray]:
-    data, bounds = text_bytes(texts)
+def _dense(scorers: dict[str, tuple[np.ndarray, np.ndarray, float]]) -> dict[str, tuple[np.ndarray, float]]:
+    """The weights as a table over all buckets; one for a task."""
     dense = {}
     for question, (at, w, bias) in scorers.items():
-        dense[question] = (np.zeros(1 << BUCKET_BITS, dtype=np.float64), bias)
+        dense[question] = (np.zeros(1 << BUCKET_BITS, dtype=np.float32), bias)
         dense[question][0][at] = w
-    scores = {question: np.zeros(len(bounds) - 1) for question in scorers}
+    return dense
+
+
+def _batch_scores(texts: pa.Array, dense: dict[str, tuple[np.ndarray, float]]) -> dict[str, np.ndarray]:
+    data, bounds = text_bytes(texts)
+    scores = {question: np.zeros(len(bounds) - 1) for question in dense}
     for low, high in row_blocks(bounds):
         _, flat, lengths = block_features(data[bounds[low] : bounds[high]], bounds[low : high + 1] - bounds[low])
         ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -317,7 +325,7 @@ def _batch_scores(texts: pa.Array, scorers: dict[str, tuple[np.ndarray, np.ndarr
             if question in FORM:
                 total = w[flat[(ends[1:, None] - np.arange(1, STATISTICS + 1))]].sum(axis=1) + bias
             else:
-                total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat])])[ends]) + bias
+                total = np.diff(np.concatenate([[0.0], np.cumsum(w[flat], dtype=np.float64)])[ends]) + bias
             scores[question][low:high] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
     return scores
 
@@ -330,8 +338,9 @@ def judge_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id
     kind = narrow.schema["id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = _dense(shared.value)
         for batch in batches:
-            scores = _batch_scores(batch.column(1), shared.value)
+            scores = _batch_scores(batch.column(1), dense)
             bad = (scores["poor"] >= 0.5) | (scores["toxic"] >= 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores["poor"]), pa.array(scores["toxic"]), pa.array(bad)], names=["id", "p_poor", "p_toxic", "rejected"])
 
@@ -344,8 +353,9 @@ def good_documents(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id"
     shared = docs.sparkSession.sparkContext.broadcast(_sparse(weights))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dense = _dense(shared.value)
         for batch in batches:
-            scores = _batch_scores(batch.column(0).field(text_column), shared.value)
+            scores = _batch_scores(batch.column(0).field(text_column), dense)
             yield batch.filter(pa.array((scores["poor"] < 0.5) & (scores["toxic"] < 0.5)))
 
     whole = docs.select(whole_row(docs))
