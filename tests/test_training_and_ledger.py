@@ -50,6 +50,41 @@ def test_joint_sums_equal_plain_ones(spark):
     assert np.allclose(matrix, want) and numbers.tolist() == [sum((i + f) % 3 == 0 for i in range(200)) for f in range(2)]
 
 
+def test_partial_sums_do_not_grow_with_the_partitions(spark):
+    """Each task passes on a whole matrix, so there may be no more tasks than cores, and every row is still counted."""
+    rows = [([1], [0], [i % 8, i % 3]) for i in range(400)]
+    stored = spark.createDataFrame(rows, "labels array<int>, roles array<int>, tokens array<int>").repartition(40)
+
+    def add(part, matrix, numbers):
+        numbers[0] += len(part.labels)
+        numbers[1] = 1  # this task has a matrix
+        matrix[:, 0] += np.bincount(part.column, minlength=8)
+
+    matrix, (n, tasks) = C.summed(stored, 8, 1, 2, add)
+    assert n == 400 and matrix.sum() == sum(len({i % 8, i % 3}) for i in range(400))
+    assert tasks <= spark.sparkContext.defaultParallelism
+
+
+def test_margins_and_sums_of_a_pass_equal_dense_products():
+    draw = np.random.default_rng(1)
+    n, n_features, folds, labels = 40, 16, 3, 2
+    counts = draw.poisson(0.4, size=(n, n_features))
+    counts[5] = 0
+    row, column = np.nonzero(counts)
+    rows = C.Rows(draw.integers(0, 2, (n, labels)).astype(float), np.zeros((n, folds), dtype=int), row, column, 1 + np.log(counts[row, column]))
+    idf, weights = draw.uniform(size=(folds, n_features)), draw.normal(size=(folds * labels, n_features + 1))
+    values, plain = C._scaled(rows, idf), np.where(counts, 1 + np.log(np.maximum(counts, 1)), 0)
+    margins = C._margins(rows, values, weights)
+    for f in range(folds):
+        dense = plain * idf[f]
+        dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+        mine = weights[f * labels : (f + 1) * labels]
+        assert np.allclose(margins[:, f], dense @ mine[:, :-1].T + mine[:, -1])
+        total = np.ones((n_features, 1))
+        C._add_by_column(total, column, values[f][:, None])
+        assert np.allclose(total[:, 0], 1 + dense.sum(axis=0))
+
+
 def test_rows_without_tokens_and_roles_are_scored_or_left_out(spark):
     schema = CorpusSchema(labels=("a",), id="id", text="text")
     corpus = spark.createDataFrame([(i, None if i == 7 else ("yes " if i % 2 else "no ") * 3, i % 2) for i in range(60)], "id int, text string, a int")
