@@ -7,6 +7,7 @@ per word. Work memory is bounded by BLOCK_BYTES, whatever the length of a batch
 from __future__ import annotations
 
 import ctypes
+import gc
 import hashlib
 import sys
 from collections.abc import Callable, Iterator
@@ -198,11 +199,26 @@ def free_memory() -> None:
         trim(0)
 
 
-def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``function`` of mapInArrow, with its memory freed behind each batch, and before what an earlier task of the worker left."""
+def let_go(keep: str = "") -> None:
+    """Drops what tasks of other kinds keep in this worker (all of ``worker_memo`` whose key does not begin with ``keep``) and
+    frees the memory: a vocabulary with its cache is as large as all that another task needs."""
+    memo = worker_memo()
+    foreign = [key for key in memo if key[0] != keep]
+    for key in foreign:
+        del memo[key]
+    if foreign:
+        gc.collect()
+    free_memory()
+
+
+def trimmed(
+    function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keep: str = ""
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``function`` of mapInArrow, with its memory freed behind each batch, and before what an earlier task of the worker left,
+    except for what it keeps under ``keep`` itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
+        let_go(keep)
         for batch in function(batches):
             yield batch
             free_memory()

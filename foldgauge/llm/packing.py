@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import trimmed, with_row
+from foldgauge.llm.common import let_go, trimmed, with_row
 from foldgauge.llm.registry import query, table
 from foldgauge.llm.token_counts import RANKS, VOCABULARY, batch_ids, encoder, vocabulary_path
 from foldgauge.session import materialize
@@ -138,7 +138,7 @@ def cut_documents(
             values = [number, flat[:, 0], flat[:, 1], flat[:, 2], tokens[rows]]
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v) for v in values)], names=names)
 
-    return narrow.mapInArrow(trimmed(cut), f"_row long, id {kind}, piece long, start long, length long, ids_crc32 long, doc_tokens long")
+    return narrow.mapInArrow(trimmed(cut, "encoder"), f"_row long, id {kind}, piece long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def pack_documents(
@@ -161,6 +161,7 @@ def pack_documents(
     kind = pieces.schema["id"].dataType.simpleString()
 
     def pack(part: pa.Table) -> pa.Table:
+        let_go()  # the encoder's work is done
         part = part.sort_by([("_row", "ascending"), ("start", "ascending")])
         bins, places = first_fit_decreasing(part.column("length").to_numpy(), length)
         group = part.column("place")[0].as_py()

@@ -15,15 +15,18 @@ are ignored or, in ``good_documents``, kept.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldgauge.llm.common import ALNUM, free_memory, list_array, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, word_spans
+from foldgauge.llm.common import ALNUM, list_array, mix, row_blocks, span_hashes, text_bytes, trimmed, whole_row, word_spans
 from foldgauge.llm.registry import query, table
 from foldgauge.session import materialize
 
@@ -209,6 +212,19 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS, tru
     return prior, tables, posterior
 
 
+class StoredRows(Sequence):
+    """Rows of features in a file, each read when its turn comes: a worker holds their places, not the rows."""
+
+    def __init__(self, file: BinaryIO, starts: np.ndarray, sizes: np.ndarray):
+        self.file, self.starts, self.sizes = file, starts, sizes
+
+    def __len__(self) -> int:
+        return len(self.starts)
+
+    def __getitem__(self, k: int) -> np.ndarray:
+        return np.frombuffer(os.pread(self.file.fileno(), int(self.sizes[k]), int(self.starts[k])), dtype=np.int32)
+
+
 class LinearScorer:
     """Hashed logistic regression, follow-the-regularised-leader per coordinate with L1 and L2."""
 
@@ -222,7 +238,7 @@ class LinearScorer:
         l1 = np.where(at == len(self.z) - 1, 0.0, self.l1)
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((self.beta + np.sqrt(n)) / self.alpha + self.l2))
 
-    def fit(self, rows: list[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
+    def fit(self, rows: Sequence[np.ndarray], targets: np.ndarray, epochs: int = EPOCHS, seed: int = 3) -> np.ndarray:
         """Learns and returns the weights, the bias last."""
         bias = np.array([len(self.z) - 1])
         for epoch in range(epochs):
@@ -234,7 +250,10 @@ class LinearScorer:
                 sigma = (np.sqrt(self.n[at] + g * g) - np.sqrt(self.n[at])) / self.alpha
                 self.z[at] += g - sigma * weight
                 self.n[at] += g * g
-        return self._weights(np.arange(len(self.z)))
+        learnt = np.zeros(len(self.z))
+        some = np.append(np.flatnonzero(np.abs(self.z[:-1]) > self.l1), bias)
+        learnt[some] = self._weights(some)
+        return learnt
 
 
 def known_labels(labels: DataFrame, id_column: str, poor: str = "quality", toxic: str = "toxic") -> DataFrame:
@@ -275,18 +294,27 @@ def fit_scorers(
         shown = F.expr(f"substring(features, -{4 * STATISTICS}, {4 * STATISTICS})") if question in FORM else F.col("features")
         lessons.append(mine.select(F.lit(question).alias("question"), "_row", "target", shown.alias("features")))
 
-    def fit(group: pa.Table) -> pa.Table:
-        """One scorer from the sample, whose size is bounded by ``train_rows``; rows in the order of their numbers."""
-        order = np.argsort(group.column("_row").to_numpy())
-        features = [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in group.column("features")]
-        w = LinearScorer().fit([features[k] for k in order.tolist()], group.column("target").to_numpy()[order])
-        at = np.flatnonzero(w)
-        learnt = pa.table({"question": [group.column("question")[0].as_py()] * len(at), "at": at, "weight": w[at]})
-        del features, order, w, group
-        free_memory()
-        return learnt
-
-    learnt = reduce(DataFrame.unionByName, lessons).groupBy("question").applyInArrow(fit, "question string, at long, weight double")
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One scorer for each question from the sample, whose size is bounded by ``train_rows``; rows in the order of their
+        numbers. Their features wait in a file of the task's own, which is gone with the task."""
+        with tempfile.TemporaryFile() as file:
+            places: dict[str, list[tuple[int, float, int, int]]] = {}
+            end = 0
+            for batch in batches:
+                columns = [batch.column(name).to_pylist() for name in ("question", "_row", "target")]
+                for question, row, target, features in zip(*columns, batch.column("features"), strict=True):
+                    size = file.write(features.as_buffer())
+                    places.setdefault(question, []).append((row, target, end, size))
+                    end += size
+            file.flush()
+            for question, lessons in places.items():
+                _, targets, starts, sizes = map(np.array, zip(*sorted(lessons), strict=True))
+                w = LinearScorer().fit(StoredRows(file, starts, sizes), targets)
+                at = np.flatnonzero(w)
+                yield pa.RecordBatch.from_pydict({"question": [question] * len(at), "at": at, "weight": w[at]})
+
+    together = reduce(DataFrame.unionByName, lessons).repartition(len(QUESTIONS), "question")
+    learnt = together.mapInArrow(trimmed(fit), "question string, at long, weight double")
     weights = {question: np.zeros((1 << BUCKET_BITS) + 1) for question in QUESTIONS}
     for question in QUESTIONS:
         weights[question][-1] = NEVER  # what no sure row teaches is not rejected

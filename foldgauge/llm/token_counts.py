@@ -315,7 +315,7 @@ def count_tokens(
             sizes, tokens = batch_counts(batch.column(1), encode, chunk, overlap)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(tokens)], names=["id", "n_bytes", "n_tokens"])
 
-    counted = narrow.mapInArrow(trimmed(count), f"id {kind}, n_bytes long, n_tokens long")
+    counted = narrow.mapInArrow(trimmed(count, "encoder"), f"id {kind}, n_bytes long, n_tokens long")
     return counted.select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > F.lit(limit)).alias("over_limit")
     )

@@ -311,6 +311,29 @@ def test_url_trees_on_urls_they_did_not_see(spark):
     print(right, blocked, n)
 
 
+def test_a_task_lets_go_of_what_other_tasks_keep():
+    """Workers live on: an encoder that packing keeps must not stay beside the next operator's tasks."""
+    from foldgauge.llm.common import trimmed, worker_memo
+
+    key = ("encoder", "a vocabulary", None)
+    worker_memo()[key] = "large"
+    assert list(trimmed(iter, "encoder")(iter([1, 2]))) == [1, 2] and key in worker_memo()
+    assert list(trimmed(iter)(iter([1, 2]))) == [1, 2] and key not in worker_memo()
+
+
+def test_scorer_learns_the_same_from_a_file(tmp_path):
+    draw = np.random.default_rng(5)
+    rows = [draw.integers(0, 1 << 20, draw.integers(1, 30)).astype(np.int32) % 50 for _ in range(300)]
+    targets = np.array([float((row < 10).any()) for row in rows])
+    sizes = np.array([row.nbytes for row in rows])
+    with open(tmp_path / "rows", "w+b") as file:
+        file.write(b"".join(row.tobytes() for row in rows))
+        file.flush()
+        learnt = quality.LinearScorer().fit(quality.StoredRows(file, np.cumsum(sizes) - sizes, sizes), targets)
+    held = quality.LinearScorer()
+    assert np.array_equal(learnt, held.fit(rows, targets)) and np.array_equal(learnt, held._weights(np.arange(len(learnt))))
+
+
 def test_quality(spark, documents, labels, tricky, nothing):
     judged = {r.doc_id: r for r in quality.judge_documents(documents, labels).collect()}
     known = [r for r in labels.collect() if r.doc_id in judged]
