@@ -85,6 +85,39 @@ def test_margins_and_sums_of_a_pass_equal_dense_products():
         assert np.allclose(total[:, 0], 1 + dense.sum(axis=0))
 
 
+def test_stored_features_give_the_sums_of_plain_tf_idf(spark, monkeypatch):
+    """What passes work out from stored distinct features, over several pieces and slabs, against tf-idf values of the tokens; passes read no tokens."""
+    monkeypatch.setattr(C, "SLAB_ENTRIES", 16)
+    monkeypatch.setattr(C, "CHUNK_ENTRIES", 200)
+    draw = np.random.default_rng(2)
+    n_features, folds, labels = 64, 3, 2
+    data = [(i, [i % 2, i // 2 % 2], [int(x) for x in draw.integers(0, 3, folds)], [int(x) for x in draw.poisson(6, draw.integers(0, 40))]) for i in range(50)]
+    stored = spark.createDataFrame(data, "id int, labels array<int>, roles array<int>, tokens array<int>").coalesce(1)
+    rank, idf = draw.permutation(n_features).astype(np.int32), draw.uniform(1, 2, size=(folds, n_features)).astype(np.float32)
+    featured = C.with_features(stored, "id", n_features, rank, idf)
+    assert not any(kind == "array<int>" for name, kind in featured.dtypes if name not in ("labels", "roles"))
+    trial = draw.normal(size=(n_features + 1, folds * labels)).astype(np.float32)
+    plain = {r.id: r for r in stored.collect()}
+    batch = featured.toArrow().combine_chunks().to_batches()[0]
+    at, total, want = 0, np.zeros((folds * labels, n_features)).T, np.zeros((n_features, folds * labels))
+    for rows in C.feature_rows(batch):
+        n = len(rows.labels)
+        margins = C._joint_margins(rows, np.ascontiguousarray(C._weighed(trial, idf, labels)), trial[-1])
+        apart = draw.normal(size=margins.shape)
+        C._add_slopes(rows, apart, total)
+        for i in range(n):
+            tokens, counts = np.unique(np.array(plain[batch.column(0)[at + i].as_py()].tokens, dtype=int), return_counts=True)
+            for f in range(folds):
+                value = (1 + np.log(counts)) * idf[f][rank[tokens]]
+                value /= max(np.linalg.norm(value), 1e-12)
+                for label in range(labels):
+                    k = f * labels + label
+                    assert np.isclose(margins[i, f, label], value @ trial[rank[tokens], k] + trial[-1, k])
+                    want[rank[tokens], k] += value * apart[i, f, label]
+        at += n
+    assert at == 50 and np.allclose(total * np.repeat(idf, labels, axis=0).T, want)
+
+
 def test_rows_without_tokens_and_roles_are_scored_or_left_out(spark):
     schema = CorpusSchema(labels=("a",), id="id", text="text")
     corpus = spark.createDataFrame([(i, None if i == 7 else ("yes " if i % 2 else "no ") * 3, i % 2) for i in range(60)], "id int, text string, a int")
