@@ -126,11 +126,12 @@ class PageLinkRule(BracketRule):
 _PATTERNS = {name: pattern.replace("@B", V.BLANK).replace("@N", V.NON_BLANK) for name, pattern, _ in V.CLEANING}
 _PATTERNS["user_link"] = _PATTERNS["user_link"].replace("(?i)", "(?iU)")
 # The same matches in forms that look at fewer places: blanks inside a heading are left to the last rule, which keeps
-# the heading linear; urls and addresses are tried only at their first character; a lone space is no run.
+# the heading linear; urls and addresses are tried only at their first character; a lone space is no run, which is seen
+# without looking back: texts are full of them.
 _PATTERNS["wiki_heading"] = r"(?<!=)={2,}+([^=]++)={2,}"
 _PATTERNS["url"] = rf"(?U)(?=[hHwW])(?i:https?://|www\.){V.NON_BLANK}+"
 _PATTERNS["ip_address"] = r"(?U)(?=[^\x00-/:-\x7F])(?=\d)\b(?:\d{1,3}\.){3}\d{1,3}\b"
-_PATTERNS["blank_run"] = rf"(?U)[^!-~](?:(?<= ){V.BLANK}+|(?<=[\s\x1c-\x1f&&[^ ]]){V.BLANK}*)"
+_PATTERNS["blank_run"] = rf"(?U) {V.BLANK}+|[\s\x1c-\x1f&&[^ ]]{V.BLANK}*"
 _KINDS = {"user_link": BracketRule, "wiki_link": PageLinkRule}
 _UPTO = {"html_tag": ">"}
 
